@@ -189,12 +189,12 @@ def score_blocks(docs: DataFrame, terms: DataFrame, floor: float, keep: list[str
     dealt = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text")).withColumn("__block", F.pmod(F.xxhash64("__text", *[F.col(f"`{c}`") for c in keep]), F.lit(blocks)))
     schema = _scored_schema(docs, keep)
 
-    def asked(key, table: pa.Table) -> pa.Table:
+    def asked(key, table):
         w = Windows([t or "" for t in table["__text"].to_pylist()])
         grams = sorted({g for k in range(1, ORDER + 1) for g in w.grams(k)}) if len(w.codes) else []
         return pa.table({"block": pa.array([key[0].as_py()] * len(grams), pa.int64()), "gram": pa.array(grams, pa.string())})
 
-    def scored(key, table: pa.Table, own: pa.Table) -> pa.Table:
+    def scored(key, table, own):
         given = dict(zip(own["gram"].to_pylist(), zip(own["gain"].to_pylist(), own["back"].to_pylist(), strict=True), strict=True))
         return pa.Table.from_arrays([*(table[c].combine_chunks() for c in keep), *_log_p_batch(table["__text"].combine_chunks(), given, floor)], names=schema.names)
 

@@ -93,8 +93,8 @@ def scan(due: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def ledger_entries(due: DataFrame) -> DataFrame:
     """What scanning ``due`` adds to the ledger."""
-    pair = F.split(F.explode("due"), "@")
-    return due.select("blob", pair.alias("p")).select("blob", F.col("p")[0].alias("rule"), F.col("p")[1].cast("int").alias("version"))
+    pairs = due.select("blob", F.explode("due").alias("pair"))
+    return pairs.select("blob", F.split_part("pair", F.lit("@"), F.lit(1)).alias("rule"), F.split_part("pair", F.lit("@"), F.lit(2)).cast("int").alias("version"))
 
 
 def spans_by_blob(findings: DataFrame) -> DataFrame:
