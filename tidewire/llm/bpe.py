@@ -25,9 +25,9 @@ from pyspark.sql.types import BinaryType, StructField
 from .common import map_column
 
 #: Entries that a worker remembers before it starts afresh (bounds its memory).
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 120_000
 #: Characters whose new pieces are sorted and encoded together.
-GROUP_CHARACTERS = 4_000_000
+GROUP_CHARACTERS = 2_000_000
 #: White space other than the space and the line feed, and characters that some libraries take for it.
 ODD_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
 
@@ -277,6 +277,12 @@ def worker_packer(rank_file: bytes, pattern: str):
     return Packer(Vocabulary(rank_file, pattern))
 
 
+@lru_cache(2)
+def worker_tokens(rank_file: bytes) -> dict[int, bytes]:
+    """Decoding needs the bytes of each id alone."""
+    return {int(b): base64.b64decode(a) for a, b in map(bytes.split, rank_file.splitlines()) if a}
+
+
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, keep: list[str], text: str = "text", output: str = "token_ids") -> DataFrame:
     """``keep`` columns and ``output``: the text's ids, packed as little-endian unsigned 32-bit integers.
 
@@ -299,7 +305,7 @@ def decode_documents(encoded: DataFrame, rank_file: str, keep: list[str], column
         sent = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     def make():
-        token = Vocabulary(sent.value, "").tokens.__getitem__
+        token = worker_tokens(sent.value).__getitem__
         decode = lambda ids: b"".join(map(token, np.frombuffer(ids, "<u4").tolist()))
         return lambda packed: [pa.array([decode(p) if p else b"" for p in packed.to_pylist()], pa.binary())]
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 #: Bytes of one Arrow batch handed to Python; bounds a worker's memory when texts are long.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 _own_dir: str | None = None
 
