@@ -25,7 +25,7 @@ from pyspark.sql.types import BinaryType, StructField
 from .common import map_column
 
 #: Entries that a worker remembers before it starts afresh (bounds its memory).
-CACHE_ENTRIES = 120_000
+CACHE_ENTRIES = 250_000
 #: Characters whose new pieces are sorted and encoded together.
 GROUP_CHARACTERS = 2_000_000
 #: White space other than the space and the line feed, and characters that some libraries take for it.
