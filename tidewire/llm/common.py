@@ -16,6 +16,8 @@ from pyspark.sql.types import StructField, StructType
 BATCH_BYTES = 4 << 20
 
 _own_dir: str | None = None
+#: Paths made and not yet removed.
+_made: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; removed when this driver ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
     atexit.register(_remove, spark, path)
     return path
 
@@ -50,6 +53,18 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def made() -> list[str]:
+    return list(_made)
+
+
+def release(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Remove tables that nothing reads any more."""
+    for path in paths:
+        if path in _made:
+            _made.remove(path)
+            _remove(spark, path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage, survives lost executors, has known size."""
     path = fresh_path(df.sparkSession, name)

@@ -32,6 +32,8 @@ GRID: dict[str, tuple[int, ...]] = {
 RISK, LEVEL = 0.01, 0.05
 #: Result columns; kept columns of these names give way to them.
 RESULTS = frozenset(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines", "base_failed", "kept", *GRID))
+#: Cutoffs (a row for each stratum and rule) that may be broadcast.
+BROADCAST_LIMITS = 50_000
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 
@@ -135,6 +137,8 @@ def judge(measured: DataFrame, limits: DataFrame, stratum: str = "lang") -> Data
     over = F.lit(False)
     for m in GRID:
         over = over | F.coalesce(F.col(m) > F.col(f"__{m}"), F.lit(False))
+    if limits.count() <= BROADCAST_LIMITS:
+        wide = F.broadcast(wide)
     out = measured.join(wide, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
     return out.withColumn("kept", ~F.col("base_failed") & ~over).drop("__stratum", *[f"__{m}" for m in GRID])
 
