@@ -8,6 +8,7 @@ loser tree.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator, Sequence
 from datetime import UTC, datetime
@@ -21,8 +22,8 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .common import BATCH_BYTES, fresh_path, written
 
-#: Payloads of fewer bytes are always stored; and the payload bytes aimed at in one archive file.
-LEAST_PAYLOAD, FILE_BYTES = 0, 32 << 20
+#: Payloads of fewer bytes are always stored; and the records of one archive file at most.
+LEAST_PAYLOAD, FILE_RECORDS = 0, 10_000
 #: Index rows aimed at in one range of the merge.
 RANGE_ROWS = 100_000
 #: Time of the first capture where a table has none; later ones follow by their id in seconds.
@@ -103,11 +104,9 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     spark = pages.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     rows = with_payloads(pages, key, url, html, captured)
-    total = rows.agg(F.sum(F.octet_length("payload") + 600)).first()[0] or 0
     stored = rows.groupBy(F.col("sha").alias("__sha")).agg(F.max("page_id").alias("refers_to"))
     # equal payloads meet by digest; a common one is split by the skew join, and texts move once
     dealt = rows.join(stored, F.col("sha") == F.col("__sha")).drop("__sha")
-    dealt = dealt.repartition(max(1, -(-int(total) // FILE_BYTES)), "sha", "page_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,13 +118,13 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
 
     # Spark's text writer puts bytes as they are and the last line end of each record; its commits survive lost executors
     written_records = dealt.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
-    written_records.write.option("lineSep", "\r\n").text(path)
+    written_records.write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The records under ``path``, each file a run sorted by URL key, time and page.
 
-    Payload bytes and digest come from the stored payload; a revisit's from its HTTP and WARC headers.
+    Offsets count the bytes of the unpacked archive. Payload bytes and digest come from the stored payload; a revisit's from its HTTP and WARC headers.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     files = spark.read.format("binaryFile").load(path).where(F.col("length") > 0).select("path", "content")
@@ -139,7 +138,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, data in zip(batch.column(0), batch.column(1), strict=True):
                 found = []
-                for offset, length, headers, block in records(data.as_py()):
+                for offset, length, headers, block in records(gzip.decompress(data.as_py())):
                     head, _, payload = block.partition(CRLF + CRLF)
                     stated = int(head.decode().split("Content-Length: ", 1)[1].split("\r\n", 1)[0])
                     digest, target = headers["WARC-Payload-Digest"].removeprefix("sha1:"), headers.get("WARC-Target-URI")
@@ -149,6 +148,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                     when = datetime.strptime(headers["WARC-Date"], "%Y-%m-%dT%H:%M:%SZ").replace(tzinfo=UTC)
                     refers = None if response else page(headers["WARC-Refers-To"])
                     found.append((url_key(target or ""), when, page(headers["WARC-Record-ID"]), target, headers["WARC-Type"], refers, digest, len(payload) if response else stated, offset, length))
+                if not found:
+                    continue
                 found.sort(key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0))
                 cols = list(zip(*found, strict=True))
                 key, when, pid, target, kind, refers, digest, size, offset, length = (list(c) for c in cols)
