@@ -8,7 +8,7 @@ alone moves no score.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +21,7 @@ from pyspark.sql.types import DoubleType, StructField
 from .common import map_column
 
 #: Labelled rows fitted at most, taken by a hash of the id; distinct words of a row and words of the model.
-SAMPLE_ROWS, ROW_WORDS, MODEL_WORDS = 12_000, 3_000, 20_000
+SAMPLE_ROWS, ROW_WORDS, MODEL_WORDS = 6_000, 3_000, 20_000
 #: A word needs this many labelled rows, and this many standard errors of its log-odds, to get a weight.
 LEAST_ROWS, LEAST_Z = 4, 3.0
 STEPS, RATE, RIDGE, FAIRNESS = 200, 0.1, 0.0005, 1.0
@@ -57,6 +57,16 @@ def counterfactual(words: set[str]) -> set[str]:
     return {SWAPS.get(w, w) for w in words}
 
 
+class Words:
+    """Word sets of texts, made anew each time they are gone through."""
+
+    def __init__(self, texts: list[str] | list[set[str]]) -> None:
+        self.texts = texts
+
+    def __iter__(self) -> Iterator[set[str]]:
+        return (set(t.split()) if isinstance(t, str) else t for t in self.texts)
+
+
 @dataclass
 class Model:
     weights: dict[str, float]
@@ -67,41 +77,43 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def fit(texts: list[set[str]], toxic: list[int]) -> Model:
-    """Fit on word sets. Without both classes the score is the share of toxic rows, smoothed."""
+def fit(texts: list[str] | list[set[str]], toxic: list[int]) -> Model:
+    """Fit on word sets, or on strings of words, which take far less memory. Without both classes the score is the share of toxic rows, smoothed."""
     n, positives = len(toxic), sum(toxic)
     bias = math.log((positives + 1) / (n - positives + 1))
     if not positives or positives == n:
         return Model({}, bias)
-    named = [t for t in texts if not SWAPS.keys().isdisjoint(t)]
-    swapped = [features(counterfactual(t)) for t in named]
-    texts, named = [features(t) for t in texts], [features(t) for t in named]
-    seen: dict[str, list[int]] = {}
-    for words, y in zip(texts, toxic, strict=True):
-        for w in words:
-            seen.setdefault(w, [0, 0])[y] += 1
+    sets = Words(texts)
+    named = [t for t in sets if not SWAPS.keys().isdisjoint(t)]
+    # rows with a feature: toxic ones in the upper half of a number, others in the lower
+    seen: dict[str, int] = {}
+    for words, y in zip(sets, toxic, strict=True):
+        for w in features(words):
+            seen[w] = seen.get(w, 0) + (1 << 32 * y)
     # identity terms are always in the model, so that the penalty can act on them
     z = {}
-    for w, (no, yes) in seen.items():
+    for w, counts in seen.items():
+        yes, no = divmod(counts, 1 << 32)
         if no + yes >= LEAST_ROWS:
             a, b, c, d = yes + 0.5, positives - yes + 0.5, no + 0.5, n - positives - no + 0.5
             z[w] = math.log(a * d / (b * c)) / math.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    seen.clear()
     chosen = sorted(w for w in z if abs(z[w]) >= LEAST_Z or w in SWAPS)
     chosen = sorted(sorted(chosen, key=lambda w: (-abs(z[w]), w))[:MODEL_WORDS])
     at = {w: i for i, w in enumerate(chosen)}
 
-    def rows(sets: Iterator[set[str]]) -> tuple[np.ndarray, np.ndarray]:
+    def rows(rows_of: Iterable[set[str]]) -> tuple[np.ndarray, np.ndarray]:
         r, c = [], []
-        for i, words in enumerate(sets):
-            own = [at[w] for w in at.keys() & words]
+        for i, words in enumerate(rows_of):
+            own = [at[w] for w in at.keys() & features(words)]
             r += [i] * len(own)
             c += own
         return np.array(r, np.int64), np.array(c, np.int64)
 
     y = np.array(toxic, float)
-    r, c = rows(iter(texts))
-    r1, c1 = rows(iter(named))
-    r2, c2 = rows(iter(swapped))
+    r, c = rows(sets)
+    r1, c1 = rows(named)
+    r2, c2 = rows(counterfactual(t) for t in named)
     w, m, v, b = np.zeros(len(at)), np.zeros(len(at) + 1), np.zeros(len(at) + 1), bias
     for k in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-(np.bincount(r, w[c], n) + b)))
@@ -121,7 +133,7 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE_ROWS) -> tuple[list[set[str]], list[int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE_ROWS) -> tuple[list[str], list[int]]:
     """Word sets and labels of at most ``sample`` labelled rows. Null labels are left out; of several labels the largest counts."""
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key))).groupBy(F.col(key).alias("__key")).agg(F.max(F.col(label).cast("int")).alias("__label"))
     # by a hash, so that any bound takes a random part; at most ``sample`` rows come together
@@ -138,7 +150,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
     rows = chosen.select("__id", "__label", "__text").mapInArrow(words, f"__id {kind}, __label int, words string")
     # repeated ids could bring more rows than labels
     got = sorted(rows.limit(2 * sample).toLocalIterator(), key=lambda r: (r["__id"], r["words"]))
-    return [set(r["words"].split()) for r in got], [r["__label"] for r in got]
+    return [r["words"] for r in got], [r["__label"] for r in got]
 
 
 def score_documents(docs: DataFrame, model: Model, keep: list[str], text: str = "text", output: str = "score") -> DataFrame:
