@@ -141,7 +141,7 @@ g as (select doc_id, i, array_to_string(ws[i : i + 2], ' ') as gram from (select
 twice as (select doc_id, i from (select *, count(*) over (partition by doc_id, gram) as n from g) where n > 1),
 r as (select doc_id, count(distinct j) as n from (select doc_id, unnest(range(i, i + 3)) as j from twice) group by doc_id),
 c as (select t.doc_id, lang, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint as n_symbols,
-  (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, len(ls) as n_lines, coalesce(r.n, 0)::bigint as n_repeat_words, len(regexp_extract_all(t, '\p{{Lu}}')) as n_upper
+  (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, len(ls) as n_lines, coalesce(r.n, 0)::bigint as n_repeat_words, len(regexp_extract_all(t, '\\p{{Lu}}')) as n_upper
   from t left join r on t.doc_id = r.doc_id),
 m as (select *, n_words < {rules.MIN_WORDS} or 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words as base_failed,
   1000 * n_symbols // greatest(n_words, 1) as symbol_rate, 1000 * n_upper // greatest(word_chars, 1) as upper_rate, 1000 * n_dup_lines // greatest(n_lines, 1) as dup_line_rate,
