@@ -162,6 +162,9 @@ def test_secrets_and_ledger(spark):
     n = [secrets.count_of(F.col("spans"), r.kind).alias(f"n{k}") for k, r in enumerate(secrets.BASE_RULES)]
     got = found.select("text", *n, F.sha2(secrets.rendered(secrets.of_base(F.col("spans"))), 256).alias("sha"))
     assert rows_of(got, "n0", "n1", "n2", "sha") == sorted((brute.secrets(r["text"]) for r in docs.collect()), key=repr)
+    # a ledger without entries: every text goes by its blob, with the same findings
+    by_ledger = secrets.scan_documents(docs, ledger=spark.createDataFrame([], secrets.LEDGER_SCHEMA))
+    assert rows_of(by_ledger, "doc_id", "blob", "spans") == rows_of(found, "doc_id", "blob", "spans")
     all_blobs = secrets.blobs(docs)
     ledger = secrets.ledger_entries(secrets.unseen(all_blobs, None))
     assert secrets.unseen(all_blobs, ledger).count() == 0

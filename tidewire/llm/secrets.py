@@ -2,7 +2,9 @@
 
 Every historical version of a file is named by the SHA-256 of its text. A ledger lists the pairs of
 blob and rule version that were scanned; only pairs it lacks are scanned, each text once however
-many paths hold it, and findings are joined back to all paths. No Python workers take part.
+many paths hold it, and findings are joined back to all paths. Where no ledger is given all pairs are
+due; a row-local test for what every finding needs then tells which texts must travel to their blob
+and which are settled as clean where they lie. No Python workers take part.
 """
 
 from __future__ import annotations
@@ -64,6 +66,14 @@ def unseen(found: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...] =
     return found.join(done, F.col("blob") == F.col("__blob"), "left").withColumn("due", due).where(F.size("due") > 0).drop("__blob", "__done")
 
 
+def can_match(content: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Whether a text (not null) holds what some rule's finding needs; true for every text with a finding."""
+    some = F.lit(False)
+    for r in rules:
+        some = some | (F.contains(content, F.lit(r.literal)) if r.literal else F.rlike(content, F.lit(r.pattern)))
+    return some
+
+
 def scan(due: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Findings (blob, start, end, kind, kind_order) of the rules that are due; code points, end exclusive."""
     content = F.col("content")
@@ -108,11 +118,20 @@ def scan_documents(docs: DataFrame, text: str = "text", ledger: DataFrame | None
 
     ``ledger`` and ``known`` are the pairs scanned before and their findings. Null texts count as
     empty. Repeated rows, null keys and extra columns stay as they are; an empty table gives none.
+    ``docs`` is read more than once. Without ``ledger`` and ``known`` only texts that can match are shuffled.
     """
+    settled = None
+    if ledger is None and known is None:
+        able = can_match(F.coalesce(F.col(f"`{text}`"), F.lit("")), rules)
+        settled, docs = docs.where(~able), docs.where(able)
     findings = scan(unseen(blobs(docs, text), ledger, rules), rules)
     if known is not None:
         findings = findings.unionByName(known.select(*findings.columns))
-    return docs.withColumn("blob", blob_id(text)).drop("spans").join(spans_by_blob(findings), F.col("blob") == F.col("__blob"), "left").drop("__blob")
+    out = docs.withColumn("blob", blob_id(text)).drop("spans").join(spans_by_blob(findings), F.col("blob") == F.col("__blob"), "left").drop("__blob")
+    if settled is None:
+        return out
+    clean = settled.withColumn("blob", blob_id(text)).withColumn("spans", F.lit(None).cast(out.schema["spans"].dataType))
+    return out.unionByName(clean)
 
 
 def rendered(spans: Column) -> Column:
