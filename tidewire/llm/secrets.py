@@ -70,7 +70,8 @@ def can_match(content: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """Whether a text (not null) holds what some rule's finding needs; true for every text with a finding."""
     some = F.lit(False)
     for r in rules:
-        some = some | (F.contains(content, F.lit(r.literal)) if r.literal else F.rlike(content, F.lit(r.pattern)))
+        found = F.rlike(content, F.lit(r.pattern))
+        some = some | (F.contains(content, F.lit(r.literal)) & found if r.literal else found)
     return some
 
 
