@@ -28,6 +28,8 @@ GRID: dict[str, tuple[int, ...]] = {
     "repeat_rate": (500, 400, 300, 200, 150),
     "word_length": (30000, 20000, 15000, 12000),
 }
+#: The joint series: (rule, cutoff) in the order in which they are added, all rules tightened side by side.
+STEPS = [(m, c) for _, _, m, c in sorted(((k + 1) / len(cs), at, m, c) for at, (m, cs) in enumerate(GRID.items()) for k, c in enumerate(cs))]
 #: False rejection of good texts allowed per stratum, over all rules together, and the error level of that claim.
 RISK, LEVEL = 0.01, 0.05
 #: Result columns; kept columns of these names give way to them.
@@ -147,3 +149,58 @@ def apply_rules(docs: DataFrame, good: DataFrame, keep: Sequence[str], key: str
     """``keep`` columns, measures and ``kept`` for each row of ``docs``. Measured once, written, then judged."""
     measured = written(measures(docs, list(dict.fromkeys([*keep, key, stratum])), text), "measures")
     return judge(measured, cutoffs(measured, good, key, stratum), stratum)
+
+
+def first_step() -> Column:
+    """The number of the first step of the joint series that rejects a measured text; null if none does."""
+    each = []
+    for m in GRID:
+        over = F.lit(None).cast("int")
+        for k, (rule, c) in reversed(list(enumerate(STEPS))):
+            over = F.when(F.col(m) > c, k).otherwise(over) if rule == m else over
+        each.append(over)
+    return F.least(*each)
+
+
+def joint_limits(measured: DataFrame, good: DataFrame, key: str = "doc_id", stratum: str = "lang", risk: float = RISK, level: float = LEVEL) -> DataFrame:
+    """Rows (stratum, n, own, step): the last step of the joint series shown safe for each stratum with labelled good texts.
+
+    Every step is tested with all its rules together against the whole risk, so a stratum is one
+    series; all strata together are one more. Steps are taken in their fixed order until the first
+    that cannot be shown safe. A stratum whose labels are too few for any step (even if none of its
+    good texts were rejected) takes those of all strata together, as far as its own good texts are
+    not rejected beyond the risk; ``own`` tells which. ``step`` is null where no step is safe.
+    """
+    keys = good.select(F.col(key).alias("__key")).where(F.col(key).isNotNull()).distinct()
+    hold = measured.where(~F.col("base_failed")).join(keys, F.col(key) == F.col("__key"), "left_semi")
+    hold = hold.select(F.col(stratum).alias("stratum"), first_step().alias("first"))
+    wide = hold.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.count_if(F.col("first") <= k) for k in range(len(STEPS))]).alias("x"))
+    # a row for each stratum from here on
+    total = wide.agg(
+        (F.count(F.lit(1)) + 1).alias("series"),
+        F.sum("n").alias("n_all"),
+        F.array(*[F.sum(F.get("x", F.lit(k))) for k in range(len(STEPS))]).alias("x_all"),
+    )
+    each = wide.crossJoin(F.broadcast(total)).select("*", F.posexplode("x").alias("step", "rejected"))
+    bound = F.lit(level) / F.col("series")
+    each = each.select(
+        "stratum", "n", "step",
+        (F.pow(F.lit(1 - risk), F.col("n")) <= bound).alias("own"),
+        (binomial_cdf(F.col("rejected"), F.col("n"), risk) <= bound).alias("safe"),
+        (binomial_cdf(F.get("x_all", F.col("step")), F.col("n_all"), risk) <= bound).alias("safe_all"),
+        (F.col("rejected") <= F.col("n") * risk).alias("fair"),
+    )
+    each = each.withColumn("safe", F.when(F.col("own"), F.col("safe")).otherwise(F.col("safe_all") & F.col("fair")))
+    last = F.coalesce(F.min(F.when(~F.col("safe"), F.col("step"))), F.lit(len(STEPS))) - 1
+    return each.groupBy("stratum", "n", "own").agg(last.alias("step")).withColumn("step", F.when(F.col("step") >= 0, F.col("step")))
+
+
+def apply_joint_rules(docs: DataFrame, good: DataFrame, keep: Sequence[str], key: str = "doc_id", stratum: str = "lang", text: str = "text") -> DataFrame:
+    """As ``apply_rules``, by the joint series of each stratum. Strata without labelled good texts keep what the base rules keep."""
+    measured = written(measures(docs, list(dict.fromkeys([*keep, key, stratum])), text), "measures")
+    limits = written(joint_limits(measured, good, key, stratum).select(F.col("stratum").alias("__stratum"), F.col("step").alias("__step")), "limits")
+    if limits.count() <= BROADCAST_LIMITS:
+        limits = F.broadcast(limits)
+    out = measured.join(limits, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
+    over = F.coalesce(first_step() <= F.col("__step"), F.lit(False))
+    return out.withColumn("kept", ~F.col("base_failed") & ~over).drop("__stratum", "__step")
