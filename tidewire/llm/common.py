@@ -25,11 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one of our own only where that is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; a local one of our own only where that is unset and all tasks run in this process (tests)."""
     global _own_dir
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="tidewire-")
         spark.sparkContext.setCheckpointDir(_own_dir)
@@ -76,23 +78,44 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+_holding: dict = {}
+
+
+def held(key, make: Callable):
+    """What a worker process keeps between tasks; only the latest is kept, so operators that follow each other don't add up."""
+    if key not in _holding:
+        _holding.clear()
+        _holding[key] = make()
+    return _holding[key]
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, unless the session does so already."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(name) and spark.conf.get(name) == _default_batch(spark, name):
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def _default_batch(spark: SparkSession, name: str) -> str:
+    return spark.newSession().conf.get(name)
+
+
 def map_column(df: DataFrame, keep: Sequence[str], column: str, fields: Sequence[StructField], make: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> DataFrame:
     """Add ``fields``, computed in Arrow batches from ``column``, to the ``keep`` columns.
 
     ``make`` runs once per task and returns the batch function. A kept column whose name a new
-    field takes is replaced by the new field. Other columns never reach Python.
+    field takes is replaced by the new field. Only ``column`` goes to Python and only the new fields
+    come back; the others stay in the JVM.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    new = {f.name for f in fields}
-    kept = [c for c in dict.fromkeys(keep) if c not in new]
-    schema = StructType([df.schema[c] for c in kept] + list(fields))
-    chosen = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias("__input"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    small_batches(df.sparkSession)
+    names = [f.name for f in fields]
+    kept = [F.col(f"`{c}`") for c in dict.fromkeys(keep) if c not in names]
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), *work(batch.column(len(kept)))], names=schema.names)
+        for values in batches:
+            yield pa.StructArray.from_arrays(work(values), names)
 
-    return chosen.mapInArrow(run, schema)
+    # as a nondeterministic column it is computed once, however many fields are used
+    new = F.arrow_udf(run, StructType(list(fields))).asNondeterministic()(F.col(f"`{column}`"))
+    return df.select(*kept, new.alias("__new")).select(*kept, *[F.col("__new")[n].alias(n) for n in names])

@@ -14,9 +14,8 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(RANKS)
-    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, ["doc_id"])
-    decoded = bpe.decode_documents(encoded, ranks, ["doc_id", "token_ids"])
-    return decoded.select("doc_id", bpe.token_count().alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.round_trip_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, ["doc_id"])
+    return coded.select("doc_id", bpe.token_count().alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 #: Dated list entries: hosts cover their subdomains, entries with a path cover what stands under it.
