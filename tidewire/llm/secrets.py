@@ -1,19 +1,21 @@
 """Secret scans over content-addressed versions.
 
-Every historical version of a file is named by the SHA-256 of its text. A ledger lists the pairs of
-blob and rule version that were scanned; only pairs it lacks are scanned, each text once however
-many paths hold it, and findings are joined back to all paths. Where no ledger is given all pairs are
-due; a row-local test for what every finding needs then tells which texts must travel to their blob
-and which are settled as clean where they lie. No Python workers take part.
+Every historical version of a file is named by the SHA-256 of its text. A ledger holds, for each
+blob, the pairs of rule and version that were scanned, with what they found; only pairs it lacks are
+scanned, each text once however many paths hold it, and findings are joined back to all paths. No
+Python workers take part.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import fresh_path, written
+
 
 class Rule(NamedTuple):
     """Leftmost non-overlapping matches of ``pattern``; those shorter than ``least`` (whole match, or its ``value`` group) are dropped."""
@@ -41,8 +43,10 @@ MORE_RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 20, 0, "PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + MORE_RULES
-LEDGER_SCHEMA = "blob string, rule string, version int"
-FINDING_SCHEMA = "blob string, start int, end int, kind string, kind_order int"
+#: One row for each blob and scan: the pairs ("kind@version") scanned and their findings, written together.
+LEDGER_SCHEMA = "blob string, pairs array<string>, findings array<struct<start: int, end: int, kind: string, version: int>>"
+#: Findings and blobs with findings (about 100 bytes each) that may be broadcast.
+BROADCAST_FINDINGS = 100_000
 
 
 def blob_id(text: str = "text") -> Column:
@@ -55,32 +59,25 @@ def blobs(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.sha2(content, 256).alias("blob"), content.alias("content")).groupBy("blob").agg(F.first("content").alias("content"))
 
 
-def unseen(found: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``found`` blobs that lack a pair of rule and version in the ledger, with the rules still ``due``."""
-    wanted = F.array(*[F.lit(f"{r.kind}@{r.version}") for r in rules])
-    if ledger is None:
-        return found.withColumn("due", wanted)
+def pair(rule: Rule) -> str:
+    return f"{rule.kind}@{rule.version}"
+
+
+def unseen(found: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``found`` blobs that lack a pair of rule and version in the ledger, with the pairs ``due``."""
+    wanted = F.array(*[F.lit(pair(r)) for r in rules])
     # at most one element for each rule and version
-    done = ledger.groupBy(F.col("blob").alias("__blob")).agg(F.collect_set(F.concat_ws("@", "rule", "version")).alias("__done"))
+    done = ledger.select(F.col("blob").alias("__blob"), F.explode("pairs").alias("pair")).groupBy("__blob").agg(F.collect_set("pair").alias("__done"))
     due = F.array_except(wanted, F.coalesce(F.col("__done"), F.array().cast("array<string>")))
     return found.join(done, F.col("blob") == F.col("__blob"), "left").withColumn("due", due).where(F.size("due") > 0).drop("__blob", "__done")
 
 
-def can_match(content: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """Whether a text (not null) holds what some rule's finding needs; true for every text with a finding."""
-    some = F.lit(False)
-    for r in rules:
-        found = F.rlike(content, F.lit(r.pattern))
-        some = some | (F.contains(content, F.lit(r.literal)) & found if r.literal else found)
-    return some
-
-
 def scan(due: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Findings (blob, start, end, kind, kind_order) of the rules that are due; code points, end exclusive."""
     content = F.col("content")
     matched = []
     for r in rules:
-        wanted = F.array_contains("due", f"{r.kind}@{r.version}")
+        wanted = F.array_contains("due", pair(r))
         if r.literal:
             wanted &= F.contains(content, F.lit(r.literal))
         matched.append(F.when(wanted, F.regexp_extract_all(content, F.lit(r.pattern), F.lit(0))).alias(r.kind))
@@ -102,37 +99,50 @@ def scan(due: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return placed.where("ok").select("blob", (F.col("end") - F.col("size")).alias("start"), "end", "kind", "kind_order")
 
 
-def ledger_entries(due: DataFrame) -> DataFrame:
-    """What scanning ``due`` adds to the ledger."""
-    pairs = due.select("blob", F.explode("due").alias("pair"))
-    return pairs.select("blob", F.split_part("pair", F.lit("@"), F.lit(1)).alias("rule"), F.split_part("pair", F.lit("@"), F.lit(2)).cast("int").alias("version"))
+def ledger_entries(due: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """What scanning ``due`` adds to the ledger: every blob, clean ones too, with its pairs and findings."""
+    version = F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.version)])
+    finding = F.struct("start", "end", "kind", version[F.col("kind")].alias("version"))
+    found = scan(due, rules).groupBy(F.col("blob").alias("__blob")).agg(F.collect_list(finding).alias("findings"))
+    none = F.array().cast("array<struct<start: int, end: int, kind: string, version: int>>")
+    return due.select("blob", F.col("due").alias("pairs")).join(found, F.col("blob") == F.col("__blob"), "left").select("blob", "pairs", F.coalesce("findings", none).alias("findings"))
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger under ``path``; empty where none was written yet."""
+    try:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
-def spans_by_blob(findings: DataFrame) -> DataFrame:
-    """(blob, spans): a blob's findings in order of start, then rule."""
-    span = F.struct("start", "kind_order", "kind", "end")
-    return findings.groupBy(F.col("blob").alias("__blob")).agg(F.sort_array(F.collect_list(span)).alias("spans"))
+def spans_by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(__blob, spans) for blobs with findings of these rule versions: the findings in order of start, then rule. Repeated entries count once."""
+    order = F.create_map(*[F.lit(x) for k, r in enumerate(rules) for x in (pair(r), k)])
+    each = ledger.where(F.size("findings") > 0).select("blob", F.explode("findings").alias("f"))
+    each = each.select("blob", "f.*", order[F.concat_ws("@", "f.kind", "f.version")].alias("kind_order")).where(F.col("kind_order").isNotNull())
+    return each.groupBy(F.col("blob").alias("__blob")).agg(F.sort_array(F.collect_set(F.struct("start", "kind_order", "kind", "end"))).alias("spans"))
 
 
-def scan_documents(docs: DataFrame, text: str = "text", ledger: DataFrame | None = None, known: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def scan_documents(docs: DataFrame, text: str = "text", ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with ``blob`` and ``spans`` (null if nothing was found; ``blob`` and ``spans`` of the input are replaced).
 
-    ``ledger`` and ``known`` are the pairs scanned before and their findings. Null texts count as
-    empty. Repeated rows, null keys and extra columns stay as they are; an empty table gives none.
-    ``docs`` is read more than once. Without ``ledger`` and ``known`` only texts that can match are shuffled.
+    ``ledger`` is the folder of the ledger, which this call extends (none: one of this call alone).
+    Blobs and pairs that it holds are not scanned again; their findings come from it. Null texts
+    count as empty. Repeated rows, null keys and extra columns stay as they are; an empty table gives
+    none. ``docs`` is read more than once.
     """
-    settled = None
-    if ledger is None and known is None:
-        able = can_match(F.coalesce(F.col(f"`{text}`"), F.lit("")), rules)
-        settled, docs = docs.where(~able), docs.where(able)
-    findings = scan(unseen(blobs(docs, text), ledger, rules), rules)
-    if known is not None:
-        findings = findings.unionByName(known.select(*findings.columns))
-    out = docs.withColumn("blob", blob_id(text)).drop("spans").join(spans_by_blob(findings), F.col("blob") == F.col("__blob"), "left").drop("__blob")
-    if settled is None:
-        return out
-    clean = settled.withColumn("blob", blob_id(text)).withColumn("spans", F.lit(None).cast(out.schema["spans"].dataType))
-    return out.unionByName(clean)
+    spark = docs.sparkSession
+    ledger = ledger or fresh_path(spark, "ledger")
+    due = unseen(blobs(docs, text), read_ledger(spark, ledger), rules)
+    ledger_entries(due, rules).write.mode("append").parquet(ledger)
+    spans = written(spans_by_blob(read_ledger(spark, ledger), rules), "spans")
+    n = spans.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0)), F.count(F.lit(1))).first()
+    if n[0] + n[1] <= BROADCAST_FINDINGS:
+        spans = F.broadcast(spans)
+    return docs.withColumn("blob", blob_id(text)).drop("spans").join(spans, F.col("blob") == F.col("__blob"), "left").drop("__blob")
 
 
 def rendered(spans: Column) -> Column:
