@@ -3,9 +3,11 @@
 Fingerprints that differ in few bits share most of their bits, so they stand under common masked
 patterns. The upper nodes of the index are those patterns: with the 64 bits in four blocks, two
 fingerprints that differ in at most two bits agree on two whole blocks, so they meet under at least
-one of six nodes. Below a node, fingerprints are sorted by Gray rank and every run of eight becomes
-a node of the bits they share. A pair of nodes whose shared bits already differ in more than the
-limit is pruned with all its members.
+one of six nodes. A crowded node has six children by the same rule: the bits it leaves open, in four
+blocks, of which members of a child agree on two. After three levels 8 bits are open, so no node is
+large. Below a node, fingerprints are sorted by Gray rank and every run of eight becomes a node of
+the bits they share. A pair of nodes whose shared bits already differ in more than the limit is
+pruned with all its members.
 """
 
 from __future__ import annotations
@@ -25,16 +27,28 @@ from .components import components
 
 #: Shingle words and the differing bits at which fingerprints link.
 WORDS, DIFFERENCES = 3, 2
-#: Members of an upper node that one task searches; members of fuller nodes take the exact way of ``crowded_links``.
-NODE_LIMIT = 128
+#: A node with more members has children instead of runs.
+CROWDED = 128
 RUN = 8
-BLOCKS = [0xFFFF << s for s in (48, 32, 16, 0)]
-VIEWS = [a | b for a, b in combinations(BLOCKS, 2)]
 SEED = 42
 #: Shingles summed at a time; bounds what a very long text takes.
 SLICE = 1 << 18
 
 
+def children(mask: int) -> list[int]:
+    """The masks below a mask of shared bits: two of the four blocks that it leaves open are shared too."""
+    still_open = [b for b in range(63, -1, -1) if not mask >> b & 1]
+    size = len(still_open) // 4
+    blocks = [sum(1 << b for b in still_open[i : i + size]) for i in range(0, 4 * size, size)]
+    return [mask | a | b for a, b in combinations(blocks, 2)]
+
+
+#: The masks of each level; below the last, 8 bits are open and a node has 256 members at most.
+LEVELS = [children(0)]
+while 64 - LEVELS[-1][0].bit_count() > 8:
+    LEVELS.append([m for mask in LEVELS[-1] for m in children(mask)])
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -139,7 +153,7 @@ def node_links(node: np.ndarray, code: np.ndarray, limit: int = DIFFERENCES) ->
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (view, node, fp) batches to links; the last node of a batch waits for the next one."""
+    """Sorted (mask, node, fp) batches to links; the last node of a batch waits for the next one."""
     rest: list[np.ndarray] | None = None
 
     def links(view: np.ndarray, node: np.ndarray, fp: np.ndarray):
@@ -162,28 +176,27 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(*rest)
 
 
-def crowded_links(fps: DataFrame) -> DataFrame:
-    """Links within fuller nodes, exactly and in linear size.
+def links(fps: DataFrame) -> DataFrame:
+    """(a, b) links that join all fingerprints (distinct ``fp``) differing in at most two bits, within their groups.
 
-    The nodes here are patterns with one bit flipped or none: fingerprints that differ in at most two
-    bits share one, and those that share one differ in at most two. No node has over 65 members.
+    A node is a mask and the bits under it. Each level searches its small nodes and hands the members
+    of crowded ones to their children.
     """
-    near = F.explode(F.concat(F.array(F.lit(0).cast("long")), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i))))
-    each = fps.select("fp", near.alias("bit")).select("fp", F.col("fp").bitwiseXOR(F.col("bit")).alias("node"))
-    groups = each.groupBy("node").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    return groups.select(F.array_min("fps").alias("b"), F.explode("fps").alias("a")).where("a <> b").select("a", "b").distinct()
-
-
-def links(fps: DataFrame) -> DataFrame:
-    """(a, b) links that join all fingerprints (distinct ``fp``) differing in at most two bits, within their groups."""
-    nodes = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("view"), F.col("fp").bitwiseAND(F.lit(signed(v))).alias("node")) for k, v in enumerate(VIEWS)])).alias("n")).select("fp", "n.*")
-    sizes = nodes.groupBy("view", "node").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    sizes = sizes.select(F.col("view").alias("v"), F.col("node").alias("n"), "members")
-    shared = written(nodes.join(sizes, (F.col("view") == F.col("v")) & (F.col("node") == F.col("n"))).select("view", "node", "fp", "members"), "nodes")
-    small = shared.where(F.col("members") <= NODE_LIMIT).select("view", "node", "fp")
-    found = small.repartition("view", "node").sortWithinPartitions("view", "node").mapInArrow(_search, "a long, b long")
-    crowded = shared.where(F.col("members") > NODE_LIMIT).select("fp").distinct()
-    return found.union(crowded_links(crowded))
+    found, crowded = None, fps.select("fp", F.lit(0).alias("mask"))
+    for level, masks in enumerate(LEVELS):
+        below = len(LEVELS[0]) * F.col("mask")
+        node = lambda m: F.struct(m.alias("mask"), F.col("fp").bitwiseAND(F.get(F.array(*[F.lit(signed(x)) for x in masks]), m)).alias("node"))  # noqa: B023, E731
+        nodes = crowded.select("fp", F.explode(F.transform(F.sequence(F.lit(0), F.lit(len(LEVELS[0]) - 1)), lambda i: node(below + i))).alias("n")).select("fp", "n.*")  # noqa: B023
+        sizes = nodes.groupBy("mask", "node").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        sizes = sizes.select(F.col("mask").alias("m"), F.col("node").alias("n"), "members")
+        shared = written(nodes.join(sizes, (F.col("mask") == F.col("m")) & (F.col("node") == F.col("n"))).select("mask", "node", "fp", "members"), "nodes")
+        last = level == len(LEVELS) - 1
+        small = (shared if last else shared.where(F.col("members") <= CROWDED)).select("mask", "node", "fp")
+        here = small.repartition("mask", "node").sortWithinPartitions("mask", "node").mapInArrow(_search, "a long, b long")
+        found = here if found is None else found.union(here)
+        crowded = shared.where(F.col("members") > CROWDED).select("fp", "mask")
+        if last or crowded.isEmpty():
+            return found
 
 
 def hex_fp(fp: Column) -> Column:
