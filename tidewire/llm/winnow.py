@@ -9,25 +9,25 @@ of one hash of their own length: for them every k-gram is kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from .common import BATCH_BYTES, written
+from .common import held, map_column, written
 
 #: Shared words that count, and the k of the k-grams; the window is SPAN - GRAM + 1 hashes.
 SPAN, GRAM = 10, 5
-#: Bits of the fixed-size filter over item fingerprints (1 MB, however many items there are).
-FILTER_BITS = 1 << 23
+#: Bits of the filter over item fingerprints (128 kB to 16 MB for each run length); it only spares work, whatever passes is joined.
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 1 << 20, 1 << 27
 #: Item fingerprints that may be broadcast (under 20 MB); more are joined by shuffling.
 BROADCAST_ROWS = 100_000
-CACHE_WORDS = 400_000
+#: Contaminated rows (a number, a count and item keys each) that may be broadcast.
+BROADCAST_FOUND = 20_000
+CACHE_WORDS = 200_000
 #: Lower-cases A-Z; all other bytes below 0x80 that are no digit or letter end a word.
 FOLD = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -45,9 +45,8 @@ class WordHashes(dict):
         return value
 
 
-@lru_cache(1)
 def word_hashes() -> WordHashes:
-    return WordHashes()
+    return held("words", WordHashes)
 
 
 def hashed_words(text: str | None) -> np.ndarray:
@@ -120,19 +119,25 @@ def item_fingerprints(items: DataFrame, item: str = "item_id", text: str = "text
     return chosen.mapInArrow(run, f"item {kind}, need int, fp bigint, pos int, first int, around array<bigint>")
 
 
-def slots(fp: np.ndarray) -> np.ndarray:
-    return (fp & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def slots(fp: np.ndarray, bits: int) -> np.ndarray:
+    return (fp & np.uint64(bits - 1)).astype(np.int64)
 
 
-def filters(fps: DataFrame) -> dict[int, np.ndarray]:
-    """For each run length a bitmap of fixed size with a bit for every item fingerprint. Set in tasks, merged as bits."""
+def filter_bits(fingerprints: int) -> int:
+    """A power of two of at least 16 bits for each fingerprint, so that at most 1 in 16 others passes, within fixed bounds."""
+    return min(MOST_FILTER_BITS, max(LEAST_FILTER_BITS, 1 << (16 * max(1, fingerprints) - 1).bit_length()))
+
+
+def filters(fps: DataFrame, n: int) -> dict[int, np.ndarray]:
+    """For each run length a bitmap with a bit for every item fingerprint, sized by their number ``n``. Set in tasks, merged as bits."""
+    size = filter_bits(n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits: dict[int, np.ndarray] = {}
         for batch in batches:
             need, fp = np.asarray(batch.column(0)), np.asarray(batch.column(1)).view(np.uint64)
             for n in np.unique(need).tolist():
-                bits.setdefault(n, np.zeros(FILTER_BITS, bool))[slots(fp[need == n])] = True
+                bits.setdefault(n, np.zeros(size, bool))[slots(fp[need == n], size)] = True
         yield pa.RecordBatch.from_arrays([pa.array(list(bits), pa.int32()), pa.array([np.packbits(b).tobytes() for b in bits.values()], pa.binary())], names=["need", "bits"])
 
     # SPAN lengths at most in eight partitions: what comes to the driver has a fixed bound
@@ -144,34 +149,29 @@ def filters(fps: DataFrame) -> dict[int, np.ndarray]:
 
 
 def document_hits(docs: DataFrame, maps: dict[int, np.ndarray], keep: list[str], text: str) -> DataFrame:
-    """``keep`` columns, n_words, a row number, and the kept k-grams of each whole text that pass the filter, with the words around."""
-    spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    sent = spark.sparkContext.broadcast({n: b.tobytes() for n, b in maps.items()})
-    chosen = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
-    fields = [*chosen.schema.fields[:-1], StructField("n_words", LongType()), StructField("__row", LongType())]
-    schema = StructType(fields).add("hits", ArrayType(HIT_TYPE))
+    """``keep`` columns, n_words and __hits: the kept k-grams of each whole text that pass the filter, with the words around."""
+    sent = docs.sparkSession.sparkContext.broadcast({n: b.tobytes() for n, b in maps.items()})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         bits = {n: np.unpackbits(np.frombuffer(b, np.uint8)).view(bool) for n, b in sent.value.items()}
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
+
+        def work(texts: pa.Array) -> list[pa.Array]:
             counts, hits = [], []
-            for t in batch.column(len(keep)).to_pylist():
-                words, own = hashed_words(t), []
+            for t in texts:
+                words, own = hashed_words(t.as_py()), []
                 counts.append(len(words))
                 for need, seen in bits.items():
                     at, fps = fingerprints(words, need)
-                    passed = seen[slots(fps)]
+                    passed = seen[slots(fps, len(seen))]
                     for pos, fp in zip(at[passed].tolist(), fps[passed].tolist(), strict=True):
                         first, near = around(words, pos, need)
                         own.append({"need": need, "fp": fp - (fp >> 63 << 64), "pos": pos, "first": first, "around": near})
                 hits.append(own)
-            rows = pa.array(np.arange(row, row + len(counts), dtype=np.int64))
-            row += len(counts)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(counts, pa.int64()), rows, pa.array(hits, pa.list_(HIT))], names=schema.names)
+            return [pa.array(counts, pa.int64()), pa.array(hits, pa.list_(HIT))]
+
+        return work
 
-    return chosen.mapInArrow(run, schema)
+    return map_column(docs, keep, text, [StructField("n_words", LongType()), StructField("__hits", ArrayType(HIT_TYPE))], make)
 
 
 def _agreeing(left: Column, right: Column) -> Column:
@@ -180,11 +180,11 @@ def _agreeing(left: Column, right: Column) -> Column:
     return F.array_position(same, F.lit(False)) - 1
 
 
-def contaminated_spans(hits: DataFrame, fps: DataFrame) -> DataFrame:
+def contaminated_spans(hits: DataFrame, fps: DataFrame, n: int) -> DataFrame:
     """(__row, item, start, stop): runs of words that documents share with items, long enough to count."""
-    d = hits.where(F.size("hits") > 0).select("__row", F.explode("hits").alias("h")).select("__row", "h.*")
+    d = hits.where(F.size("__hits") > 0).select("__row", F.explode("__hits").alias("h")).select("__row", "h.*")
     i = fps.select(F.col("need").alias("i_need"), F.col("fp").alias("i_fp"), F.col("pos").alias("i_pos"), F.col("first").alias("i_first"), F.col("around").alias("i_around"), "item")
-    if fps.count() <= BROADCAST_ROWS:
+    if n <= BROADCAST_ROWS:
         i = F.broadcast(i)
     both = d.join(i, (F.col("fp") == F.col("i_fp")) & (F.col("need") == F.col("i_need")))
     before = lambda p: F.reverse(F.slice(f"{p}around", F.lit(1), F.col(f"{p}pos") - F.col(f"{p}first")))
@@ -207,17 +207,20 @@ def decontaminate(docs: DataFrame, items: DataFrame, keep: list[str], text: str
     judged row by row; items with a null key are ignored. Without items every text is clean. Kept
     columns that clash with a result column give way to it.
     """
-    new = {"n_words", "n_hit", "items", "contaminated", "hits", "__row"}
-    keep = [c for c in dict.fromkeys(keep) if c not in new]
+    keep = [c for c in dict.fromkeys(keep) if c not in {"n_words", "n_hit", "items", "contaminated"}]
     fps = written(item_fingerprints(items, item, item_text), "items")
-    hits = written(document_hits(docs, filters(fps), keep, text), "hits")
-    spans = contaminated_spans(hits, fps)
+    n = fps.count()
+    hits = document_hits(docs, filters(fps, n), keep, text)
+    hits = written(hits.withColumn("__row", F.monotonically_increasing_id()), "hits")
+    spans = contaminated_spans(hits, fps, n)
     found = spans.groupBy(F.col("__row").alias("__r")).agg(
-        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"), F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items")
+        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("__spans"), F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("__items")
     )
-    found = found.select("__r", union_length(F.col("spans")).alias("n_hit"), "items")
+    found = written(found.select("__r", union_length(F.col("__spans")).alias("__n_hit"), "__items"), "found")
+    if found.count() <= BROADCAST_FOUND:
+        found = F.broadcast(found)
     out = hits.join(found, F.col("__row") == F.col("__r"), "left")
     return out.select(
-        *[F.col(f"`{c}`") for c in keep], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        *[F.col(f"`{c}`") for c in keep], "n_words", F.coalesce("__n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("__items", F.array().cast("array<string>")).alias("items"), (F.coalesce("__n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
