@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import BATCH_BYTES, written
+from .common import small_batches, written
 
 ORDER = 4
 #: Stands before a text ORDER - 1 times.
@@ -101,7 +101,7 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, label: str) -> DataFr
 
 def trained_counts(used: DataFrame, text: str) -> DataFrame:
     """(gram, n): counts of the highest order over all training texts, partial per batch."""
-    used.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    small_batches(used.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

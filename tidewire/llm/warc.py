@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .common import BATCH_BYTES, fresh_path, written
+from .common import fresh_path, small_batches, written
 
 #: Payloads of fewer bytes are always stored; and the records of one archive file at most.
 LEAST_PAYLOAD, FILE_RECORDS = 0, 10_000
@@ -102,7 +102,7 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     target. Extra columns are ignored; an empty table gives archives without records.
     """
     spark = pages.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    small_batches(spark)
     rows = with_payloads(pages, key, url, html, captured)
     stored = rows.groupBy(F.col("sha").alias("__sha")).agg(F.max("page_id").alias("refers_to"))
     # equal payloads meet by digest; a common one is split by the skew join, and texts move once
@@ -126,7 +126,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
     Offsets count the bytes of the unpacked archive. Payload bytes and digest come from the stored payload; a revisit's from its HTTP and WARC headers.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    small_batches(spark)
     files = spark.read.format("binaryFile").load(path).where(F.col("length") > 0).select("path", "content")
     names = [x.split()[0] for x in INDEX_SCHEMA.split(", ")]
 
