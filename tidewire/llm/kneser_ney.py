@@ -1,93 +1,100 @@
-"""Quality by an interpolated modified Kneser-Ney model of characters, trained on trusted texts.
+"""Quality by an interpolated modified Kneser-Ney model of words, trained on trusted texts.
 
-Counts, continuation counts, discounts and probabilities are joins and aggregates sharded by n-gram.
-The log-probability of a character is a sum of terms of single n-grams: for each order the gain of a
-seen n-gram over backing off, and the back-off weight of a seen context. So scoring a text needs
-nothing but the terms of its own n-grams.
+Words are 64-bit hashes. Counts, continuation counts, discounts and probabilities are joins and
+aggregates sharded by n-gram. The log-probability of a word is a sum of terms of single n-grams: for
+each order the gain of a seen n-gram over backing off, and the back-off weight of a seen context. So
+a text's log-probability is a join of its own n-grams with the table of terms and a sum for each
+text; neither the model nor a text's n-grams ever come together in one place.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import small_batches, written
+from .common import held, small_batches, written
+from .winnow import filters, slots
 
-ORDER = 4
+ORDER = 3
 #: Stands before a text ORDER - 1 times.
-PAD = "\x02"
-#: Terms that may be sent to all workers (about 100 MB); a larger model goes to blocks of texts by joins.
-BROADCAST_TERMS = 1_000_000
+PAD = np.uint64(xxhash.xxh64_intdigest(b"", 1))
+#: Turns of a key for each word that follows; keys of the same words in another order differ.
+TURN = 7
 #: Labelled keys that may be broadcast (16 bytes each).
 BROADCAST_LABELS = 4_000_000
-#: Characters aimed at in one block of texts.
-BLOCK_CHARACTERS = 8_000_000
 #: One in so many trusted texts is kept out of the counts and sets the thresholds, at this quantile of their perplexity.
 HOLDOUT, QUANTILE, ACCURACY = 5, 0.99, 10_000
-TABLE = 1 << 26
-
-
-class Windows:
-    """The n-grams of all orders in some texts, with dense numbers. ``ids[k]`` has a number for each position."""
-
-    def __init__(self, texts: list[str]) -> None:
-        pad = PAD * (ORDER - 1)
-        joined = "".join(pad + t for t in texts)
-        self.codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        self.sizes = np.array([len(t) for t in texts], np.int64)
-        starts = np.cumsum(self.sizes + ORDER - 1) - self.sizes
-        self.real = np.ones(len(self.codes), bool)
-        for i in range(1, ORDER):
-            self.real[starts - i] = False
-        self.ids: dict[int, np.ndarray] = {}
-        self.count: dict[int, int] = {}
-        codes = self.codes.astype(np.int64)
-        self.ids[1], self.count[1] = self._dense(codes, 0x110000)
-        for k in range(2, ORDER + 1):
-            # entry i stands for the n-gram that ends at i; the first k - 1 have none and repeat the shorter one's
-            wide = self.ids[1].copy()
-            wide[1:] += self.ids[k - 1][:-1] * self.count[1]
-            self.ids[k], self.count[k] = self._dense(wide, self.count[k - 1] * self.count[1])
-
-    @staticmethod
-    def _dense(values: np.ndarray, limit: int) -> tuple[np.ndarray, int]:
-        if limit <= TABLE:
-            seen = np.zeros(limit, bool)
-            seen[values] = True
-            number = np.cumsum(seen, dtype=np.int64) - 1
-            return number[values], int(number[-1]) + 1 if limit else 0
-        found, number = np.unique(values, return_inverse=True)
-        return number, len(found)
-
-    def grams(self, k: int) -> list[str]:
-        """The n-gram of each number; numbers that only the very first positions have give shorter ones."""
-        last = np.zeros(self.count[k], np.int64)
-        last[self.ids[k][::-1]] = np.arange(len(self.codes))[::-1]
-        at = last[:, None] - np.arange(k - 1, -1, -1)
-        text = self.codes[np.maximum(at, 0)].tobytes().decode("utf-32-le")
-        return [text[i * k : i * k + k] if last[i] >= k - 1 else "" for i in range(len(last))]
-
-    def counts(self, k: int) -> np.ndarray:
-        return np.bincount(self.ids[k][self.real], minlength=self.count[k])
-
-    def log_probabilities(self, terms: dict[str, tuple[float, float]], floor: float) -> np.ndarray:
-        """The sum over each text, given (gain, back-off weight) of n-grams."""
-        total = np.full(len(self.codes), floor)
-        for k in range(1, ORDER + 1):
-            found = [terms.get(g, (0.0, 0.0)) for g in self.grams(k)]
-            gain, back = (np.array(x, float) for x in zip(*found, strict=True))
-            total += gain[self.ids[k]]
-            if k < ORDER:
-                total[1:] += back[self.ids[k]][:-1]
-        ends = np.cumsum(self.sizes + ORDER - 1)
-        running = np.r_[0.0, np.cumsum(np.where(self.real, total, 0.0))]
-        return running[ends] - running[ends - self.sizes - ORDER + 1]
+#: Bytes of a text that are split into words at a time; bounds what a very long text takes.
+SLICE = 4 << 20
+#: Rows of one Arrow batch that goes back.
+ROWS = 100_000
+CACHE_WORDS = 200_000
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+class WordHashes(dict):
+    """Word -> XXH64; forgets everything when full, which bounds a worker's memory."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def hashed(text: str | None) -> np.ndarray:
+    """Hashes of the lower-cased words (A-Z), what stands between white space."""
+    data, found, at = (text or "").encode().lower(), [], 0
+    known = held("model words", WordHashes).__getitem__
+    while at < len(data):
+        gap = SPACE.search(data, at + SLICE)
+        end = gap.start() if gap else len(data)
+        found.append(np.fromiter(map(known, data[at:end].split()), np.uint64))
+        at = end
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
+
+
+def turned(x: np.ndarray) -> np.ndarray:
+    return (x << np.uint64(TURN)) | (x >> np.uint64(64 - TURN))
+
+
+def keys(words: np.ndarray) -> list[np.ndarray]:
+    """The keys of the n-grams of order 1, 2, ... that end at each word; words before the first are PAD."""
+    padded = np.r_[np.full(ORDER - 1, PAD), words]
+    found = [padded]
+    for _ in range(ORDER - 1):
+        longer = padded.copy()
+        longer[1:] ^= turned(found[-1][:-1])
+        found.append(longer)
+    return [x[ORDER - 1 :] for x in found]
+
+
+def contexts(words: np.ndarray) -> list[np.ndarray]:
+    """The keys of the n-grams of order 1, 2, ... that end before each word."""
+    if not len(words):
+        return [words] * (ORDER - 1)
+    before = keys(words[:-1])
+    first = [PAD]
+    for _ in range(ORDER - 2):
+        first.append(np.uint64(PAD ^ turned(np.array([first[-1]]))[0]))
+    return [np.r_[first[k], before[k]] for k in range(ORDER - 1)]
+
+
+def key_of(words: list[Column]) -> Column:
+    """The key of an n-gram given by its words."""
+    found = words[0]
+    for w in words[1:]:
+        found = F.shiftleft(found, TURN).bitwiseOR(F.shiftrightunsigned(found, 64 - TURN)).bitwiseXOR(w)
+    return found
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
@@ -100,20 +107,23 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, label: str) -> DataFr
 
 
 def trained_counts(used: DataFrame, text: str) -> DataFrame:
-    """(gram, n): counts of the highest order over all training texts, partial per batch."""
+    """(w1, w2, w3, n): counts of the highest order over all training texts, partial per batch."""
     small_batches(used.sparkSession)
+    names = [f"w{i + 1}" for i in range(ORDER)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t for t in batch.column(0).to_pylist() if t]
-            if texts:
-                w = Windows(texts)
-                n = w.counts(ORDER)
-                grams = w.grams(ORDER)
-                at = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array([grams[i] for i in at.tolist()], pa.string()), pa.array(n[at], pa.int64())], names=["gram", "n"])
+            texts = [hashed(t.as_py()) for t in batch.column(0)]
+            padded = [np.r_[np.full(ORDER - 1, PAD), w] for w in texts if len(w)]
+            if not padded:
+                continue
+            grams = [np.concatenate([p[i : len(p) - ORDER + 1 + i] for p in padded]) for i in range(ORDER)]
+            _, at, n = np.unique(np.concatenate([keys(w)[-1] for w in texts if len(w)]), return_index=True, return_counts=True)
+            columns = [pa.array(g[at].view(np.int64)) for g in grams]
+            yield from pa.Table.from_arrays([*columns, pa.array(n, pa.int64())], names=[*names, "n"]).to_batches(ROWS)
 
-    return used.where("__use = 1").select(F.col(f"`{text}`").alias("t")).mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    schema = ", ".join(f"{n} long" for n in [*names, "n"])
+    return used.where("__use = 1").select(F.col(f"`{text}`").alias("t")).mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -125,89 +135,92 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
 
 
 def model_terms(counts: DataFrame) -> tuple[DataFrame, float]:
-    """((gram, gain, back), floor): the terms of all n-grams, and the log-probability of a character never seen."""
+    """((key, gain, back), floor): the terms of all n-grams, and the log-probability of a word never seen."""
     tables = {ORDER: written(counts, "counts")}
     for k in range(ORDER - 1, 0, -1):
-        # how many different characters stand before an n-gram
-        tables[k] = written(tables[k + 1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "continuations")
+        # how many different words stand before an n-gram
+        shorter = [F.col(f"w{i + 2}").alias(f"w{i + 1}") for i in range(k)]
+        tables[k] = written(tables[k + 1].groupBy(*shorter).agg(F.count(F.lit(1)).alias("n")), "continuations")
     parts, lower, floor = [], None, 0.0
     for k in range(1, ORDER + 1):
-        d = discounts(tables[k])
-        n = F.col("n")
+        d, n = discounts(tables[k]), F.col("n")
         cut = F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
-        context = F.substring("gram", 1, k - 1) if k > 1 else F.lit("")
-        rows = tables[k].withColumn("context", context)
-        stats = rows.groupBy(F.col("context").alias("c")).agg(F.sum("n").alias("total"), (F.sum(cut) / F.sum("n")).alias("weight"))
-        rows = rows.join(stats, F.col("context") == F.col("c"))
-        if lower is None:
-            first = stats.first()
-            floor = math.log(first["weight"] / (tables[1].count() + 1)) if first else 0.0
-            below = F.lit(floor)
+        words = [F.col(f"w{i + 1}") for i in range(k)]
+        rows = tables[k]
+        if k == 1:
+            total, weight, size = rows.agg(F.sum("n"), F.sum(cut) / F.sum("n"), F.count(F.lit(1))).first()
+            floor = math.log(weight / (size + 1)) if size else 0.0
+            rows = rows.withColumns({"total": F.lit(total or 0), "away": F.lit(floor)})
         else:
-            rows = rows.join(lower.select(F.col("gram").alias("g"), F.col("log_p").alias("below")), F.substring("gram", 2, k - 1) == F.col("g"))
-            below = F.col("below") + F.log("weight")
-            parts.append(stats.select(F.col("c").alias("gram"), F.lit(0.0).alias("gain"), F.log("weight").alias("back")))
-        rows = rows.withColumn("away", below).withColumn("log_p", F.log((n - cut) / F.col("total") + F.exp("away")))
-        lower = written(rows.select("gram", "log_p", (F.col("log_p") - F.col("away")).alias("gain")), "probabilities")
-        parts.append(lower.select("gram", "gain", F.lit(0.0).alias("back")))
+            stats = rows.groupBy(*[w.alias(f"c{i + 1}") for i, w in enumerate(words[:-1])]).agg(F.sum("n").alias("total"), (F.sum(cut) / F.sum("n")).alias("weight"))
+            same = [F.col(f"w{i + 1}") == F.col(f"c{i + 1}") for i in range(k - 1)]
+            below = lower.select(*[F.col(f"w{i + 1}").alias(f"l{i + 1}") for i in range(k - 1)], F.col("log_p").alias("below"))
+            shorter = [F.col(f"w{i + 2}") == F.col(f"l{i + 1}") for i in range(k - 1)]
+            rows = rows.join(stats, same).join(below, shorter).withColumn("away", F.col("below") + F.log("weight"))
+            parts.append(stats.select(key_of([F.col(f"c{i + 1}") for i in range(k - 1)]).alias("key"), F.lit(0.0).alias("gain"), F.log("weight").alias("back")))
+        rows = rows.withColumn("log_p", F.log((n - cut) / F.col("total") + F.exp("away")))
+        lower = written(rows.select(*words, "log_p", (F.col("log_p") - F.col("away")).alias("gain")), "probabilities")
+        parts.append(lower.select(key_of(words).alias("key"), "gain", F.lit(0.0).alias("back")))
     terms = parts[0]
     for p in parts[1:]:
         terms = terms.union(p)
-    return written(terms.groupBy("gram").agg(F.sum("gain").alias("gain"), F.sum("back").alias("back")), "terms"), floor
+    return written(terms.groupBy("key").agg(F.sum("gain").alias("gain"), F.sum("back").alias("back")), "terms"), floor
 
 
-def _log_p_batch(texts: pa.Array, terms: dict[str, tuple[float, float]], floor: float) -> list[pa.Array]:
-    strings = [t or "" for t in texts.to_pylist()]
-    w = Windows(strings)
-    sums = w.log_probabilities(terms, floor) if len(w.codes) else np.zeros(len(strings))
-    return [pa.array(sums, pa.float64()), pa.array(w.sizes, pa.int64())]
+def asked(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, times as an n-gram, times as a context) of a text, each key once."""
+    grams, before = np.concatenate(keys(words)), np.concatenate(contexts(words))
+    found, at = np.unique(np.r_[grams, before], return_inverse=True)
+    return found, np.bincount(at[: len(grams)], minlength=len(found)), np.bincount(at[len(grams) :], minlength=len(found))
 
 
-def _scored_schema(docs: DataFrame, keep: list[str]) -> StructType:
-    return StructType([*(docs.schema[c] for c in keep), StructField("log_p", DoubleType()), StructField("characters", LongType())])
+def score(docs: DataFrame, terms: DataFrame, floor: float, keep: list[str], text: str) -> DataFrame:
+    """``keep`` columns, ``words`` and ``log_p`` of each row.
 
-
-def score_broadcast(docs: DataFrame, terms: DataFrame, floor: float, keep: list[str], text: str) -> DataFrame:
-    """Log-probabilities with all terms sent to the workers; for models whose size was checked."""
-    got = terms.toArrow()
-    sent = docs.sparkSession.sparkContext.broadcast(dict(zip(got["gram"].to_pylist(), zip(got["gain"].to_pylist(), got["back"].to_pylist(), strict=True), strict=True)))
-    schema = _scored_schema(docs, keep)
+    A row for each different n-gram of a text meets the terms; a bitmap of their keys, whose size has
+    a bound, spares those that surely have none. A last row for each text carries its own columns.
+    No key has more than a row for each text, so none is hot.
+    """
+    small_batches(docs.sparkSession)
+    bits = filters(terms.select(F.lit(0).alias("need"), F.col("key").alias("fp")), terms.count()).get(0)
+    sent = docs.sparkSession.sparkContext.broadcast(None if bits is None else bits.tobytes())
+    chosen = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
+    schema = StructType([StructField(n, LongType()) for n in ("__row", "__asked", "__n", "__back", "words")] + [docs.schema[c] for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], *_log_p_batch(b.columns[-1], sent.value, floor)], names=schema.names)
-
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
-
-
-def score_blocks(docs: DataFrame, terms: DataFrame, floor: float, keep: list[str], text: str) -> DataFrame:
-    """Log-probabilities by joins: each block of texts asks for the terms of its own n-grams and gets no others."""
-    size = docs.agg(F.sum(F.length(f"`{text}`"))).first()[0] or 0
-    blocks = max(1, -(-int(size) // BLOCK_CHARACTERS))
-    # by text and row, so that copies of one text go to many blocks
-    dealt = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text")).withColumn("__block", F.pmod(F.xxhash64("__text", *[F.col(f"`{c}`") for c in keep]), F.lit(blocks)))
-    schema = _scored_schema(docs, keep)
-
-    def asked(key, table):
-        w = Windows([t or "" for t in table["__text"].to_pylist()])
-        grams = sorted({g for k in range(1, ORDER + 1) for g in w.grams(k)}) if len(w.codes) else []
-        return pa.table({"block": pa.array([key[0].as_py()] * len(grams), pa.int64()), "gram": pa.array(grams, pa.string())})
-
-    def scored(key, table, own):
-        given = dict(zip(own["gram"].to_pylist(), zip(own["gain"].to_pylist(), own["back"].to_pylist(), strict=True), strict=True))
-        return pa.Table.from_arrays([*(table[c].combine_chunks() for c in keep), *_log_p_batch(table["__text"].combine_chunks(), given, floor)], names=schema.names)
-
-    wanted = dealt.groupBy("__block").applyInArrow(asked, "block long, gram string")
-    given = wanted.join(terms.withColumnRenamed("gram", "g"), F.col("gram") == F.col("g")).select("block", "gram", "gain", "back")
-    return dealt.groupBy("__block").cogroup(given.groupBy("block")).applyInArrow(scored, schema)
-
-
-def perplexity(log_p: Column, characters: Column) -> Column:
-    return F.when(characters > 0, F.exp(-log_p / characters))
-
-
-def quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "quality", largest_broadcast: int = BROADCAST_TERMS) -> DataFrame:
+        seen = None if sent.value is None else np.unpackbits(np.frombuffer(sent.value, np.uint8)).view(bool)
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            parts, sizes, first = [], [], row
+            for t in batch.column(len(keep)):
+                words = hashed(t.as_py())
+                sizes.append(len(words))
+                if seen is not None and len(words):
+                    found, n, back = asked(words)
+                    passed = seen[slots(found, len(seen))]
+                    parts.append((np.full(passed.sum(), row), found[passed].view(np.int64), n[passed], back[passed]))
+                row += 1
+            own = np.arange(first, row)
+            none = pa.nulls(batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(own), none, none, pa.array(sizes, pa.int64()), *batch.columns[:-1]], names=schema.names)
+            if parts:
+                columns = [pa.array(np.concatenate(x), pa.int64()) for x in zip(*parts, strict=True)]
+                size = len(columns[0])
+                columns += [pa.nulls(size, pa.int64()), *(pa.nulls(size, batch.schema.field(i).type) for i in range(len(keep)))]
+                yield from pa.Table.from_arrays(columns, names=schema.names).to_batches(ROWS)
+
+    met = chosen.mapInArrow(run, schema).join(terms, (F.col("__asked") == F.col("key")) & F.col("__n").isNotNull(), "left")
+    part = F.coalesce(F.col("__n") * F.col("gain") + F.col("__back") * F.col("back"), F.lit(0.0))
+    own = F.max(F.when(F.col("words").isNotNull(), F.struct("words", *keep))).alias("__own")
+    summed = met.groupBy("__row").agg(F.sum(part).alias("__sum"), own)
+    return summed.select(*[F.col("__own")[c].alias(c) for c in keep], F.col("__own.words").alias("words"), (F.col("__sum") + F.col("__own.words") * floor).alias("log_p"))
+
+
+def perplexity(log_p: Column, words: Column) -> Column:
+    return F.when(words > 0, F.exp(-log_p / words))
+
+
+def quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "quality") -> DataFrame:
     """(key, lang, perplexity, cutoff, kept): a text is kept if its perplexity is at most its language's cutoff.
 
     The cutoff is a quantile over trusted texts that the model has not counted. Null and empty texts
@@ -216,11 +229,11 @@ def quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     texts with words are kept.
     """
     base = docs.select(F.col(f"`{key}`").alias("__id"), F.col(f"`{lang}`").alias("__lang"), F.col(f"`{text}`").alias("__text"))
-    used = labelled(base, labels, "__id", label) if key == "__id" else labelled(base, labels.withColumnRenamed(key, "__id"), "__id", label)
+    used = labelled(base, labels if key == "__id" else labels.withColumnRenamed(key, "__id"), "__id", label)
     terms, floor = model_terms(trained_counts(used, "__text"))
-    keep = ["__id", "__lang", "__use"]
-    score = score_broadcast if terms.count() <= largest_broadcast else score_blocks
-    scored = written(score(used, terms, floor, keep, "__text").withColumn("perplexity", perplexity(F.col("log_p"), F.col("characters"))), "perplexity")
+    scored = score(used, terms, floor, ["__id", "__lang", "__use"], "__text")
+    # sums of floating-point terms depend on their order; this many digits do not
+    scored = written(scored.withColumn("perplexity", F.round(perplexity(F.col("log_p"), F.col("words")), 6)), "perplexity")
     limits = scored.where("__use = 2").groupBy(F.col("__lang").alias("__l")).agg(F.percentile_approx("perplexity", QUANTILE, ACCURACY).alias("cutoff"))
     out = scored.join(limits, F.col("__lang").eqNullSafe(F.col("__l")), "left")
     kept = F.col("perplexity").isNotNull() & (F.col("cutoff").isNull() | (F.col("perplexity") <= F.col("cutoff")))
