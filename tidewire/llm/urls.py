@@ -22,14 +22,18 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#\s]*(/[^?#\s]*)", 1)
 
 
-def keys(url: Column) -> Column:
-    """What entries may name: every host suffix (``b.c`` covers ``a.b.c``), and the whole host with each path prefix (``a.b.c/x``)."""
-    labels = F.split(host(url), r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    parts = F.filter(F.split(path(url), "/"), lambda s: s != "")
+def keys(url: Column, labels: int, parts: int) -> Column:
+    """What entries may name: host suffixes (``b.c`` covers ``a.b.c``) of up to ``labels`` labels, and the whole host with path prefixes (``a.b.c/x``) of up to ``parts`` parts.
+
+    The bounds are those of the list, so long hosts and paths give no more keys than it can match.
+    """
+    own = F.split(host(url), r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(F.size(own), F.lit(labels))), lambda i: F.array_join(F.slice(own, F.size(own) - i + 1, i), "."))
+    steps = F.slice(F.filter(F.split(path(url), "/"), lambda s: s != ""), 1, parts)
+    none = F.array().cast("array<string>")
     # for lack of parts the sequence would run downwards
-    prefixes = F.when(F.size(parts) > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda i: F.concat(host(url), F.lit("/"), F.array_join(F.slice(parts, 1, i), "/")))).otherwise(F.array().cast("array<string>"))
-    return F.when(host(url) != "", F.array_distinct(F.concat(suffixes, prefixes))).otherwise(F.array().cast("array<string>"))
+    prefixes = F.when(F.size(steps) > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1))), lambda i: F.concat(host(url), F.lit("/"), F.array_join(F.slice(steps, 1, i), "/")))).otherwise(none)
+    return F.when(host(url) != "", F.array_distinct(F.concat(suffixes, prefixes))).otherwise(none)
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -53,8 +57,10 @@ def filter_captures(captures: DataFrame, entries: DataFrame, url: str = "url", f
     captures = captures.drop("blocked", "matched", "categories")
     u, f = F.col(f"`{url}`"), F.col(f"`{fetched}`")
     asked = captures.select(u.alias("__url"), f.alias("__at")).where(F.col("__url").isNotNull() & F.col("__at").isNotNull()).distinct()
-    each = asked.select("__url", "__at", F.explode(keys(F.col("__url"))).alias("__key"))
     valid = intervals(entries)
+    entry_parts = F.split("entry", "/")
+    labels, parts = valid.agg(F.coalesce(F.max(F.size(F.split(F.get(entry_parts, F.lit(0)), r"\."))), F.lit(1)), F.coalesce(F.max(F.size(entry_parts)), F.lit(1))).first()
+    each = asked.select("__url", "__at", F.explode(keys(F.col("__url"), labels, max(1, parts - 1))).alias("__key"))
     asof = each.join(valid, (F.col("__key") == F.col("entry")) & (F.col("__at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("__at") < F.col("valid_to"))))
     found = asof.groupBy("__url", "__at").agg(F.array_sort(F.collect_set("entry")).alias("matched"), F.array_sort(F.collect_set("category")).alias("categories"))
     out = captures.join(found, (u == F.col("__url")) & (f == F.col("__at")), "left").drop("__url", "__at")
