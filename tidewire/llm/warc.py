@@ -1,5 +1,7 @@
 """WARC archives: writing with revisit records, reading back, and a globally ordered capture index.
 
+Each record is a gzip member of its own, so an index entry's offset and length suffice to read it.
+
 The index is an external merge: each archive file gives a run of captures sorted by URL key and
 time; ranges of that order are dealt to tasks, each of which merges its slices of all runs with a
 loser tree.
@@ -10,20 +12,23 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator, Sequence
 from datetime import UTC, datetime
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .common import fresh_path, small_batches, written
 
-#: Payloads of fewer bytes are always stored; and the records of one archive file at most.
-LEAST_PAYLOAD, FILE_RECORDS = 0, 10_000
+#: Payloads of fewer bytes are always stored; records and, by the mean payload, bytes aimed at in one archive file.
+LEAST_PAYLOAD, FILE_RECORDS, FILE_BYTES = 0, 10_000, 64 << 20
+#: Packed bytes that are unpacked at a time.
+STEP = 1 << 14
 #: Index rows aimed at in one range of the merge.
 RANGE_ROWS = 100_000
 #: Time of the first capture where a table has none; later ones follow by their id in seconds.
@@ -55,43 +60,61 @@ def _header(value: str) -> str:
 
 
 def record(page_id: int | None, url: str | None, captured: datetime, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
-    """One record without its final line end."""
+    """One record."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if revisit else http + payload
     name = lambda i: "<urn:page:" + ("none" if i is None else str(i)) + ">"
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {name(page_id)}"]
-    lines += [f"WARC-Date: {captured.strftime('%Y-%m-%dT%H:%M:%SZ')}"]
+    lines += [f"WARC-Date: {captured.strftime('%Y-%m-%dT%H:%M:%S.%fZ' if captured.microsecond else '%Y-%m-%dT%H:%M:%SZ')}"]
     if url is not None:
         lines += [f"WARC-Target-URI: {_header(url)}"]
     lines += [f"WARC-Payload-Digest: sha1:{digest}"]
     if revisit:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {name(refers_to)}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
-    return "\r\n".join(lines).encode() + CRLF + CRLF + block + CRLF
+    return "\r\n".join(lines).encode() + CRLF + CRLF + block + CRLF + CRLF
+
+
+def member(data: bytes) -> bytes:
+    """``data`` as a gzip member whose last byte is zero: one of 16 MB or more is followed by an empty member."""
+    packed = gzip.compress(data, 6, mtime=0)
+    return packed if packed[-1] == 0 else packed + gzip.compress(b"", 6, mtime=0)
 
 
-def records(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, headers, block) of each record, by the lengths that headers state."""
-    at = 0
+def members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, content) of each member that is not empty, one unpacked at a time."""
+    at, whole = 0, memoryview(data)
     while at < len(data):
-        head = data.index(CRLF + CRLF, at)
-        first, *lines = data[at:head].decode().split("\r\n")
-        if not first.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = dict(x.split(": ", 1) for x in lines)
-        start = head + 4
-        end = start + int(headers["Content-Length"])
-        if data[end : end + 4] != CRLF + CRLF:
-            raise ValueError(f"record at byte {at} does not end as it states")
-        yield at, end + 4 - at, headers, data[start:end]
-        at = end + 4
+        unpack, content, fed = zlib.decompressobj(31), [], at
+        while not unpack.eof:
+            if fed >= len(data):
+                raise ValueError(f"the member at byte {at} is cut off")
+            # by small steps, as what follows a member is copied
+            content.append(unpack.decompress(whole[fed : fed + STEP]))
+            fed += STEP
+        end = min(fed, len(data)) - len(unpack.unused_data)
+        if any(content):
+            yield at, end - at, b"".join(content)
+        at = end
+
+
+def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
+    """Headers and block of a record, by the length that the headers state."""
+    head = data.index(CRLF + CRLF)
+    first, *lines = data[:head].decode().split("\r\n")
+    if not first.startswith("WARC/"):
+        raise ValueError("no record")
+    headers = dict(x.split(": ", 1) for x in lines)
+    end = head + 4 + int(headers["Content-Length"])
+    if data[end:] != CRLF + CRLF:
+        raise ValueError("the record does not end as it states")
+    return headers, data[head + 4 : end]
 
 
 def with_payloads(pages: DataFrame, key: str, url: str, html: str, captured: str | None) -> DataFrame:
     when = F.col(f"`{captured}`").cast("timestamp") if captured else F.timestamp_seconds(F.unix_timestamp(F.lit(FIRST_CAPTURE).cast("timestamp")) + F.pmod(F.coalesce(F.col(f"`{key}`"), F.lit(0)), F.lit(86400 * 365)))
     html = F.coalesce(F.col(f"`{html}`"), F.lit(""))
-    # the SHA-1 stands for the payload until records are written
-    return pages.select(F.col(f"`{key}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.coalesce(when, F.lit(FIRST_CAPTURE).cast("timestamp")).alias("captured"), html.cast("binary").alias("payload")).withColumn("sha", F.sha1("payload"))
+    return pages.select(F.col(f"`{key}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.coalesce(when, F.lit(FIRST_CAPTURE).cast("timestamp")).alias("captured"), html.cast("binary").alias("payload")).withColumns({"sha": F.sha1("payload"), "same": F.sha2("payload", 256)})
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", captured: str | None = None) -> None:
@@ -104,27 +127,31 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     spark = pages.sparkSession
     small_batches(spark)
     rows = with_payloads(pages, key, url, html, captured)
-    stored = rows.groupBy(F.col("sha").alias("__sha")).agg(F.max("page_id").alias("refers_to"))
-    # equal payloads meet by digest; a common one is split by the skew join, and texts move once
-    dealt = rows.join(stored, F.col("sha") == F.col("__sha")).drop("__sha")
+    # equal payloads meet by their SHA-256, as SHA-1 collisions can be made; a common one is split by the skew join, and texts move once
+    stored = rows.groupBy(F.col("same").alias("__same")).agg(F.max("page_id").alias("refers_to"))
+    dealt = rows.join(stored, F.col("same") == F.col("__same")).drop("__same")
+    mean = rows.agg(F.avg(F.octet_length("payload"))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for page_id, target, when, payload, sha, refers_to in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "captured", "payload", "sha", "refers_to")), strict=True):
                 revisit = len(payload) >= LEAST_PAYLOAD and page_id != refers_to
-                out.append(record(page_id, target, when.astimezone(UTC), payload, base64.b32encode(bytes.fromhex(sha)).decode(), refers_to, revisit))
+                one = record(page_id, target, when.astimezone(UTC), payload, base64.b32encode(bytes.fromhex(sha)).decode(), refers_to, revisit)
+                out.append(member(one)[:-1])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    # Spark's text writer puts bytes as they are and the last line end of each record; its commits survive lost executors
+    # Spark's text writer puts bytes as they are and, as line end, the zero that each member ends with; its commits survive lost executors
     written_records = dealt.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
-    written_records.write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    in_file = max(1, min(FILE_RECORDS, int(FILE_BYTES // (mean + 1024))))
+    written_records.write.option("lineSep", "\0").option("maxRecordsPerFile", in_file).text(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The records under ``path``, each file a run sorted by URL key, time and page.
 
-    Offsets count the bytes of the unpacked archive. Payload bytes and digest come from the stored payload; a revisit's from its HTTP and WARC headers.
+    Offset and length are those of the record's gzip member. Payload bytes and digest come from the
+    stored payload; a revisit's from its HTTP and WARC headers. Records are unpacked one at a time.
     """
     small_batches(spark)
     files = spark.read.format("binaryFile").load(path).where(F.col("length") > 0).select("path", "content")
@@ -138,14 +165,15 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, data in zip(batch.column(0), batch.column(1), strict=True):
                 found = []
-                for offset, length, headers, block in records(gzip.decompress(data.as_py())):
+                for offset, length, content in members(data.as_py()):
+                    headers, block = parsed(content)
                     head, _, payload = block.partition(CRLF + CRLF)
                     stated = int(head.decode().split("Content-Length: ", 1)[1].split("\r\n", 1)[0])
                     digest, target = headers["WARC-Payload-Digest"].removeprefix("sha1:"), headers.get("WARC-Target-URI")
                     response = headers["WARC-Type"] == "response"
                     if response and (len(payload) != stated or base32_sha1(payload) != digest):
                         raise ValueError(f"payload at byte {offset} is not what its headers state")
-                    when = datetime.strptime(headers["WARC-Date"], "%Y-%m-%dT%H:%M:%SZ").replace(tzinfo=UTC)
+                    when = datetime.fromisoformat(headers["WARC-Date"])
                     refers = None if response else page(headers["WARC-Refers-To"])
                     found.append((url_key(target or ""), when, page(headers["WARC-Record-ID"]), target, headers["WARC-Type"], refers, digest, len(payload) if response else stated, offset, length))
                 if not found:
@@ -196,14 +224,14 @@ class LoserTree:
 
 
 def merge_runs(index: DataFrame) -> DataFrame:
-    """The captures of all runs in global order of URL key, time and page, with ``range`` and ``place`` as that order.
+    """The captures of all runs in global order of URL key, time and page; ``place`` is the number in that order.
 
     Ranges come from sampled bounds over the whole key, so a URL with very many captures is split too.
     """
     ranges = max(1, -(-index.count() // RANGE_ROWS))
     # shuffling loses the runs' order within a range; this brings each run's slice back
     dealt = index.repartitionByRange(ranges, "urlkey", "captured", "page_id").sortWithinPartitions("run", "pos")
-    schema = StructType([*dealt.schema.fields, StructField("range", IntegerType()), StructField("place", LongType())])
+    schema = StructType([*dealt.schema.fields, StructField("__range", IntegerType()), StructField("__place", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
@@ -215,10 +243,14 @@ def merge_runs(index: DataFrame) -> DataFrame:
         starts = [i for i in range(len(runs)) if not i or runs[i] != runs[i - 1]] + [len(runs)]
         order = [k[-1] for k in LoserTree([iter(keys[a:b]) for a, b in zip(starts, starts[1:], strict=False)])]
         out = rows.take(pa.array(order, pa.int64()))
-        out = out.append_column("range", pa.array([TaskContext.get().partitionId()] * len(order), pa.int32())).append_column("place", pa.array(range(len(order)), pa.int64()))
+        out = out.append_column("__range", pa.array([TaskContext.get().partitionId()] * len(order), pa.int32())).append_column("__place", pa.array(range(len(order)), pa.int64()))
         yield from out.to_batches(max_chunksize=10_000)
 
-    return dealt.mapInArrow(run, schema)
+    merged = written(dealt.mapInArrow(run, schema), "merged")
+    # a row for each range: how many captures stand before it
+    sizes = merged.groupBy(F.col("__range").alias("__r")).agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select("__r", (F.sum("__n").over(Window.orderBy("__r")) - F.col("__n")).alias("__before"))
+    return merged.join(F.broadcast(before), F.col("__range") == F.col("__r")).withColumn("place", F.col("__before") + F.col("__place")).drop("__range", "__place", "__r", "__before")
 
 
 def capture_index(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", captured: str | None = None, path: str | None = None) -> DataFrame:
