@@ -1,9 +1,9 @@
 """License scans with a positional rare-token index.
 
-Templates are indexed by word: (word, template, position). For each file its licence words with the
-highest IDF are looked up; postings that agree on the relative position (place in the file less
-place in the template) vote together, and a template counts only if a mandatory key phrase of it
-stands in the file. No Python workers take part.
+Templates are indexed by word: (word, template, position). For each file and each template whose
+mandatory key phrase stands in it, the template's words in the file with the highest IDF are looked
+up; postings that agree on the relative position (place in the file less place in the template) vote
+together. No Python workers take part.
 """
 
 from __future__ import annotations
@@ -15,31 +15,43 @@ from .common import written
 
 #: Phrases whose places are counted, and their labels (fixed values of the contract).
 PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
-#: label, template words, mandatory key phrase.
+#: label, template words, mandatory key phrase. Templates are the running text of notices and licences, as words.
 TEMPLATES = (
     ("mit", "released under the mit license", "mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "permission is hereby granted free of charge"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "permission to use copy modify and or distribute this software"),
     ("apache", "licensed under the apache license version 2 0", "apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at", "except in compliance with the license"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "gnu general public license"),
-    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation", "gnu lesser general public license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source and binary forms"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license", "mozilla public license"),
-    ("cc-by", "this work is licensed under a creative commons attribution international license", "creative commons attribution"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", "except in compliance with the license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose", "gnu general public license"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", "gnu lesser general public license"),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation", "gnu affero general public license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", "redistribution and use in source and binary forms"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at", "mozilla public license"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", "eclipse public license"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", "in no event will the authors be held liable"),
+    ("bsl", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "any person or organization obtaining a copy of the software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain by waiving all rights to the work worldwide under copyright law", "dedicated the work to the public domain"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
     ("cc-by", "licensed under cc by 4 0", "cc by 4 0"),
     ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
     ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
-    ("proprietary", "all rights reserved no part may be reproduced without prior written permission", "all rights reserved"),
+    ("proprietary", "all rights reserved no part of this publication may be reproduced distributed or transmitted in any form or by any means without the prior written permission of the publisher", "all rights reserved"),
 )
 #: Template words too common to look up.
-COMMON = frozenset("a and any as at be by can in is it may no not of or part prior that the this to with work you 0 2 4".split())
-#: Licence words looked up per file, and those that must agree on a relative position.
+COMMON = frozenset("a all an and any are as at be been but by can do each either for from has have if in into is it its may must no not of on one or other part so such that the this to under use was were which who whom will with work you your 0 2 4 v".split())
+#: Words looked up for each file and template, and those that must agree on a relative position.
 LOOKED_UP, MIN_AGREEING = 8, 2
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 VOCABULARY = sorted({w for _, words, _ in TEMPLATES for w in words.split()} - COMMON)
 
 
+def lookups(words: str) -> int:
+    """How many words of a template are looked up at most."""
+    return min(LOOKED_UP, len(set(words.split()) - COMMON))
+
+
 def spaced_words(text: Column) -> Column:
     """A-Z lower-cased, words joined by single spaces."""
     # lower() maps KELVIN SIGN, alone outside ASCII, to an ASCII letter as a whole; it must stay a foreign letter
@@ -60,14 +72,15 @@ def word_scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame
         *kept,
         F.size(words).cast("long").alias("n_words"),
         padded.alias("__padded"),
-        F.when(F.arrays_overlap(words, vocabulary), hits).alias("hits"),
+        F.array_intersect(words, vocabulary).alias("__seen"),
+        F.when(F.arrays_overlap(words, vocabulary), hits).alias("__hits"),
     )
     padded, phrases = F.col("__padded"), []
     for k, (phrase, _) in enumerate(PHRASES):
         pieces = F.when(F.contains(padded, F.lit(f" {phrase} ")), F.split(padded, f"(?<= ){phrase}(?= )", -1))
         phrases.append(pieces.alias(f"__p{k}"))
     keys = F.array_compact(F.array(*[F.when(F.contains(padded, F.lit(f" {key} ")), F.lit(t)) for t, (_, _, key) in enumerate(TEMPLATES)]))
-    a = a.select(*kept, "n_words", "hits", F.when(F.size("hits") > 0, keys).alias("keys"), *phrases)
+    a = a.select(*kept, "n_words", "__seen", "__hits", F.when(F.size("__seen") > 0, keys).alias("__keys"), *phrases)
     spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
     found, first, last = [], [], []
     for k, (phrase, _) in enumerate(PHRASES):
@@ -80,23 +93,21 @@ def word_scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame
     total = found[0]
     for n in found[1:]:
         total = total + n
-    return a.select(*kept, "n_words", total.cast("long").alias("n_base"), F.least(*first).alias("first_word"), F.greatest(*last).alias("last_word"), labels.alias("base_label_list"), "hits", "keys")
+    return a.select(*kept, "n_words", total.cast("long").alias("n_base"), F.least(*first).alias("first_word"), F.greatest(*last).alias("last_word"), labels.alias("__base"), "__seen", F.when(F.size("__keys") > 0, F.col("__hits")).alias("__hits"), "__keys")
 
 
 def template_votes(scanned: DataFrame, row: str) -> DataFrame:
-    """(row, template, agreeing): for each file and template the most looked-up words at one relative position."""
+    """(row, template, agreeing): for each file and template whose key phrase it holds the most looked-up words at one relative position."""
     spark = scanned.sparkSession
-    each = scanned.where(F.size("hits") > 0).select(row, F.explode("hits").alias("h")).select(row, "h.word", "h.pos")
-    # document frequencies: one row for each vocabulary word at most
-    df = scanned.where(F.size("hits") > 0).select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    # as N is the same for all words, the order by IDF is that by falling frequency
-    words = each.select(row, "word").distinct().join(F.broadcast(df), "word")
-    by_idf = Window.partitionBy(row).orderBy("df", "word")
-    chosen = words.withColumn("__r", F.row_number().over(by_idf)).where(F.col("__r") <= LOOKED_UP).select(F.col(row).alias("__row"), F.col("word").alias("__word"))
-    rare = each.join(chosen, (F.col(row) == F.col("__row")) & (F.col("word") == F.col("__word")), "left_semi")
-    postings = [(w, t, i) for t, (_, words_, _) in enumerate(TEMPLATES) for i, w in enumerate(words_.split()) if w not in COMMON]
+    postings = [(w, t, i) for t, (_, words, _) in enumerate(TEMPLATES) for i, w in enumerate(words.split()) if w not in COMMON]
     index = spark.createDataFrame(postings, "word string, template int, at int")
-    aligned = rare.join(F.broadcast(index), "word").groupBy(row, "template", (F.col("pos") - F.col("at")).alias("offset")).agg(F.count_distinct("word").alias("agreeing"))
+    # document frequencies: one row for each vocabulary word at most; as N is the same for all words, the order by IDF is that by frequency
+    df = scanned.where(F.size("__seen") > 0).select(F.explode("__seen").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    ranked = index.select("template", "word").distinct().join(F.broadcast(df), "word").groupBy("template").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("__ranked"))
+    each = scanned.where(F.size("__keys") > 0).select(row, F.explode("__keys").alias("template"), "__seen", "__hits").join(F.broadcast(ranked), "template")
+    chosen = F.slice(F.filter(F.transform("__ranked", lambda r: r["word"]), lambda w: F.array_contains("__seen", w)), 1, LOOKED_UP)
+    rare = each.select(row, "template", "__hits", chosen.alias("__chosen")).select(row, "template", F.explode(F.filter("__hits", lambda h: F.array_contains("__chosen", h["word"]))).alias("h")).select(row, "template", "h.word", "h.pos")
+    aligned = rare.join(F.broadcast(index), ["template", "word"]).groupBy(row, "template", (F.col("pos") - F.col("at")).alias("offset")).agg(F.count_distinct("word").alias("agreeing"))
     return aligned.groupBy(row, "template").agg(F.max("agreeing").alias("agreeing"))
 
 
@@ -108,17 +119,16 @@ def scan_licenses(docs: DataFrame, keep: list[str], text: str = "text") -> DataF
     labels. Repeated rows are scanned each; an empty table gives an empty result; extra columns are
     ignored, and kept ones that clash with a result column give way to it.
     """
-    new = {"n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "base_label_list", "hits", "keys"}
+    new = {"n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"}
     keep = [c for c in dict.fromkeys(keep) if c not in new]
     scanned = written(word_scan(docs, keep, text).withColumn("__file", F.monotonically_increasing_id()), "licenses")
-    size = F.create_map(*[F.lit(x) for t, (_, words, _) in enumerate(TEMPLATES) for x in (t, min(LOOKED_UP, len(set(words.split()) - COMMON)))])
+    size = F.create_map(*[F.lit(x) for t, (_, words, _) in enumerate(TEMPLATES) for x in (t, lookups(words))])
     label = F.create_map(*[F.lit(x) for t, (name, _, _) in enumerate(TEMPLATES) for x in (t, name)])
     votes = template_votes(scanned, "__file").where(F.col("agreeing") >= MIN_AGREEING)
-    votes = votes.join(scanned.where(F.size("keys") > 0).select("__file", "keys"), "__file").where(F.array_contains("keys", F.col("template")))
     t = F.col("template")
-    found = votes.groupBy(F.col("__file").alias("__f")).agg(F.collect_set(label[t]).alias("__labels"), F.max(F.least(F.lit(1.0), F.col("agreeing") / size[t])).alias("__score"))
+    found = votes.groupBy(F.col("__file").alias("__f")).agg(F.collect_set(label[t]).alias("__labels"), F.max(F.col("agreeing") / size[t]).alias("__score"))
     out = scanned.join(found, F.col("__file") == F.col("__f"), "left")
-    base = F.col("base_label_list")
+    base = F.col("__base")
     return out.select(
         *[F.col(f"`{c}`") for c in keep], "n_words", "n_base", "first_word", "last_word",
         F.array_join(base, ",").alias("base_labels"),
