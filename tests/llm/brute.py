@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 
+import numpy as np
 import xxhash
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -110,3 +112,71 @@ def rules(text):
     lines = [x for x in text.split("\n") if SPACED.search(x)]
     base = len(w) < 50 or 100 * len(covered) > 50 * len(w)
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), base
+
+
+class KneserNey:
+    """Interpolated modified Kneser-Ney of word trigrams, by the recursive formula."""
+
+    def __init__(self, texts):
+        self.counts = {k: {} for k in (1, 2, 3)}
+        for t in texts:
+            w = ["", "", *self.split(t)]
+            for i in range(2, len(w)):
+                g = tuple(w[i - 2 : i + 1])
+                self.counts[3][g] = self.counts[3].get(g, 0) + 1
+        for k in (2, 1):
+            for g in self.counts[k + 1]:
+                self.counts[k][g[1:]] = self.counts[k].get(g[1:], 0) + 1
+        self.words = [w for (w,) in self.counts[1]]
+        self.discount, self.total, self.kept = {}, {}, {}
+        for k, table in self.counts.items():
+            n = [sum(c == i for c in table.values()) for i in range(5)]
+            y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0.5
+            raw = [i - (i + 1) * y * n[i + 1] / n[i] if n[i] else 0.5 * i for i in (1, 2, 3)]
+            self.discount[k] = [min(max(d, 0.1), 0.95 * i) for i, d in enumerate(raw, 1)]
+            for g, c in table.items():
+                self.total[k, g[:-1]] = self.total.get((k, g[:-1]), 0) + c
+                self.kept[k, g[:-1]] = self.kept.get((k, g[:-1]), 0) + self.discount[k][min(c, 3) - 1]
+
+    @staticmethod
+    def split(text):
+        return [w.decode() for w in (text or "").encode().lower().split()]
+
+    def p(self, word, context):
+        k = len(context) + 1
+        lower = self.p(word, context[1:]) if context else 1 / (len(self.words) + 1)
+        if (k, context) not in self.total:
+            return lower
+        total, c = self.total[k, context], self.counts[k].get((*context, word), 0)
+        own = (c - self.discount[k][min(c, 3) - 1]) / total if c else 0
+        return own + self.kept[k, context] / total * lower
+
+    def perplexity(self, text):
+        w = ["", "", *self.split(text)]
+        if len(w) == 2:
+            return None
+        return math.exp(-sum(math.log(self.p(w[i], (w[i - 2], w[i - 1]))) for i in range(2, len(w))) / (len(w) - 2))
+
+
+def telling_words(sets, toxic, least_rows, least_z, always):
+    n, positives, found = len(toxic), sum(toxic), []
+    for w in set().union(*sets):
+        yes = sum(y for s, y in zip(sets, toxic, strict=True) if w in s)
+        rows = sum(w in s for s in sets)
+        a, b, c, d = yes + 0.5, positives - yes + 0.5, rows - yes + 0.5, n - positives - (rows - yes) + 0.5
+        z = abs(math.log(a * d / (b * c)) / math.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
+        if rows >= least_rows and (z >= least_z or w in always):
+            found.append(w)
+    return sorted(found)
+
+
+def logistic(rows, toxic, size, ridge):
+    """Plain gradient descent."""
+    x = np.zeros((len(rows), size))
+    for i, own in enumerate(rows):
+        x[i, own] = 1
+    y, w, b = np.array(toxic, float), np.zeros(size), 0.0
+    for _ in range(20_000):
+        p = 1 / (1 + np.exp(-(x @ w + b)))
+        w, b = w - 0.5 * (x.T @ (p - y) / len(y) + ridge * w), b - 0.5 * (p - y).mean()
+    return lambda own: 1 / (1 + math.exp(-(w[own].sum() + b)))

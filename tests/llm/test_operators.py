@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,7 @@ import public_tokenizers
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm import brute
@@ -156,13 +159,39 @@ def test_warc_round_trip(spark):
     pages = spark.createDataFrame([(i, f"http://h{i % 3}.org/{i % 2}", h, "z") for i, h in enumerate(html)], "page_id long, url string, html string, sha string")
     got = warc.capture_index(pages)
     assert rows_of(got, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == sorted(brute.warc(list(enumerate(html))), key=repr)
-    ordered = [(r["urlkey"], r["captured"]) for r in got.orderBy("range", "place").collect()]
-    assert ordered == sorted(ordered)
+    rows = got.orderBy("place").collect()
+    ordered = [(r["urlkey"], r["captured"], r["page_id"]) for r in rows]
+    assert ordered == sorted(ordered) and [r["place"] for r in rows] == list(range(len(rows)))
     assert warc.capture_index(pages.limit(0)).count() == 0
     odd = spark.createDataFrame([(None, None, "a"), (1, "no url", "a"), (1, "http://x\ny/", "a")], "page_id long, url string, html string")
     assert rows_of(warc.capture_index(odd), "page_id", "record_type", "refers_to") == sorted([(None, "revisit", 1), (1, "response", None), (1, "response", None)], key=repr)
 
 
+def test_warc_ranges_are_merged_in_global_order(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "RANGE_ROWS", 20)
+    monkeypatch.setattr(warc, "FILE_RECORDS", 7)
+    pages = spark.createDataFrame([(i, f"http://h{i % 5}.org/{i % 3}", f"<p>{i % 50}</p>", f"2024-01-01 00:00:{i % 60:02}.5") for i in range(200)], "page_id long, url string, html string, at string")
+    rows = warc.capture_index(pages, captured="at", path=str(tmp_path / "archives")).orderBy("place").collect()
+    assert [r["place"] for r in rows] == list(range(200)) and len({r["run"] for r in rows}) > 20
+    assert [(r["urlkey"], r["captured"], r["page_id"]) for r in rows] == sorted((r["urlkey"], r["captured"], r["page_id"]) for r in rows)
+    assert all(r["captured"].microsecond == 500_000 for r in rows)
+    # an entry's place in its file is enough to read the record
+    r = next(r for r in rows if r["record_type"] == "response")
+    data = open(r["run"].removeprefix("file:"), "rb").read()[r["offset"] : r["offset"] + r["length"]]
+    headers, block = warc.parsed(gzip.decompress(data))
+    assert headers["WARC-Record-ID"] == f"<urn:page:{r['page_id']}>" and block.endswith(f"<p>{r['page_id'] % 50}</p>".encode())
+
+
+def test_warc_members():
+    big = random.Random(1).randbytes(17 << 20)
+    data = warc.member(b"a") + warc.member(big) + warc.member(b"c" * 100)
+    found = list(warc.members(data))
+    assert [c for _, _, c in found] == [b"a", big, b"c" * 100] and all(gzip.decompress(data[o : o + n]) == c for o, n, c in found)
+    assert all(warc.member(x)[-1] == 0 for x in (b"", b"a", big))
+    with pytest.raises(ValueError):
+        list(warc.members(data[:-9]))
+
+
 @given(st.lists(st.lists(st.integers(0, 20)), max_size=9))
 def test_loser_tree(runs):
     runs = [[(x, k, i) for i, x in enumerate(sorted(r))] for k, r in enumerate(runs)]
@@ -170,26 +199,30 @@ def test_loser_tree(runs):
     assert list(warc.LoserTree([iter(r) for r in runs])) == sorted(x for r in runs for x in r)
 
 
-def test_kneser_ney_is_a_distribution_and_paths_agree(spark):
+def test_kneser_ney_as_a_plain_model(spark):
     rng = random.Random(1)
-    texts = ["".join(rng.choice(("the ", "cat ", "sat ", "on ", "mat. ")) for _ in range(30)) for _ in range(60)] + ["QX!!ZJ%%" * 20, None, "", "the"]
+    texts = [" ".join(rng.choice(("the", "cat", "sat", "on", "a", "mat.", "Dog")) for _ in range(30)) for _ in range(60)] + ["QX!! ZJ%% " * 20, None, "", "the", "the the the unknown"]
     docs = spark.createDataFrame([(i, t, "en", 1.0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, perplexity double")
     labels = spark.createDataFrame([(i, 1) for i in range(60)] + [(3, 1), (None, 1)], "doc_id long, quality int")
-    by_broadcast = rows_of(kneser_ney.quality(docs, labels), "doc_id", "perplexity", "cutoff", "kept")
-    by_blocks = rows_of(kneser_ney.quality(docs, labels, largest_broadcast=0), "doc_id", "perplexity", "cutoff", "kept")
-    for a, b in zip(by_broadcast, by_blocks, strict=True):
-        assert a[0] == b[0] and a[3] == b[3] and (a[1] == b[1] or abs(a[1] - b[1]) < 1e-9)
-    kept = {a[0]: a[3] for a in by_broadcast}
-    assert kept[0] and not kept[60] and not kept[61] and not kept[62]
-    used = kneser_ney.labelled(docs.select("doc_id", "text"), labels, "doc_id", "quality")
-    terms, floor = kneser_ney.model_terms(kneser_ney.trained_counts(used, "text"))
-    given_ = {r["gram"]: (r["gain"], r["back"]) for r in terms.collect()}
-    letters = sorted({g for g in given_ if len(g) == 1 and g != kneser_ney.PAD})
-    # the probabilities of all known characters and one unknown after some context sum to 1
-    p = [kneser_ney.Windows([f"the c{c}"]).log_probabilities(given_, floor)[0] - kneser_ney.Windows(["the c"]).log_probabilities(given_, floor)[0] for c in [*letters, "一"]]
-    assert abs(sum(np.exp(p)) - 1) < 1e-6
+    got = {r["doc_id"]: r for r in kneser_ney.quality(docs, labels).collect()}
+    use = {r["doc_id"]: r["__use"] for r in kneser_ney.labelled(docs.select("doc_id"), labels, "doc_id", "quality").collect()}
+    model = brute.KneserNey([t for i, t in enumerate(texts) if use[i] == 1])
+    for i, t in enumerate(texts):
+        want = model.perplexity(t)
+        assert got[i]["perplexity"] == want or abs(got[i]["perplexity"] - want) < 1e-6 * want + 2e-6
+    # all known words and one unknown after some contexts
+    assert all(abs(sum(model.p(w, c) for w in [*model.words, "?"]) - 1) < 1e-9 for c in (("the", "cat"), ("", ""), ("no", "cat"), ("x", "y")))
+    assert got[0]["kept"] and not got[60]["kept"] and not got[61]["kept"] and not got[62]["kept"]
     assert kneser_ney.quality(docs.limit(0), labels).count() == 0
-    assert kneser_ney.quality(docs, labels.limit(0)).where("kept").count() == 62
+    assert kneser_ney.quality(docs, labels.limit(0)).where("kept").count() == 63
+    double = kneser_ney.quality(docs.union(docs.where("doc_id = 5")), labels)
+    assert double.where("doc_id = 5").count() == 2 and double.columns == ["doc_id", "lang", "perplexity", "cutoff", "kept"]
+
+
+def test_kneser_ney_splits_long_texts(monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SLICE", 10)
+    text = "some words, " * 50 + "w" * 100 + " x\x0by\u3000z "
+    assert kneser_ney.hashed(text).tolist() == [xxhash.xxh64_intdigest(w) for w in text.encode().split()]
 
 
 def test_secrets_and_ledger(spark):
@@ -254,17 +287,42 @@ def test_toxicity(spark):
     held = [r for r in got if r["held_out"] and r["doc_id"] is not None and r["doc_id"] < 300]
     assert held and all(r["predicted"] == int(r["doc_id"] % 3 == 0) for r in held)
     assert len(got) == 303 and all(0 <= r["score"] <= 1 for r in got)
-    assert toxicity.toxicity(docs, labels.limit(0)).where("predicted = 1").count() in (0, 303)
+    none = toxicity.toxicity(docs, labels.limit(0))
+    assert none.count() == 303 and none.where("predicted = 1").count() == 0
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+    # the fit has every word of a long text, and of repeated ids one text
+    is_held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    long = " ".join("v" + "".join(chr(97 + int(d)) for d in str(i)) for i in range(5000))
+    rows = spark.createDataFrame([(0, long), (0, long + " other"), (1, None), (1, None)], "doc_id long, text string")
+    taken = toxicity.sampled_rows(rows, spark.createDataFrame([(0, 1), (1, 7), (0, 0)], "doc_id long, toxic int"), "doc_id", "text", "toxic").collect()
+    assert {len(r["words"]): r["toxic"] for r in taken} == {**({0: 0} if not is_held(1) else {}), **({5000: 1} if not is_held(0) else {})}
+
+
+def test_toxicity_fit_as_a_plain_one(spark):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(40)], k=12) + (["vile"] if rng.random() < 0.3 else [])) for _ in range(300)]
+    toxic = [int("vile" in t or rng.random() < 0.02) for t in texts]
+    rows = spark.createDataFrame([(y, sorted(toxicity.words_of(t))) for t, y in zip(texts, toxic, strict=True)], "toxic int, words array<string>")
+    chosen = toxicity.model_words(rows)
+    assert chosen == brute.telling_words([toxicity.features(toxicity.words_of(t)) for t in texts], toxic, toxicity.LEAST_ROWS, toxicity.LEAST_Z, toxicity.SWAPS)
+    ex = toxicity.examples(rows, chosen)
+    assert sorted(zip(ex.toxic, ex.rows)) == sorted((y, sorted(chosen.index(w) for w in toxicity.features(toxicity.words_of(t)) if w in chosen)) for t, y in zip(texts, toxic, strict=True))
+    model = toxicity.fit(ex)
+    plain = brute.logistic(ex.rows, ex.toxic, len(chosen), toxicity.RIDGE)
+    score = [model.score(toxicity.words_of(t)) for t in texts]
+    assert max(abs(a - b) for a, b in zip(score, [plain([chosen.index(w) for w in toxicity.features(toxicity.words_of(t)) if w in chosen]) for t in texts], strict=True)) < 0.1
 
 
 def test_toxicity_counterfactual_moves_scores_less(monkeypatch):
     rng = random.Random(3)
-    texts = [set(rng.choices([f"w{i}" for i in range(50)], k=10)) | ({"women"} if i % 2 else {"men"}) for i in range(400)]
-    toxic = [int("women" in t and i % 3 > 0) for i, t in enumerate(texts)]
+    group = [w for w in toxicity.IDENTITIES[0]]
+    texts = [set(rng.choices([f"w{i}" for i in range(50)], k=10)) | {group[i % len(group)]} for i in range(400)]
+    toxic = [int(group[0] in t and i % 3 > 0) for i, t in enumerate(texts)]
 
     def change():
-        m = toxicity.fit(texts, toxic)
+        words = sorted(set().union(*texts))
+        own = lambda t: sorted(words.index(w) for w in toxicity.features(t) if w in words)
+        m = toxicity.fit(toxicity.Examples(words, [own(t) for t in texts], toxic, [(own(t), own(toxicity.counterfactual(t))) for t in texts]))
         return abs(m.score({"women"}) - m.score({"men"}))
 
     fair = change()
@@ -272,6 +330,19 @@ def test_toxicity_counterfactual_moves_scores_less(monkeypatch):
     assert fair < change() / 2
 
 
+def test_url_keys_are_bounded_by_the_list(spark):
+    url = "http://" + ".".join("abcdefghij") + "/" + "/".join("x" * 2000)
+    found = spark.createDataFrame([(url,), (None,), ("http://a",)], "u string").select(F.size(urls.keys(F.col("u"), 3, 2)).alias("n")).collect()
+    assert [r["n"] for r in found] == [5, 0, 1]
+
+
+def test_licenses_of_a_bundle(spark):
+    text = " ".join(words for _, words, _ in licenses.TEMPLATES)
+    got = licenses.scan_licenses(spark.createDataFrame([(1, text), (2, "source code form terms"), (3, None)], "keys long, text string"), ["keys"]).collect()
+    labels = {r["keys"]: r["labels"] for r in got}
+    assert labels == {1: ",".join(sorted({name for name, _, _ in licenses.TEMPLATES})), 2: "", 3: ""}
+
+
 def test_quality_rules(spark):
     docs = documents(spark)
     got = rules.apply_rules(docs, docs.where("doc_id > 3").select("doc_id"), ["doc_id", "text", "fp"])

@@ -47,7 +47,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = warc.capture_index(table(spark, sf_dir, "pages"))
-    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", F.date_format("captured", "yyyy-MM-dd HH:mm:ss").alias("captured"), "place")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +95,11 @@ from (select doc_id, a, p, unnest(a) as m, unnest(range(1, len(a) + 1)) as i fro
     return " union all ".join(parts)
 
 
+def _cdf(x: str, n: str) -> str:
+    r = rules.RISK
+    return f"""case when {x} < {n} * {r} then list_sum(list_transform(range({x}::bigint + 1), lambda i: exp(lgamma({n} + 1) - lgamma(i + 1) - lgamma({n} - i + 1) + i * ln({r}) + ({n} - i) * ln(1 - {r})))) else 1 end"""
+
+
 ORACLE_SQL = {
     "op2_url_filters": f"""
 with e as (select * from (values {", ".join(f"('{a}', '{b}', '{c}', timestamp '{d}')" for a, b, c, d in URL_LIST)}) v(entry, category, action, dated)),
@@ -108,12 +113,14 @@ g as (select page_id, url, array_to_string(list_sort(list_distinct(list(entry)))
 select p.page_id, p.url, g.matched is not null as blocked, coalesce(g.matched, '') as matched, coalesce(g.categories, '') as categories
 from p left join g on p.page_id = g.page_id and p.url = g.url""",
     "op4_warc": """
-with d as (select page_id, coalesce(html, '') as html, max(page_id) over (partition by coalesce(html, '')) as top from pages),
+with d as (select page_id, coalesce(html, '') as html, max(page_id) over (partition by coalesce(html, '')) as top, timestamp '{FIRST}' + to_seconds(page_id) as captured,
+  lower(array_to_string(list_reverse(string_split(regexp_replace(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1), '^www[.]', ''), '.')), ',') || ')' || coalesce(nullif(regexp_extract(url, '^[A-Za-z]+://[^/?#]*(/[^?#]*)', 1), ''), '/') || regexp_extract(url, '([?][^#]+)', 1)) as urlkey from pages),
 b as (select *, array_to_string(list_transform(string_split(sha1(html), ''), lambda c: right(format('{:b}', 16 + instr('0123456789abcdef', c) - 1), 4)), '') as bits from d)
 select page_id, octet_length(encode(html))::bigint as payload_bytes,
   array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(5), lambda j: substr(bits, (5 * i + j + 1)::bigint, 1)::int * (16 >> j::int)))::bigint, 1)), '') as payload_digest,
-  case when page_id = top then 'response' else 'revisit' end as record_type, case when page_id <> top then top end as refers_to
-from b""",
+  case when page_id = top then 'response' else 'revisit' end as record_type, case when page_id <> top then top end as refers_to,
+  urlkey, strftime(captured, '%Y-%m-%d %H:%M:%S') as captured, row_number() over (order by urlkey, captured, page_id) - 1 as place
+from b""".replace("{FIRST}", warc.FIRST_CAPTURE),
     "op6_secrets": f"""
 with d as (select doc_id, coalesce(text, '') as t from documents),
 s as ({_span_sql()}),
@@ -133,6 +140,23 @@ words as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(
 items as (select doc_id, count(distinct item_id) as n_items, array_to_string(list_sort(list_distinct(list(item_id::varchar))), ',') as names from hits group by doc_id)
 select w.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from w left join words on w.doc_id = words.doc_id left join items on w.doc_id = items.doc_id""",
+    "op8_licenses": f"""
+with x as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+d as (select doc_id, ws, ' ' || array_to_string(ws, ' ') || ' ' as s from x),
+tpl as (select * from (values {", ".join(f"({t}, '{name}', '{words}', '{key}', {licenses.lookups(words)})" for t, (name, words, key) in enumerate(licenses.TEMPLATES))}) v(t, label, words, phrase, size)),
+idx as (select * from (select t, unnest(string_split(words, ' ')) as word, unnest(range(len(string_split(words, ' ')))) as at from tpl) where word not in ({", ".join(f"'{w}'" for w in sorted(licenses.COMMON))})),
+df as (select word, count(*) as df from (select distinct doc_id, unnest(ws) as word from d) where word in (select word from idx) group by word),
+k as (select doc_id, t, ws from d join tpl on contains(s, ' ' || phrase || ' ')),
+chosen as (select * from (select doc_id, k.t, i.word, row_number() over (partition by doc_id, k.t order by df, i.word) as r from k join (select distinct t, word from idx) i on k.t = i.t join df on df.word = i.word where list_contains(ws, i.word)) where r <= {licenses.LOOKED_UP}),
+o as (select doc_id, unnest(ws) as word, unnest(range(len(ws))) as pos from (select distinct doc_id, ws from k)),
+votes as (select doc_id, t, max(n) as n from (select c.doc_id, c.t, pos - at as off, count(distinct c.word) as n from chosen c join o on o.doc_id = c.doc_id and o.word = c.word join idx on idx.t = c.t and idx.word = c.word group by all) group by all having max(n) >= {licenses.MIN_AGREEING}),
+found as (select doc_id, list_distinct(list(label)) as labels, max(n / size) as score from votes join tpl using (t) group by doc_id),
+p as (select * from (values {", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.PHRASES)}) v(phrase, label)),
+places as (select doc_id, label, unnest(list_filter(range(len(ws)), lambda i: array_to_string(ws[i + 1 : i + len(string_split(phrase, ' '))], ' ') = phrase)) as at from d join p on contains(s, ' ' || phrase || ' ')),
+b as (select doc_id, count(*) as n_base, min(at) as first_word, max(at) as last_word, list_sort(list_distinct(list(label))) as labels from places group by doc_id)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(array_to_string(b.labels, ','), '') as base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(found.labels, [])))), ',') as labels, greatest(coalesce(score, 0), case when n_base > 0 then 0.5 else 0 end)::double as score
+from d left join b on d.doc_id = b.doc_id left join found on d.doc_id = found.doc_id""",
     "op10_quality_rules": f"""
 with t as (select doc_id, lang, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws,
   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from documents),
@@ -145,13 +169,13 @@ c as (select t.doc_id, lang, len(ws)::bigint as n_words, length(array_to_string(
 m as (select *, n_words < {rules.MIN_WORDS} or 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words as base_failed,
   1000 * n_symbols // greatest(n_words, 1) as symbol_rate, 1000 * n_upper // greatest(word_chars, 1) as upper_rate, 1000 * n_dup_lines // greatest(n_lines, 1) as dup_line_rate,
   1000 * n_repeat_words // greatest(n_words, 1) as repeat_rate, 1000 * word_chars // greatest(n_words, 1) as word_length from c),
-long as ({" union all ".join(f"select doc_id, lang, base_failed, '{m}' as rule, {m} as v from m" for m in rules.GRID)}),
-grid as (select * from (values {", ".join(f"('{m}', {c})" for m, cs in rules.GRID.items() for c in cs)}) v(rule, cutoff)),
-k as (select lang, l.rule, cutoff, count(*) as n, count(*) filter (v > cutoff) as x from long l join grid on l.rule = grid.rule where not base_failed and doc_id in (select doc_id from labels where quality = 1) group by all),
-p as (select *, case when x < n * {rules.RISK / len(rules.GRID)} then
-  list_sum(list_transform(range(x + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rules.RISK / len(rules.GRID)}) + (n - i) * ln(1 - {rules.RISK / len(rules.GRID)})))) else 1 end
-  <= {rules.LEVEL} / ({len(rules.GRID)} * (select count(distinct lang) from k)) as safe from k),
-limits as (select lang, rule, min(cutoff) as cutoff from p where cutoff > coalesce((select max(cutoff) from p q where q.lang = p.lang and q.rule = p.rule and not q.safe), -1) group by all),
-bad as (select distinct l.doc_id from long l join limits on l.lang = limits.lang and l.rule = limits.rule where v > cutoff)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and doc_id not in (select doc_id from bad) as kept from m""",
+over as (select m.doc_id, min(k) as first from m join (values {", ".join(f"({k}, '{m}', {c})" for k, (m, c) in enumerate(rules.STEPS))}) s(k, rule, cutoff)
+  on case rule {" ".join(f"when '{m}' then {m}" for m in rules.GRID)} end > cutoff group by m.doc_id),
+hold as (select lang, first from m left join over on m.doc_id = over.doc_id where not base_failed and m.doc_id in (select doc_id from labels where quality = 1)),
+x as (select lang, k, count(*) as n, count(*) filter (first <= k) as x from hold cross join range({len(rules.STEPS)}) s(k) group by all),
+y as (select *, sum(n) over (partition by k) as n_all, sum(x) over (partition by k) as x_all, {rules.LEVEL} / ((select count(distinct coalesce(lang, '')) from hold) + 1) as bound from x),
+p as (select *, {_cdf("x", "n")} as p_own, {_cdf("x_all", "n_all")} as p_all from y),
+last as (select lang, coalesce(min(k) filter (not case when pow({1 - rules.RISK}, n) <= bound then p_own <= bound else p_all <= bound and x <= n * {rules.RISK} end), {len(rules.STEPS)}) - 1 as step from p group by lang)
+select m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not coalesce(first <= step, false) as kept
+from m left join over on m.doc_id = over.doc_id left join last on m.lang is not distinct from last.lang""",
 }

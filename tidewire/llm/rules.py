@@ -1,10 +1,11 @@
 """Quality rules whose cutoffs carry a guarantee: risk-controlled thresholds.
 
 Every rule rejects a text if one of its measures exceeds a cutoff. On labelled holdouts an exact
-binomial bound tests, per stratum and rule, whether a cutoff rejects more than the allowed share of
-good texts. Cutoffs are tried from the loosest on and the first that cannot be shown safe ends the
-series (a fixed-sequence test, so the series needs no correction of its own); the level is divided
-by the number of series (Bonferroni). All of it is DataFrame code without Python workers.
+binomial bound tests, per stratum, whether cutoffs reject more than the allowed share of good texts.
+The rules of a stratum are one joint series, tightened side by side from the loosest cutoffs on; the
+first step that cannot be shown safe ends the series (a fixed-sequence test, so it needs no
+correction of its own), and the level is divided by the number of series (Bonferroni). All of it is
+DataFrame code without Python workers.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ STEPS = [(m, c) for _, _, m, c in sorted(((k + 1) / len(cs), at, m, c) for at, (
 RISK, LEVEL = 0.01, 0.05
 #: Result columns; kept columns of these names give way to them.
 RESULTS = frozenset(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines", "base_failed", "kept", *GRID))
-#: Cutoffs (a row for each stratum and rule) that may be broadcast.
+#: Strata (a row each) that may be broadcast.
 BROADCAST_LIMITS = 50_000
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
@@ -111,46 +112,6 @@ def binomial_cdf(x: Column, n: Column, p: float) -> Column:
     return F.when(x < n * p, F.least(top * terms, F.lit(1.0))).otherwise(1.0)
 
 
-def cutoffs(measured: DataFrame, good: DataFrame, key: str = "doc_id", stratum: str = "lang", risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """Rows (stratum, rule, cutoff): for each stratum and rule the tightest cutoff shown safe.
-
-    ``good``: keys of labelled good texts (repeated and null keys count once, or not at all). Texts
-    that the base rules reject anyway are no part of the holdout. A stratum or rule without a safe
-    cutoff has no row. Null strata form one stratum.
-    """
-    keys = good.select(F.col(key).alias("__key")).where(F.col(key).isNotNull()).distinct()
-    hold = measured.where(~F.col("base_failed")).join(keys, F.col(key) == F.col("__key"), "left_semi")
-    # one pass: a pair of counts for each rule and cutoff, partial per task
-    counts = [F.count_if(F.col(m) > c).alias(f"{m}:{c}") for m, cs in GRID.items() for c in cs]
-    wide = hold.groupBy(F.col(stratum).alias("stratum")).agg(F.count(F.lit(1)).alias("n"), *counts)
-    long = wide.select("stratum", "n", F.explode(F.array(*[F.struct(F.lit(m).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"`{m}:{c}`").alias("x")) for m, cs in GRID.items() for c in cs])).alias("r")).select("stratum", "n", "r.*")
-    # a table of strata x grid rows from here on
-    tested = long.withColumn("p", binomial_cdf(F.col("x"), F.col("n"), risk / len(GRID)))
-    series = wide.agg((F.count(F.lit(1)) * len(GRID)).alias("series"))
-    tested = tested.join(F.broadcast(series)).withColumn("safe", F.col("p") <= level / F.col("series"))
-    first_unsafe = tested.groupBy("stratum", "rule").agg(F.max(F.when(~F.col("safe"), F.col("cutoff"))).alias("unsafe"))
-    t = tested.alias("t").join(first_unsafe.alias("u"), F.col("t.stratum").eqNullSafe(F.col("u.stratum")) & (F.col("t.rule") == F.col("u.rule")))
-    return t.where(F.col("u.unsafe").isNull() | (F.col("cutoff") > F.col("unsafe"))).groupBy("t.stratum", "t.rule").agg(F.min("cutoff").alias("cutoff"))
-
-
-def judge(measured: DataFrame, limits: DataFrame, stratum: str = "lang") -> DataFrame:
-    """``measured`` with ``kept``: false if the base rules fail or a measure exceeds its stratum's cutoff."""
-    wide = limits.groupBy(F.col("stratum").alias("__stratum")).agg(*[F.max(F.when(F.col("rule") == m, F.col("cutoff"))).alias(f"__{m}") for m in GRID])
-    over = F.lit(False)
-    for m in GRID:
-        over = over | F.coalesce(F.col(m) > F.col(f"__{m}"), F.lit(False))
-    if limits.count() <= BROADCAST_LIMITS:
-        wide = F.broadcast(wide)
-    out = measured.join(wide, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
-    return out.withColumn("kept", ~F.col("base_failed") & ~over).drop("__stratum", *[f"__{m}" for m in GRID])
-
-
-def apply_rules(docs: DataFrame, good: DataFrame, keep: Sequence[str], key: str = "doc_id", stratum: str = "lang", text: str = "text") -> DataFrame:
-    """``keep`` columns, measures and ``kept`` for each row of ``docs``. Measured once, written, then judged."""
-    measured = written(measures(docs, list(dict.fromkeys([*keep, key, stratum])), text), "measures")
-    return judge(measured, cutoffs(measured, good, key, stratum), stratum)
-
-
 def first_step() -> Column:
     """The number of the first step of the joint series that rejects a measured text; null if none does."""
     each = []
@@ -195,8 +156,11 @@ def joint_limits(measured: DataFrame, good: DataFrame, key: str = "doc_id", stra
     return each.groupBy("stratum", "n", "own").agg(last.alias("step")).withColumn("step", F.when(F.col("step") >= 0, F.col("step")))
 
 
-def apply_joint_rules(docs: DataFrame, good: DataFrame, keep: Sequence[str], key: str = "doc_id", stratum: str = "lang", text: str = "text") -> DataFrame:
-    """As ``apply_rules``, by the joint series of each stratum. Strata without labelled good texts keep what the base rules keep."""
+def apply_rules(docs: DataFrame, good: DataFrame, keep: Sequence[str], key: str = "doc_id", stratum: str = "lang", text: str = "text") -> DataFrame:
+    """``keep`` columns, measures and ``kept`` for each row of ``docs``: false if the base rules fail or a step of its stratum's series rejects it.
+
+    Strata without labelled good texts keep what the base rules keep. Measured once, written, then judged.
+    """
     measured = written(measures(docs, list(dict.fromkeys([*keep, key, stratum])), text), "measures")
     limits = written(joint_limits(measured, good, key, stratum).select(F.col("stratum").alias("__stratum"), F.col("step").alias("__step")), "limits")
     if limits.count() <= BROADCAST_LIMITS:
