@@ -144,16 +144,16 @@ from w left join words on w.doc_id = words.doc_id left join items on w.doc_id =
 with x as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
 d as (select doc_id, ws, ' ' || array_to_string(ws, ' ') || ' ' as s from x),
 tpl as (select * from (values {", ".join(f"({t}, '{name}', '{words}', '{key}', {licenses.lookups(words)})" for t, (name, words, key) in enumerate(licenses.TEMPLATES))}) v(t, label, words, phrase, size)),
-idx as (select * from (select t, unnest(string_split(words, ' ')) as word, unnest(range(len(string_split(words, ' ')))) as at from tpl) where word not in ({", ".join(f"'{w}'" for w in sorted(licenses.COMMON))})),
+idx as (select * from (select t, unnest(string_split(words, ' ')) as word, unnest(range(len(string_split(words, ' ')))) as spot from tpl) where word not in ({", ".join(f"'{w}'" for w in sorted(licenses.COMMON))})),
 df as (select word, count(*) as df from (select distinct doc_id, unnest(ws) as word from d) where word in (select word from idx) group by word),
 k as (select doc_id, t, ws from d join tpl on contains(s, ' ' || phrase || ' ')),
 chosen as (select * from (select doc_id, k.t, i.word, row_number() over (partition by doc_id, k.t order by df, i.word) as r from k join (select distinct t, word from idx) i on k.t = i.t join df on df.word = i.word where list_contains(ws, i.word)) where r <= {licenses.LOOKED_UP}),
 o as (select doc_id, unnest(ws) as word, unnest(range(len(ws))) as pos from (select distinct doc_id, ws from k)),
-votes as (select doc_id, t, max(n) as n from (select c.doc_id, c.t, pos - at as off, count(distinct c.word) as n from chosen c join o on o.doc_id = c.doc_id and o.word = c.word join idx on idx.t = c.t and idx.word = c.word group by all) group by all having max(n) >= {licenses.MIN_AGREEING}),
+votes as (select doc_id, t, max(n) as n from (select c.doc_id, c.t, pos - spot as off, count(distinct c.word) as n from chosen c join o on o.doc_id = c.doc_id and o.word = c.word join idx on idx.t = c.t and idx.word = c.word group by all) group by all having max(n) >= {licenses.MIN_AGREEING}),
 found as (select doc_id, list_distinct(list(label)) as labels, max(n / size) as score from votes join tpl using (t) group by doc_id),
 p as (select * from (values {", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.PHRASES)}) v(phrase, label)),
-places as (select doc_id, label, unnest(list_filter(range(len(ws)), lambda i: array_to_string(ws[i + 1 : i + len(string_split(phrase, ' '))], ' ') = phrase)) as at from d join p on contains(s, ' ' || phrase || ' ')),
-b as (select doc_id, count(*) as n_base, min(at) as first_word, max(at) as last_word, list_sort(list_distinct(list(label))) as labels from places group by doc_id)
+places as (select doc_id, label, unnest(list_filter(range(len(ws)), lambda i: array_to_string(ws[i + 1 : i + len(string_split(phrase, ' '))], ' ') = phrase)) as spot from d join p on contains(s, ' ' || phrase || ' ')),
+b as (select doc_id, count(*) as n_base, min(spot) as first_word, max(spot) as last_word, list_sort(list_distinct(list(label))) as labels from places group by doc_id)
 select d.doc_id, len(ws)::bigint as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(array_to_string(b.labels, ','), '') as base_labels,
   array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(found.labels, [])))), ',') as labels, greatest(coalesce(score, 0), case when n_base > 0 then 0.5 else 0 end)::double as score
 from d left join b on d.doc_id = b.doc_id left join found on d.doc_id = found.doc_id""",
