@@ -32,6 +32,15 @@ SOURCE_NAMES = (
 SOURCE_ENDS = (r"\s+作者.*", r"\s+审稿.*", r"\s+发布时间.*", r"\s+来源.*", r"\s+分享.*")
 
 
+#: A bare CSS rule left in text, with the white space before it.
+CSS_RULE = rf"(?:^(?:{WS}|[\ufeff\u200b])*|{WS})[.#][\p{{L}}\p{{N}}_\-]+[^{{}}]{{0,80}}\{{[^{{}}]*\}}"
+
+
+def strip(col: Column) -> Column:
+    """Without white space at the ends."""
+    return F.regexp_replace(col, f"^{WS}+|{WS}+$", "")
+
+
 def first_match(col: Column, pattern: str, group: int = 1) -> Column:
     """Null instead of an empty string if nothing matches."""
     return F.nullif(F.regexp_extract(col, pattern, group), F.lit(""))
@@ -55,11 +64,14 @@ def clean_html(col: Column) -> Column:
         out = F.regexp_replace(out, block, " ")
     for entity, char in ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return collapse(out)
+    # most texts have no brace
+    return collapse(F.when(F.contains(out, F.lit("{")), F.regexp_replace(out, CSS_RULE, " ")).otherwise(out))
 
 
-def clean_text(col: Column, min_length: int = 0, max_length: int | None = None) -> Column:
+def clean_text(col: Column, min_length: int = 0, max_length: int | None = None, remove_special: bool = False) -> Column:
     out = clean_html(col)
+    if remove_special:
+        out = F.regexp_replace(out, rf"[^\p{{L}}\p{{N}}_{WS[1:-1]}]", "")
     if max_length:
         out = F.substring(out, 1, max_length)
     return F.when(col.isNotNull() & (F.length(out) >= max(1, min_length)), out)
@@ -72,6 +84,11 @@ def clean_number(col: Column, low: float | None = None, high: float | None = Non
     return F.when(value <= high, value) if high is not None else value
 
 
+def clean_integer(col: Column, low: float | None = None, high: float | None = None) -> Column:
+    """As ``clean_number``, cut to a whole number; null beyond 64 bits."""
+    return clean_number(col, low, high).try_cast("long")
+
+
 def clean_date(col: Column) -> Column:
     """yyyy-MM-dd from ISO, dotted, compact and Chinese dates; null for partial dates, which would depend on the clock."""
     t = F.regexp_replace(F.regexp_replace(col, "[年月]", "-"), "日", "")
@@ -84,7 +101,7 @@ def clean_date(col: Column) -> Column:
 
 
 def clean_region(col: Column) -> Column:
-    out = F.btrim(col)
+    out = strip(col)
     for name, short in REGION_NAMES:
         out = F.replace(out, F.lit(name), F.lit(short))
     for end in REGION_SUFFIXES:
@@ -93,13 +110,13 @@ def clean_region(col: Column) -> Column:
     return out
 
 
-def clean_url(col: Column) -> Column:
-    t = F.btrim(col)
-    return F.when(t.rlike(r'^https?://[^\s<>"{}|\\^`\[\]]+'), t)
+def clean_url(col: Column, remove_params: bool = False) -> Column:
+    t = strip(col)
+    return F.when(t.rlike(r'^https?://[^\s<>"{}|\\^`\[\]]+'), F.substring_index(t, "?", 1) if remove_params else t)
 
 
 def clean_email(col: Column) -> Column:
-    t = F.lower(F.btrim(col))
+    t = F.lower(strip(col))
     return F.when(t.rlike(r"^[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}$"), t)
 
 
@@ -113,19 +130,19 @@ def clean_source(col: Column, allowed: Sequence[str] = (), names: Mapping[str, s
     stated = first_match(plain, r"(?:新闻来源|来源|发布机构)\s*[:：]\s*(\S+)")
     rest = plain
     for noise in SOURCE_NOISE:
-        rest = F.regexp_replace(rest, noise, "")
-    rest = F.btrim(rest)
+        rest = F.regexp_replace(rest, f"(?i){noise}", "")
+    rest = strip(rest)
     known = [F.when(F.contains(rest, F.lit(a)), F.lit(a)) for a in allowed]
     known += [F.when(rest.rlike(p), F.lit(n)) for p, n in (*SOURCE_NAMES, *(names or {}).items())]
     short = rest
     for end in SOURCE_ENDS:
         short = F.regexp_replace(short, end, "")
-    short = F.btrim(short)
-    return F.when(col.isNotNull(), F.coalesce(stated, *known, F.when(F.length(short).between(1, 30), short)))
+    short = strip(short)
+    return F.when(col.isNotNull() & (stated.isNotNull() | (rest != "")), F.coalesce(stated, *known, F.when(F.length(short).between(1, 30), short)))
 
 
 def title_slug(col: Column) -> Column:
-    out = F.btrim(F.regexp_replace(col, r"<[^>]+>", ""))
+    out = strip(F.regexp_replace(col, r"<[^>]+>", ""))
     for prefix in ("tdclasshanggao", "class", "style"):
         out = F.regexp_replace(out, f"(?i)^{prefix}{WORD}+", "")
     out = F.coalesce(first_match(out, f"(?s)({CJK}.*)$"), out)
@@ -185,17 +202,30 @@ def loader_date(col: Column) -> Column:
 
 
 def api_date(col: Column) -> Column:
+    """The date of an ISO time (compact ones too); else the first ten characters of what begins like a date, with dashes; else the text."""
     ten = F.substring(col, 1, 10)
-    return F.when(F.substring(col, 5, 1).isin("-", "/", "."), F.replace(ten, F.lit("/"), F.lit("-"))).otherwise(col)
+    compact = F.date_format(F.try_to_date(first_match(col, r"^(\d{8})(?:T.*)?$"), "yyyyMMdd"), "yyyy-MM-dd")
+    return F.coalesce(compact, F.when(F.substring(col, 5, 1).isin("-", "/", "."), F.replace(ten, F.lit("/"), F.lit("-"))).otherwise(col))
+
+
+def tight_dashes(col: Column) -> Column:
+    return strip(F.regexp_replace(col, f"{WS}*-{WS}*", "-"))
 
 
 def date_in_text(col: Column) -> Column:
-    return F.coalesce(first_match(col, r"(\d{4}[-/年]\d{1,2}[-/月]\d{1,2}日?)"), col)
+    return tight_dashes(F.coalesce(first_match(col, r"(\d{4}[-/年]\d{1,2}[-/月]\d{1,2}日?)"), col))
 
 
 def next_page(url: Column) -> Column:
-    page = first_match(url, r"list_(\d+)").try_cast("long")
-    return F.when(page.isNotNull(), F.regexp_replace(url, r"list_\d+", F.concat(F.lit("list_"), (page + 1).cast("string")))).when(F.contains(url, F.lit("list.shtml")), F.replace(url, F.lit("list.shtml"), F.lit("list_2.shtml")))
+    """The URL of the list page that follows; null for other URLs."""
+    page = first_match(url, r"list_(\d+)\.shtml").try_cast("long")
+    here, there = (F.concat(F.lit("list_"), p.cast("string"), F.lit(".shtml")) for p in (page, page + 1))
+    return F.when(F.endswith(url, F.lit("list.shtml")), F.replace(url, F.lit("list.shtml"), F.lit("list_2.shtml"))).when(F.endswith(url, F.lit(".shtml")) & page.isNotNull(), F.replace(url, here, there))
+
+
+def loader_text(col: Column) -> Column:
+    """Without tags, white space collapsed."""
+    return collapse(F.regexp_replace(col, r"<[^>]+>", ""))
 
 
 def url_host(url: Column) -> Column:
@@ -207,9 +237,15 @@ def url_extension(url: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
 
 
-def page_type(url: Column) -> Column:
-    u = F.lower(url)
-    return F.when(u.rlike("list|index|category|列表"), "list_page").when(u.rlike(r"/\d+\.s?html?$|detail|article"), "detail_page").otherwise("unknown")
+def page_type(url: Column, n_items: Column | None = None, content: Column | None = None) -> Column:
+    """By the URL, else by the number of list rows and the length of the content."""
+    u = F.lower(F.coalesce(url, F.lit("")))
+    out = F.when(u.rlike("list|index|category|列表"), "list_page").when(u.rlike(r"/\d+\.s?html$|detail|article"), "detail_page")
+    if n_items is not None:
+        out = out.when(n_items >= 3, "list_page")
+    if content is not None:
+        out = out.when(F.length(strip(content)) > 50, "detail_page")
+    return out.otherwise("unknown_page")
 
 
 def safe_name(col: Column) -> Column:
@@ -217,4 +253,4 @@ def safe_name(col: Column) -> Column:
 
 
 def title_from_html(html: Column) -> Column:
-    return F.btrim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
+    return strip(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))

@@ -26,8 +26,14 @@ def keyword_hits(docs: DataFrame, text: Column, words: Mapping[str, Sequence[str
     return low.withColumn("__h", F.explode(F.filter(pairs, lambda p: F.contains(F.col("__low"), F.lower(p["keyword"]))))).select(*docs.columns, "__h.*")
 
 
-def daily_counts(docs: DataFrame, date: str = "publish_date") -> DataFrame:
-    day = F.regexp_replace(F.col(date), r"[【】\[\]]", "")
+def day_of(*dates: Column) -> Column:
+    """The first ten characters of the first date that is stated."""
+    return F.coalesce(*[F.substring(F.nullif(d, F.lit("")), 1, 10) for d in dates])
+
+
+def daily_counts(docs: DataFrame, *dates: str) -> DataFrame:
+    """Documents of each day; a text counts as day if, less its brackets, it has ten characters and a dash."""
+    day = F.regexp_replace(F.coalesce(*[F.nullif(F.col(d), F.lit("")) for d in dates or ("publish_date",)]), r"[【】\[\]]", "")
     return docs.select(day.alias("day")).where((F.length("day") == 10) & F.contains("day", F.lit("-"))).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -40,14 +46,46 @@ def place_hits(docs: DataFrame, text: Column, places: Sequence[str] = DISTRICTS)
     return docs.withColumn("place", F.explode(F.filter(names, lambda p: F.contains(text, p))))
 
 
-def content_profile(docs: DataFrame) -> DataFrame:
+def content_profile(docs: DataFrame, relevant: Column | None = None) -> DataFrame:
+    """One row: how many documents have what, mean lengths in thousandths (0 for none) and the share that is relevant in millionths."""
     has = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    return docs.agg(
+    mean = lambda c: F.expr(f"coalesce(cast(try_divide(1000 * sum(case when {c} <> '' then length({c}) end), count_if({c} <> '')) as bigint), 0)")
+    relevant = F.lit(False) if relevant is None else F.coalesce(relevant, F.lit(False))
+    return docs.withColumn("__r", relevant).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(has("title")).alias("with_title"), F.count_if(has("content")).alias("with_content"), F.count_if(has("publish_date")).alias("with_date"),
-        F.coalesce(F.sum(F.when(has("title"), F.length("title"))), F.lit(0)).alias("title_chars"), F.coalesce(F.sum(F.when(has("content"), F.length("content"))), F.lit(0)).alias("content_chars"),
+        F.count_if("__r").alias("with_keywords"), mean("title").alias("title_milli"), mean("content").alias("content_milli"),
+        F.expr("coalesce(cast(try_divide(1000000 * count_if(__r), count(*)) as bigint), 0)").alias("relevance_ppm"),
     )
 
 
+def insight(relevance_ppm: Column) -> Column:
+    return F.when(relevance_ppm > 800_000, "high").when(relevance_ppm > 500_000, "medium").otherwise("low")
+
+
+def top_name(counts: DataFrame, name: str, count: str = "n") -> DataFrame:
+    """One row: the name with the largest count (of equal ones the first in order), N/A for none."""
+    best = counts.agg(F.min(F.struct((-F.col(count)).alias("n"), F.col(name).alias("name"))).alias("m"))
+    return best.select(F.coalesce("m.name", F.lit("N/A")).alias("name"))
+
+
+def duplicate_groups(docs: DataFrame, key: str) -> DataFrame:
+    """One row: keys that occur more than once, and the rows that have them. Null keys aside."""
+    groups = docs.where(F.col(key).isNotNull()).groupBy(F.xxhash64(key).alias("__h"), F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return groups.agg(F.count(F.lit(1)).alias("n_groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+
+
+def emptiness(docs: DataFrame, by: str, order: str, columns: Sequence[str]) -> DataFrame:
+    """For each group its rows, how many have each column null or empty, and the latest row's order value."""
+    empty = [F.count_if(F.coalesce(F.col(c), F.lit("")) == "").alias(f"no_{c}") for c in columns]
+    return docs.groupBy(by).agg(F.count(F.lit(1)).alias("n"), *empty, F.max(order).alias("latest"))
+
+
+def report_text(docs: DataFrame, by: str, order: str, most: int = 800) -> DataFrame:
+    """For each group the title, start of the content and link of its documents, in order, line by line."""
+    part = F.concat(F.lit("标题: "), F.coalesce("title", F.lit("")), F.lit("\n内容摘要: "), F.substring(F.coalesce("content", F.lit("")), 1, most), F.lit("\n链接: "), F.coalesce("url", F.lit("")))
+    return docs.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), part.alias("p")))).alias("r")).select(by, F.array_join(F.transform("r", lambda x: x["p"]), "\n").alias("report"))
+
+
 def top_k(counts: DataFrame, count: str, tie: str, k: int) -> DataFrame:
     return counts.orderBy(F.col(count).desc(), F.col(tie)).limit(k)
 

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping, Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The time at which the adapted tables are looked at.
+NOW = "2024-02-01 00:00:00"
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as articles: URL from source, language and id, title from the first line."""
+    """``documents`` as articles: URL from source, language and id, title from the first line, dates and an author from the id."""
     d = table(spark, sf_dir, "documents")
+    crawled = F.date_format(F.timestamp_seconds(F.unix_timestamp(F.lit(NOW).cast("timestamp")) - F.col("doc_id") % 400 * 3600), "yyyy-MM-dd'T'HH:mm:ss")
     return d.select(
         "doc_id",
         F.concat(F.lit("https://"), "source", F.lit(".example.org/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".html")).alias("url"),
@@ -21,6 +30,33 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("site"),
         "lang",
         F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")), "yyyy-MM-dd").alias("publish_date"),
+        F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("author "), (F.col("doc_id") % 50).cast("string"))).alias("author"),
+        F.when(F.col("doc_id") % 9 > 0, F.concat(crawled, F.when(F.col("doc_id") % 10 == 0, "Z").otherwise(""))).alias("crawl_time"),
+    )
+
+
+def one_of(key: str, values: Sequence[str | None]) -> Column:
+    """A value for each row, in turn."""
+    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), (F.col(key) % len(values)).cast("int"))
+
+
+def crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``articles`` as spiders leave them: fields under old names, missing, blank or as lists."""
+    c = F.col
+    k = c("doc_id")
+    a = articles(spark, sf_dir)
+    return a.select(
+        "doc_id", "site", "lang",
+        one_of("doc_id", ("article", "epidemic", "policy", "statistics", "other")).alias("item_type"),
+        F.when(k % 5 > 0, F.when(k % 17 == 0, F.concat(F.lit("ftp://x/"), k.cast("string"))).otherwise(c("url"))).alias("url"),
+        F.when((k % 5 == 0) | (k % 10 == 1), c("url")).alias("source_url"),
+        F.when(k % 7 > 0, F.when(k % 11 == 0, "").otherwise(c("title"))).alias("title"),
+        F.when(k % 7 == 0, c("title")).alias("page_title"),
+        F.when(k % 3 > 0, c("content")).alias("content"),
+        F.when(k % 3 == 0, F.array(F.substring(c("content"), 1, 40), F.lit("\t "), F.substring(c("content"), 41, 40))).alias("article_content"),
+        F.when(k % 4 > 0, c("publish_date")).alias("publish_date"),
+        F.when(k % 4 == 0, c("publish_date")).alias("publish_time"),
+        "crawl_time",
     )
 
 
@@ -45,9 +81,17 @@ def task_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scan(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """A stored collection, or its first rows."""
+    found = spark.read.parquet(path)
+    return found if limit is None else found.limit(limit)
+
+
 def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
-    """JSON lines; ``strict`` fails on the first bad one, otherwise bad ones are null rows."""
-    return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(path)
+    """JSON lines; ``strict`` fails on the first bad one, otherwise bad ones stand in ``_corrupt_record``."""
+    if strict:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").json(path)
 
 
 def text_list(spark: SparkSession, path: str) -> DataFrame:
@@ -55,6 +99,74 @@ def text_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.btrim("value").alias("entry")).where(~F.col("entry").rlike(r"^(#|$)"))
 
 
+def json_configs(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One configuration a file (JSON, which YAML includes), named by the file's stem."""
+    whole = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.[A-Za-z]+$", 1).alias("name"), F.from_json("value", schema).alias("c"))
+    return whole.select("name", "c.*")
+
+
+TASK_SCHEMA = "url string, spider string, priority string, site string, max_retries int"
+
+
+def batch_tasks(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Tasks from whole texts: a JSON array of tasks, or URLs line by line; defaults fill what is not said."""
+    t = lines.select(F.col(column).alias("v"), F.from_json(column, f"array<struct<{', '.join(x.replace(' ', ': ') for x in TASK_SCHEMA.split(', '))}>>").alias("a"))
+    urls = F.transform(F.filter(F.transform(F.split("v", "\n"), F.btrim), lambda u: ~u.rlike("^(#|$)")), lambda u: F.struct(u.alias("url"), *[F.lit(None).cast(k).alias(n) for n, k in (x.split() for x in TASK_SCHEMA.split(", ")[1:])]))
+    each = t.select(F.explode(F.coalesce("a", urls)).alias("t")).select("t.*").where("url is not null")
+    return each.select("url", F.coalesce("spider", F.lit("adaptive")).alias("spider"), F.coalesce("priority", F.lit("normal")).alias("priority"), F.coalesce("site", F.lit("")).alias("site"), F.coalesce("max_retries", F.lit(3)).alias("max_retries"))
+
+
+def seeds(messages: DataFrame, column: str = "value") -> DataFrame:
+    """(url, site, callback) of queue messages: JSON with ``url`` or ``u``, or a bare URL. Blank messages are none. Batch or stream."""
+    v = F.btrim(F.col(column))
+    of = lambda p: F.get_json_object(v, f"$.{p}")
+    is_json = F.startswith(v, F.lit("{"))
+    found = messages.select(F.when(is_json, F.coalesce(of("url"), of("u"))).otherwise(v).alias("url"), F.when(is_json, of("site")).alias("site"), F.when(is_json, of("callback")).alias("callback"))
+    return found.where(F.col("url") != "")
+
+
+def list_api(responses: DataFrame, keep: Sequence[str], path: str, fields: Mapping[str, str], url_template: str, body: str = "body") -> DataFrame:
+    """Rows of the array at a dotted path of an answer, with fields by dotted paths; ``url_template`` takes them in braces."""
+    rows = responses.select(*keep, F.posexplode(F.from_json(F.get_json_object(body, f"$.{path}"), "array<string>")).alias("index", "__o"))
+    rows = rows.select(*keep, (F.col("index") + 1).alias("index"), *[F.get_json_object("__o", f"$.{p}").alias(f) for f, p in fields.items()])
+    url = F.lit(url_template)
+    for f in fields:
+        url = F.replace(url, F.lit("{" + f + "}"), F.coalesce(F.col(f), F.lit("")))
+    return rows.withColumn("url", url)
+
+
+def proxies_of(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(ip, port, protocol) of lines ``ip:port`` or JSON arrays of objects; each once."""
+    v = F.col(column)
+    objects = F.transform(F.from_json(v, "array<struct<ip: string, port: string, protocol: string>>"), lambda o: F.struct(o["ip"].alias("ip"), o["port"].try_cast("int").alias("port"), F.coalesce(o["protocol"], F.lit("http")).alias("protocol")))
+    pattern = r"(\d{1,3}(?:\.\d{1,3}){3}):(\d{1,5})"
+    pairs = F.transform(F.regexp_extract_all(v, F.lit(pattern), F.lit(0)), lambda m: F.struct(F.substring_index(m, ":", 1).alias("ip"), F.substring_index(m, ":", -1).try_cast("int").alias("port"), F.lit("http").alias("protocol")))
+    each = lines.select(F.explode(F.when(F.startswith(F.btrim(v), F.lit("[")), objects).otherwise(pairs)).alias("p")).select("p.*")
+    return each.where(F.col("ip").isNotNull() & F.col("port").between(1, 65535)).distinct()
+
+
+def log_counters(lines: DataFrame, by: str, order: str, column: str = "value") -> DataFrame:
+    """For each log its last item and response counts, and how many lines hold ERROR."""
+    count = lambda name: F.nullif(F.regexp_extract(column, rf"{name}'?\"?\s*[:=]\s*(\d+)", 1), F.lit("")).try_cast("bigint")
+    last = lambda name: F.max_by(count(name), F.when(count(name).isNotNull(), F.col(order)))
+    return lines.groupBy(by).agg(last("item_scraped_count").alias("items"), last("response_received_count").alias("responses"), F.count_if(F.contains(column, F.lit("ERROR"))).alias("errors"))
+
+
+def seed_tasks(sites: DataFrame, site: str = "all") -> DataFrame:
+    """A task for each start URL of one site or of all."""
+    chosen = sites if site == "all" else sites.where(F.col("site") == site)
+    return chosen.select("site", F.explode("start_urls").alias("url")).where(F.coalesce("url", F.lit("")) != "")
+
+
+def system_status(**parts: DataFrame) -> DataFrame:
+    """One row of one-row tables, each as a struct."""
+    out = None
+    for name, df in parts.items():
+        one = df.select(F.struct("*").alias(name))
+        out = one if out is None else out.join(F.broadcast(one))
+    return out
+
+
 def between_dates(docs: DataFrame, first: str, last: str, column: str = "publish_date") -> DataFrame:
     """ISO dates as strings compare as dates do."""
     return docs.where(F.col(column).between(first, last))
@@ -70,3 +182,34 @@ def search_hits(responses: DataFrame, body: str = "body") -> DataFrame:
 def write_by_site(docs: DataFrame, path: str) -> None:
     """Append, a folder for each site."""
     docs.write.mode("append").partitionBy("site").parquet(path)
+
+
+def stream_by_site(docs: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """As ``write_by_site``, batch by batch of a stream; takes what there is and ends."""
+    return docs.writeStream.foreachBatch(lambda batch, _: write_by_site(batch, path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def write_json_lines(docs: DataFrame, path: str, empty: bool = True) -> bool:
+    """JSON lines; whether anything was written (nothing for no rows, unless ``empty``)."""
+    if not empty and docs.isEmpty():
+        return False
+    docs.write.mode("append").json(path)
+    return True
+
+
+def as_report(summary: DataFrame, name: str = "report") -> DataFrame:
+    """A one-row summary as one JSON object."""
+    return summary.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias(name))
+
+
+def write_unique(docs: DataFrame, path: str, key: str) -> None:
+    """Append rows whose key the store lacks, each once."""
+    spark = docs.sparkSession
+    fresh = docs.dropDuplicates([key])
+    try:
+        known = spark.read.parquet(path).select(F.col(key).alias("__k"))
+        fresh = fresh.join(known, F.col(key) == F.col("__k"), "left_anti")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    fresh.write.mode("append").parquet(path)
