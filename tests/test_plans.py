@@ -8,9 +8,12 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tidewire.functions import extract, fields, rules
 from tidewire.functions import text as fn
-from tidewire.operators import antibot, dedup, joins
+from tidewire.operators import antibot, dedup, joins, ops, quality
+from tidewire.plans import crawl, operations  # noqa: F401  they register their queries
 from tidewire.plans.queries import ORACLE_SQL, QUERIES
+from tidewire.sources import tables
 from tidewire.sources.tables import json_lines, text_list, write_by_site
 
 SF = "/root/testdata/sf0.001"
@@ -64,9 +67,14 @@ def test_change_detection_drops_content_seen_before(spark):
 
 
 def test_antibot_thresholds(spark):
-    pages = spark.createDataFrame([(1, "<a style='display:none'>", 200), (2, "", 412), (3, None, 200)], "id int, html string, status int")
-    got = {r["id"]: (r["honeypot"], r["rate_limit"], r["detected"]) for r in antibot.detect(pages).collect()}
-    assert got == {1: (3, 0, []), 2: (0, 7, ["rate_limit"]), 3: (0, 0, [])}
+    rows = [(1, "<a style='display:none'>", 200, None, None, "u"), (2, "", 412, None, None, "u"), (3, None, 200, None, "30", "u"), (4, "please ENABLE\rcookies", 200, "a=Test", None, "u"), (5, "<a class='hidden'> Disallow: /", 200, None, "", "http://x/robots.txt")]
+    pages = spark.createDataFrame(rows, "id int, html string, status int, set_cookie string, retry_after string, url string")
+    got = {r["id"]: (r["honeypot"], r["rate_limit"], r["cookie_check"], r["detected"]) for r in antibot.detect(pages).collect()}
+    assert got == {1: (3, 0, 0, []), 2: (0, 7, 0, ["rate_limit"]), 3: (0, 5, 0, []), 4: (0, 0, 10, ["cookie_check"]), 5: (5, 0, 0, ["honeypot"])}
+    # of the six patterns that a probe of a public site looks for, each is seen
+    seen = {"验证码": "captcha", "访问频率": "rate_limit", "访问被拒绝": "ip_block", "cloudflare": "js_challenge"}
+    marks = spark.createDataFrame([(k, f"<p>{k}</p>", 200, None, None, "u") for k in seen], "id string, html string, status int, set_cookie string, retry_after string, url string")
+    assert all(r[seen[r["id"]]] > 0 for r in antibot.detect(marks).collect())
 
 
 def test_carry_and_files(spark, tmp_path):
@@ -75,6 +83,62 @@ def test_carry_and_files(spark, tmp_path):
     (tmp_path / "seeds").write_text("# c\n\n a \nb\n")
     assert sorted(r["entry"] for r in text_list(spark, str(tmp_path / "seeds")).collect()) == ["a", "b"]
     (tmp_path / "lines").write_text('{"a": 1}\nbad\n')
-    assert json_lines(spark, str(tmp_path / "lines"), "a int").where("a is not null").count() == 1
+    lines = json_lines(spark, str(tmp_path / "lines"), "a int").collect()
+    assert sorted((r["a"], r["_corrupt_record"]) for r in lines if r["a"]) == [(1, None)] and [r["_corrupt_record"] for r in lines if r["a"] is None] == ["bad"]
+    with pytest.raises(Exception):  # noqa: B017
+        json_lines(spark, str(tmp_path / "lines"), "a int", strict=True).collect()
     write_by_site(spark.createDataFrame([("s", 1)], "site string, n int"), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_keep_first_keeps_whole_rows(spark):
+    rows = [("a", None, "x"), ("b", 2, "y"), ("b", 1, None), ("b", None, "z"), ("c", 1, "q"), ("c", 1, "p")]
+    got = dedup.keep_first(spark.createDataFrame(rows, "k string, o int, v string"), ["k"], "o")
+    assert sorted(map(tuple, got.collect())) == [("a", None, "x"), ("b", 1, None), ("c", 1, "p")]
+    assert got.columns == ["k", "o", "v"]
+
+
+def test_selectors(spark):
+    html = '<ul class="list x"><li><a href="/1" title="T">A &amp; B</a><li><a href="/2">C</a></ul><div id=m><p>t<br>u<p>v</div><!-- <p>no</p> --><table><tr><td>x'
+    pages = spark.createDataFrame([(1, html), (2, None), (3, ""), (4, "<div>" * 5000 + "deep")], "id int, html string")
+    say = {"a": {"selector": "ul.list > li a"}, "h": {"selector": "//ul[contains(@class,'list')]//a/@href".replace("/@href", ""), "attr": "href"}, "p": {"selector": ["b", "#m p"]}, "t": {"selector": "a[title]", "attr": "title"}, "d": {"selector": "td, a[href$=2]"}}
+    got = {r["id"]: r for r in extract.select_fields(pages, ["id"], say).collect()}
+    assert (got[1]["a"], got[1]["h"], got[1]["t"], got[1]["d"]) == (["A & B", "C"], ["/1", "/2"], ["T"], ["C", "x"])
+    assert got[1]["p"][-1] == "v" and got[2]["a"] is None and got[3]["a"] == [] and got[4]["p"] == []
+    rows = extract.list_rows(pages, ["id"], "ul li", {"title": {"selector": "a"}, "date": {"selector": "a", "attr": "href"}}, most=1).collect()
+    assert [(r["id"], r["index"], r["title"], r["date"]) for r in rows] == [(1, 1, "A & B", "/1")]
+    with pytest.raises(ValueError):
+        extract.select(extract.Tree("<p>").root, "p:first")
+
+
+def test_rules_compose(spark):
+    own = rules.compiled({"n": {"type": "integer", "minimum": 2, "maximum": 5}, "s": {"required": True, "pattern": "ab", "max_length": 3}}, base={})
+    own["n"] = (*own["n"], rules.custom("even", lambda c: c.try_cast("int") % 2 == 0))
+    rows = [("4", "abc"), ("x", " "), (None, "xab"), ("7", "abcd"), ("3", None)]
+    got = spark.createDataFrame(rows, "n string, s string").select(rules.field_errors(own).alias("e"), rules.field_results(own).alias("r")).collect()
+    assert [r["e"] for r in got] == [[], ["n:type", "n:range", "n:even", "s:required", "s:pattern"], ["n:even", "s:pattern"], ["n:range", "n:even", "s:length"], ["n:even", "s:required"]]
+    assert got[0]["r"] == {"n": True, "s": True} and got[3]["r"] == {"n": False, "s": False}
+    empty = spark.createDataFrame([], "errors array<string>")
+    assert tuple(rules.validation_stats(empty).first()) == (0, 0, 0, 0, 0)
+
+
+def test_consistency_by_names(spark):
+    names = [["a_b", "c_d", "e_f", "g_h", "x"], ["a_b", "cD"], ["Ab", "Cd"], []]
+    got = spark.createDataFrame([(n,) for n in names], "n array<string>").select(quality.consistency(F.col("n")).alias("c"), quality.consistency(F.col("n"), F.lit(True)).alias("d")).collect()
+    assert [(r["c"], r["d"]) for r in got] == [(100, 90), (90, 80), (100, 90), (100, 90)]
+
+
+def test_files_and_sinks(spark, tmp_path):
+    (tmp_path / "bj.json").write_text('{"name": "Beijing", "urls": ["u"]}')
+    configs = tables.json_configs(spark, str(tmp_path / "bj.json"), "urls array<string>").collect()
+    assert [(r["name"], r["urls"]) for r in configs] == [("bj", ["u"])]
+    docs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "url string, n int")
+    tables.write_unique(docs, str(tmp_path / "store"), "url")
+    tables.write_unique(docs.union(spark.createDataFrame([("c", 4)], docs.schema)), str(tmp_path / "store"), "url")
+    assert sorted(r["url"] for r in tables.scan(spark, str(tmp_path / "store")).collect()) == ["a", "b", "c"] and tables.scan(spark, str(tmp_path / "store"), 2).count() == 2
+    assert not tables.write_json_lines(docs.limit(0), str(tmp_path / "j"), empty=False) and tables.write_json_lines(docs, str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).count() == 3
+    docs.select(F.lit("s").alias("site"), "n").write.parquet(str(tmp_path / "in"))
+    query = tables.stream_by_site(spark.readStream.schema("site string, n int").parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination(60)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3

@@ -62,9 +62,22 @@ def is_text(content_type: Column) -> Column:
     return out
 
 
+def _gbk(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def text(data: bytes) -> str:
+        try:
+            return data.decode("gbk")
+        except UnicodeDecodeError:
+            return data.decode("latin-1")
+
+    for batch in batches:
+        yield pa.array([None if d is None else text(d) for d in batch.to_pylist()], pa.string())
+
+
 def decoded(data: Column) -> Column:
-    """Bytes as UTF-8 or, if they are none, as GBK."""
-    return F.when(F.is_valid_utf8(data.cast("string")), data.cast("string")).otherwise(F.decode(data, "GBK"))
+    """Bytes as UTF-8; only those that are none go to Python and are read as GBK or, failing that, Latin-1."""
+    plain_text = data.cast("string")
+    valid = F.is_valid_utf8(plain_text)
+    return F.when(valid, plain_text).otherwise(F.arrow_udf(_gbk, StringType())(F.when(~valid, data)))
 
 
 def redirects_by_script(status: Column, content_type: Column, body: Column) -> Column:

@@ -95,7 +95,7 @@ def task_states(events: DataFrame, now: Column, most: int = 3) -> DataFrame:
     """
     t = events.groupBy("task_id").agg(F.count_if(F.col("event") == "failed").alias("fails"), F.max(F.col("event") == "completed").alias("done"), F.max("at").alias("last"))
     status = F.when(F.col("done"), "completed").when(F.col("fails") > most, "failed").otherwise("pending")
-    wait = F.when(F.col("fails") > 0, F.shiftleft(F.lit(60), F.col("fails").cast("int"))).otherwise(0)
+    wait = F.when(F.col("fails") > 0, F.call_function("shiftleft", F.lit(60), F.col("fails").cast("int"))).otherwise(0)
     due = F.when(status == "pending", F.col("last") + F.make_interval(secs=wait.cast("decimal(18,6)")))
     return t.select("task_id", F.least("fails", F.lit(most)).alias("retries"), status.alias("status"), due.alias("due"), (due <= now).alias("eligible"))
 

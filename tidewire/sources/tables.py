@@ -111,7 +111,7 @@ TASK_SCHEMA = "url string, spider string, priority string, site string, max_retr
 def batch_tasks(lines: DataFrame, column: str = "value") -> DataFrame:
     """Tasks from whole texts: a JSON array of tasks, or URLs line by line; defaults fill what is not said."""
     t = lines.select(F.col(column).alias("v"), F.from_json(column, f"array<struct<{', '.join(x.replace(' ', ': ') for x in TASK_SCHEMA.split(', '))}>>").alias("a"))
-    urls = F.transform(F.filter(F.transform(F.split("v", "\n"), F.btrim), lambda u: ~u.rlike("^(#|$)")), lambda u: F.struct(u.alias("url"), *[F.lit(None).cast(k).alias(n) for n, k in (x.split() for x in TASK_SCHEMA.split(", ")[1:])]))
+    urls = F.transform(F.filter(F.transform(F.split("v", "\n"), lambda u: F.btrim(u)), lambda u: ~u.rlike("^(#|$)")), lambda u: F.struct(u.alias("url"), *[F.lit(None).cast(k).alias(n) for n, k in (x.split() for x in TASK_SCHEMA.split(", ")[1:])]))
     each = t.select(F.explode(F.coalesce("a", urls)).alias("t")).select("t.*").where("url is not null")
     return each.select("url", F.coalesce("spider", F.lit("adaptive")).alias("spider"), F.coalesce("priority", F.lit("normal")).alias("priority"), F.coalesce("site", F.lit("")).alias("site"), F.coalesce("max_retries", F.lit(3)).alias("max_retries"))
 
