@@ -76,6 +76,19 @@ def secrets(text):
     return *n, sha(",".join(f"{k}:{a}:{b}" for a, _, k, b in spans))
 
 
+def secret_spans(text):
+    """(start, end, kind) of the base rules, those that overlap an earlier one left out."""
+    text, out, at = text or "", [], 0
+    spans = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    for start, _, kind, end in sorted(spans):
+        if start >= at:
+            out.append((start, end, kind))
+            at = end
+    return out
+
+
 def contamination(text, items):
     words = WORD.findall((text or "").translate(LOWER))
     hit, found = [False] * len(words), set()
