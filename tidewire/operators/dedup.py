@@ -25,7 +25,7 @@ def change_status(versions: DataFrame) -> DataFrame:
     """created, modified or unchanged against the version before of the same site and URL. The content itself is not kept, so it is not shuffled."""
     w = Window.partitionBy("site", "url").orderBy("seq")
     before = F.lag("fp").over(w)
-    return versions.withColumn("fp", content_fingerprint(F.col("content"))).withColumn("status", F.when(before.isNull(), "created").when(before != F.col("fp"), "modified").otherwise("unchanged"))
+    return versions.withColumn("fp", content_fingerprint(F.col("content"))).drop("content").withColumn("status", F.when(before.isNull(), "created").when(before != F.col("fp"), "modified").otherwise("unchanged"))
 
 
 def content_updates(versions: DataFrame, per_site: bool = True) -> DataFrame:
