@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -85,6 +86,8 @@ def held(key, make: Callable):
     """What a worker process keeps between tasks; only the latest is kept, so operators that follow each other don't add up."""
     if key not in _holding:
         _holding.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _holding[key] = make()
     return _holding[key]
 

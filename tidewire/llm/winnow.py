@@ -153,6 +153,7 @@ def document_hits(docs: DataFrame, maps: dict[int, np.ndarray], keep: list[str],
     sent = docs.sparkSession.sparkContext.broadcast({n: b.tobytes() for n, b in maps.items()})
 
     def make():
+        word_hashes()
         bits = {n: np.unpackbits(np.frombuffer(b, np.uint8)).view(bool) for n, b in sent.value.items()}
 
         def work(texts: pa.Array) -> list[pa.Array]:
