@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import re
+import zlib
 
 import numpy as np
 import xxhash
@@ -193,3 +194,41 @@ def logistic(rows, toxic, size, ridge):
         p = 1 / (1 + np.exp(-(x @ w + b)))
         w, b = w - 0.5 * (x.T @ (p - y) / len(y) + ridge * w), b - 0.5 * (p - y).mean()
     return lambda own: 1 / (1 + math.exp(-(w[own].sum() + b)))
+
+
+def rebuilt(rows, family=5, most=9):
+    """conv_id -> its rebuilt turns (role, text), from rows (conv_id, turn, role, text)."""
+    own: dict = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    for turns in own.values():
+        turns.sort(key=lambda t: (*t[:2], hashlib.sha256(f"{len(t[2].encode())}:{t[2]}{t[3]}".encode()).hexdigest()[:32]))
+    out = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % most
+        out[conv] = [t[2:] for t in own.get(conv - conv % family, [])[:h] + turns[h:]]
+    return out
+
+
+def trie(conversations):
+    """Nodes (conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256) of conv_id -> turns."""
+    members: dict = {}
+    for conv, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(conv)
+    children: dict = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children.get(node, [])
+        leaves[node] = sum(leaves[c] for c in below) or 1
+        saved[node] = sum(saved[c] for c in below) + ((len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0)
+    out = []
+    for node, convs in members.items():
+        ends = ",".join(str(c) for c in sorted(convs) if len(conversations[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        out.append((min(convs), len(node), parent, len(convs), len(children.get(node, [])), leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest()))
+    return out

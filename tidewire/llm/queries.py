@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, kneser_ney, licenses, rules, secrets, simhash, toxicity, urls, warc, winnow
+from . import bpe, kneser_ney, licenses, packing, rules, secrets, simhash, toxicity, tries, urls, warc, whitening, winnow
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -81,7 +81,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_url_filters, op3_simhash, op4_warc, op5_quality, op6_secrets, op7_decontamination, op8_licenses, op9_toxicity, op10_quality_rules)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ["doc_id"])
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(tries.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_url_filters, op3_simhash, op4_warc, op5_quality, op6_secrets, op7_decontamination, op8_licenses, op9_toxicity, op10_quality_rules, op11_whitening, op12_packing, op13_prefix_trie)}
 
 
 def _span_sql() -> str:
