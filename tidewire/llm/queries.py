@@ -113,6 +113,10 @@ def _cdf(x: str, n: str) -> str:
     return f"""case when {x} < {n} * {r} then list_sum(list_transform(range({x}::bigint + 1), lambda i: exp(lgamma({n} + 1) - lgamma(i + 1) - lgamma({n} - i + 1) + i * ln({r}) + ({n} - i) * ln(1 - {r})))) else 1 end"""
 
 
+#: CRC-32 of a decimal number: the polynomial's reflected division, a bit at a time.
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(range(8 * length(D)), lambda i: case when i % 8 = 0 then ascii(substr(D, i // 8 + 1, 1)) else 0 end)),
+  lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295)"""
+
 ORACLE_SQL = {
     "op2_url_filters": f"""
 with e as (select * from (values {", ".join(f"('{a}', '{b}', '{c}', timestamp '{d}')" for a, b, c, d in URL_LIST)}) v(entry, category, action, dated)),
@@ -191,4 +195,15 @@ p as (select *, {_cdf("x", "n")} as p_own, {_cdf("x_all", "n_all")} as p_all fro
 last as (select lang, coalesce(min(k) filter (not case when pow({1 - rules.RISK}, n) <= bound then p_own <= bound else p_all <= bound and x <= n * {rules.RISK} end), {len(rules.STEPS)}) - 1 as step from p group by lang)
 select m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not coalesce(first <= step, false) as kept
 from m left join over on m.doc_id = over.doc_id left join last on m.lang is not distinct from last.lang""",
+    "op13_prefix_trie": f"""
+with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first) as p from conversations where conv_id is not null),
+c as (select conv_id, list(sha256(octet_length(encode(role)) || ':' || role || text) order by p) as ks, list(octet_length(encode(text))::bigint order by p) as bs from t group by conv_id),
+h as (select *, conv_id - conv_id % 5 as start, ({_CRC.replace("D", "conv_id::varchar")} % 9)::bigint as h from c),
+b as (select h.conv_id, list_concat(coalesce(d.ks[1:h.h], []), h.ks[h.h + 1:]) as ks, list_concat(coalesce(d.bs[1:h.h], []), h.bs[h.h + 1:]) as bs from h left join c d on d.conv_id = h.start),
+n as (select conv_id, d, sha256(array_to_string(ks[1:d], '')) as node, case when d > 0 then sha256(array_to_string(ks[1:d - 1], '')) end as up, bs[d] as bytes, len(ks) = d as ended from (select *, unnest(range(len(ks) + 1)) as d from b)),
+g as (select node, d, up, min(conv_id) as conv_id, count(*) as n_convs, min(bytes) as bytes, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ended), '')) as ends from n group by node, d, up),
+k as (select up as node, count(*) as n from g where up is not null group by up),
+s as (select n.node, count(*) filter (k.n is null) as n_leaves, sum(case when g.d > 0 then (g.n_convs - 1) * g.bytes else 0 end)::bigint as saved from g left join k on g.node = k.node join n on n.conv_id = g.conv_id and n.d <= g.d group by n.node)
+select g.conv_id, g.d as depth, o.conv_id as parent_conv_id, g.n_convs, coalesce(k.n, 0) as n_children, n_leaves, saved as saved_tokens, g.ends as ends_sha256
+from g left join g o on g.up = o.node left join k on g.node = k.node join s on g.node = s.node""",
 }

@@ -28,7 +28,7 @@ from .common import small_batches, written
 #: Turns of one key, and characters of one turn in it.
 TURNS, WIDE = 64, 32
 #: Positions of a block at least, and blocks at most: the driver and the tasks hold a few numbers for each block.
-BLOCK, MOST_BLOCKS = 4096, 65_536
+BLOCK, MOST_BLOCKS = 1024, 65_536
 #: Depths or members that one row is expanded to or from at once.
 AT_ONCE = 4096
 
