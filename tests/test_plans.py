@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewire.functions import extract, fields, rules
 from tidewire.functions import text as fn
 from tidewire.operators import antibot, dedup, joins, ops, quality
-from tidewire.plans import crawl, operations  # noqa: F401  they register their queries
+from tidewire.plans import crawl, operations, pages  # noqa: F401  they register their queries
 from tidewire.plans.queries import ORACLE_SQL, QUERIES
 from tidewire.sources import tables
 from tidewire.sources.tables import json_lines, text_list, write_by_site
@@ -108,7 +108,7 @@ def test_selectors(spark):
     rows = extract.list_rows(pages, ["id"], "ul li", {"title": {"selector": "a"}, "date": {"selector": "a", "attr": "href"}}, most=1).collect()
     assert [(r["id"], r["index"], r["title"], r["date"]) for r in rows] == [(1, 1, "A & B", "/1")]
     with pytest.raises(ValueError):
-        extract.select(extract.Tree("<p>").root, "p:first")
+        extract.select_fields(pages, ["id"], {"a": {"selector": "p:first"}})
 
 
 def test_rules_compose(spark):

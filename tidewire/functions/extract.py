@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping, Sequence
-from html.parser import HTMLParser
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
 
+from .selectors import Node, SelectorError, Tree, compiled, select, values
 from .text import strip, tight_dashes
 
 # Signs of a redirect by script, and content types that are text.
 REDIRECTS = (r"window\.location", r"document\.location", r"location\.href", r"location\.replace", r"meta.*refresh")
 TEXT_TYPES = ("text/html", "text/plain", "application/xhtml+xml", "application/xml", "application/json")
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
 def by_pattern(col: Column, pattern: str, group: int = 1) -> Column:
@@ -142,151 +142,79 @@ def classified(url: Column, features: Mapping[str, Column], rules: Mapping[str,
     return out
 
 
-class Node:
-    __slots__ = ("attrs", "children", "parent", "tag")
+def _sources(several: str | Sequence[str]) -> list[str]:
+    return [several] if isinstance(several, str) else list(several)
 
-    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None) -> None:
-        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
 
-    def text(self) -> str:
-        return "".join(c if isinstance(c, str) else c.text() for c in self.children)
+def _cannot(f: str, field: Mapping) -> str | None:
+    """Why a field's selectors cannot be read; None if they can."""
+    try:
+        for one in _sources(field["selector"]):
+            compiled(one, field.get("method"))
+    except (SelectorError, KeyError) as e:
+        return f"{f}: {e}"
+    return None
 
-    def all(self) -> Iterator[Node]:
-        for c in self.children:
-            if not isinstance(c, str):
-                yield c
-                yield from c.all()
 
-
-class Tree(HTMLParser):
-    """A small tree of a page; unclosed elements end with their parent."""
-
-    def __init__(self, html: str) -> None:
-        super().__init__()
-        self.root = self.at = Node("", {}, None)
-        self.depth = 0
-        self.feed(html)
-        self.close()
-
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.children.append(node)
-        # deeper elements become siblings, which bounds the recursion
-        if tag not in VOID and self.depth < 200:
-            self.at, self.depth = node, self.depth + 1
-
-    def handle_endtag(self, tag: str) -> None:
-        node, up = self.at, 0
-        while node is not None and node.tag != tag:
-            node, up = node.parent, up + 1
-        if node is not None and node.parent is not None:
-            self.at, self.depth = node.parent, self.depth - up - 1
-
-    def handle_data(self, data: str) -> None:
-        self.at.children.append(data)
-
-
-STEP = re.compile(r"(?P<tag>[\w-]+|\*)?(?P<more>(?:[.#][\w-]+|\[[\w-]+(?:[*^$]?=\"?[^\]\"]*\"?)?\])*)")
-
-
-def _simple(step: str):
-    """The test of one compound selector: tag, .class, #id, [attribute], [attribute=value], *=, ^=, $=."""
-    m = STEP.fullmatch(step)
-    if not m or not step:
-        raise ValueError(f"selector step {step!r}")
-    tests = [lambda n, t=m["tag"]: n.tag == t] if m["tag"] and m["tag"] != "*" else []
-    for kind, name, attr, op, value in re.findall(r"([.#])([\w-]+)|\[([\w-]+)(?:([*^$]?=)\"?([^\]\"]*)\"?)?\]", m["more"]):
-        if kind == ".":
-            tests.append(lambda n, v=name: v in n.attrs.get("class", "").split())
-        elif kind == "#":
-            tests.append(lambda n, v=name: n.attrs.get("id") == v)
-        elif not op:
-            tests.append(lambda n, a=attr: a in n.attrs)
-        else:
-            compare = {"=": str.__eq__, "*=": str.__contains__, "^=": str.startswith, "$=": str.endswith}[op]
-            tests.append(lambda n, a=attr, v=value, c=compare: a in n.attrs and c(n.attrs[a], v))
-    return lambda n: all(t(n) for t in tests)
-
-
-def select(root: Node, selector: str) -> list[Node]:
-    """Elements in document order that a CSS selector names: compound steps, descendants, ``>`` children, ``,`` alternatives."""
-    found: list[Node] = []
-    for one in selector.split(","):
-        now, child = [root], False
-        for step in one.replace(">", " > ").split():
-            if step == ">":
-                child = True
-                continue
-            test, seen, out = _simple(step), set(), []
-            for base in now:
-                for n in (c for c in base.children if not isinstance(c, str)) if child else base.all():
-                    if id(n) not in seen and test(n):
-                        seen.add(id(n))
-                        out.append(n)
-            now, child = out, False
-        found += now
-    if "," in selector:
-        place = {id(n): i for i, n in enumerate(root.all())}
-        found = sorted({id(n): n for n in found}.values(), key=lambda n: place[id(n)])
-    return found
-
-
-def xpath_selector(path: str) -> str:
-    """The CSS form of a simple XPath: ``//a/b[@class='c']//d``."""
-    css = re.sub(r"\[@([\w-]+)\s*=\s*['\"]([^'\"]*)['\"]\]", r'[\1="\2"]', path)
-    css = re.sub(r"\[contains\(@([\w-]+),\s*['\"]([^'\"]*)['\"]\)\]", r'[\1*="\2"]', css)
-    css = re.sub(r"\[@([\w-]+)\]", r"[\1]", css)
-    return re.sub(r"(?<!^)/", " > ", re.sub(r"(?<!^)//", " ", re.sub(r"^//", "", css))).strip()
-
-
-def value_of(node: Node, attribute: str | None) -> str | None:
-    return node.text().strip() if attribute in (None, "text") else node.attrs.get(attribute)
-
-
-def values(root: Node, selector: str, attribute: str | None = None) -> list[str]:
-    css = xpath_selector(selector) if selector.startswith("/") else selector
-    return [v for n in select(root, css) if (v := value_of(n, attribute)) is not None]
-
-
-def select_fields(pages: DataFrame, keep: Sequence[str], fields: Mapping[str, Mapping], html: str = "html") -> DataFrame:
+def select_fields(pages: DataFrame, keep: Sequence[str], fields: Mapping[str, Mapping], html: str = "html", errors: str | None = None) -> DataFrame:
     """``keep`` columns and, for each field, an array of the values that its selector finds.
 
-    A field is {selector, attr (text, if not stated)}; alternatives of ``selector`` given as a list
-    are tried in order until one finds something. Null pages have null fields. A page is parsed once.
+    A field is {selector, attr (text, if not stated), method (css or xpath, if it is not to be told
+    from the selector)}; alternatives of ``selector`` given as a list are tried in order until one
+    finds something. Null pages have null fields. A page is parsed once for all fields. Without
+    ``errors`` a selector that cannot be read is an error of the call; with it, such a field is
+    null, as is one that fails on a page, and the column of that name maps the field to the reason.
     """
+    problems = {f: why for f, say in fields.items() if (why := _cannot(f, say))}
+    if problems and errors is None:
+        raise SelectorError("; ".join(problems.values()))
+    good = {f: say for f, say in fields.items() if f not in problems}
 
     def of(root: Node, field: Mapping) -> list[str]:
-        several = field["selector"]
-        for one in [several] if isinstance(several, str) else several:
-            if found := [v for v in values(root, one, field.get("attr")) if v]:
+        for one in _sources(field["selector"]):
+            if found := [v for v in values(root, one, field.get("attr"), field.get("method")) if v]:
                 return found
         return []
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.list_(pa.string())
+        kinds = [*[pa.list_(pa.string())] * len(good), pa.map_(pa.string(), pa.string())]
         for batch in batches:
-            roots = [None if h is None else Tree(h).root for h in batch.to_pylist()]
-            yield pa.StructArray.from_arrays([pa.array([None if r is None else of(r, f) for r in roots], kind) for f in fields.values()], list(fields))
-
-    schema = StructType([StructField(f, ArrayType(StringType())) for f in fields])
+            columns: list[list] = [[] for _ in kinds]
+            for h in batch.to_pylist():
+                root, failed = None if h is None else Tree(h).root, dict(problems)
+                for out, (f, say) in zip(columns, good.items(), strict=False):
+                    try:
+                        out.append(None if root is None else of(root, say))
+                    except Exception as e:  # whatever a page does to one field, the others stand
+                        out.append(None)
+                        failed[f] = f"{f}: {e}"
+                columns[-1].append(list(failed.items()))
+            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [*(f"f{i}" for i in range(len(good))), "errors"])
+
+    schema = StructType([*(StructField(f"f{i}", ArrayType(StringType())) for i in range(len(good))), StructField("errors", MapType(StringType(), StringType()))])
     found = F.arrow_udf(run, schema).asNondeterministic()(F.col(html))
-    return pages.select(*keep, found.alias("__f")).select(*keep, *[F.col("__f")[f].alias(f) for f in fields])
+    at, none = {f: f"__f.f{i}" for i, f in enumerate(good)}, F.lit(None).cast("array<string>")
+    columns = [(F.col(at[f]) if f in at else none).alias(f) for f in fields]
+    return pages.select(*keep, found.alias("__f")).select(*keep, *columns, *([F.col("__f.errors").alias(errors)] if errors else []))
 
 
-def list_rows(pages: DataFrame, keep: Sequence[str], container: str, fields: Mapping[str, Mapping], html: str = "html", most: int = 50, needed: Sequence[str] = ()) -> DataFrame:
+def list_rows(pages: DataFrame, keep: Sequence[str], container: str, fields: Mapping[str, Mapping], html: str = "html", most: int = 50, needed: Sequence[str] = (), base_url: Column | str | None = None, links: Sequence[str] = ("url",)) -> DataFrame:
     """``keep`` columns, ``index`` (from 1) and the fields of each list element, at most ``most`` a page; only those with some field, and all of ``needed``.
 
-    Dates lose the white space around their dashes.
+    Dates lose the white space around their dashes. With ``base_url``, site-relative ``links`` (from /) get it in front.
     """
+    for f, say in fields.items():
+        for one in _sources(say.get("selector", "")):
+            if one and (why := _cannot(f, {"selector": one})):
+                raise SelectorError(why)
 
     def rows_of(root: Node) -> list[dict]:
         out = []
-        for i, node in enumerate(select(root, xpath_selector(container) if container.startswith("/") else container)[:most], 1):
+        for i, node in enumerate(select(root, container)[:most], 1):
             row = {}
             for f, say in fields.items():
-                several = say.get("selector", "")
-                for one in [several] if isinstance(several, str) else several:
-                    got = [value_of(node, say.get("attr"))] if one == "" else values(node, one, say.get("attr"))
+                for one in _sources(say.get("selector", "")):
+                    got = values(node, one or ".", say.get("attr"))
                     if found := [v for v in got if v and (not say.get("holds") or re.search(say["holds"], v))]:
                         row[f] = found[0]
                         break
@@ -294,6 +222,7 @@ def list_rows(pages: DataFrame, keep: Sequence[str], container: str, fields: Map
                 out.append({"index": i, **{f: row.get(f) for f in fields}})
         return out
 
+    compiled(container)
     kind = pa.list_(pa.struct([("index", pa.int32()), *((f, pa.string()) for f in fields)]))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -301,27 +230,143 @@ def list_rows(pages: DataFrame, keep: Sequence[str], container: str, fields: Map
             yield pa.array([[] if h is None else rows_of(Tree(h).root) for h in batch.to_pylist()], kind)
 
     schema = "array<struct<index: int, " + ", ".join(f"{f}: string" for f in fields) + ">>"
-    rows = pages.select(*keep, F.explode(F.arrow_udf(run, schema).asNondeterministic()(F.col(html))).alias("__r")).select(*keep, "__r.*")
+    base = None if base_url is None else F.rtrim(base_url if isinstance(base_url, Column) else F.lit(base_url), F.lit("/"))
+    rows = pages.select(*keep, *([] if base is None else [base.alias("__base")]), F.explode(F.arrow_udf(run, schema).asNondeterministic()(F.col(html))).alias("__r")).select(*keep, *([] if base is None else ["__base"]), "__r.*")
+    if base is not None:
+        for link in links:
+            if link in fields:
+                rows = rows.withColumn(link, F.when(F.startswith(link, F.lit("/")) & ~F.startswith(link, F.lit("//")), F.concat("__base", link)).otherwise(F.col(link)))
+        rows = rows.drop("__base")
     return rows.withColumn("date", tight_dashes(F.col("date"))) if "date" in fields else rows
 
 
-def rule_values(pages: DataFrame, keep: Sequence[str], rules: Mapping[str, Mapping], html: str = "html") -> DataFrame:
-    """``keep`` columns and a value for each field by its rule: {method: css, xpath, regex, json, text; selector; type; multiple}.
+def _pattern_error(spark, pattern: str) -> str | None:
+    """Why Spark cannot read a pattern; None if it can. Asked of one literal, without a job over data."""
+    try:
+        spark.sql("select regexp_count('', :p)", args={"p": f"(?s){pattern}"}).collect()
+    except Exception as e:
+        return str(e).split("\n")[0][:200]
+    return None
+
+
+def groups_of(pattern: str) -> int:
+    """Capturing groups of a pattern: opening brackets that are neither escaped nor in a class nor of another kind."""
+    bare = re.sub(r"\\Q.*?(?:\\E|$)|\\.", "", pattern, flags=re.DOTALL)
+    bare = re.sub(r"\[\^?\]?[^\]]*\]", "", bare)
+    return len(re.findall(r"\((?!\?)|\(\?<(?![=!])", bare))
 
-    A value that is not found is null, whatever the other fields give.
+
+METHODS = ("css", "xpath", "regex", "json", "text")
+
+
+def rule_values(pages: DataFrame, keep: Sequence[str], rules: Mapping[str, Mapping], html: str = "html", errors: str | None = None) -> DataFrame:
+    """``keep`` columns and a value for each field by its rule: {method: css, xpath, regex, json, text; selector; attr; type; multiple}.
+
+    A value that is not found is null, whatever the other fields give. A field whose rule cannot be
+    read (an unknown method, a selector or pattern with a fault) or fails on a page is null too and
+    costs the others nothing; ``errors`` names a column that maps each such field to the reason.
+    ``multiple`` gives all values as an array, or with the type string as one text, joined by spaces.
+    A pattern with several groups gives its groups joined by tabs.
     """
-    chosen = {f: r for f, r in rules.items() if r["method"] in ("css", "xpath")}
-    base = select_fields(pages, [*keep, html], chosen, html) if chosen else pages.select(*keep, html)
+    problems: dict[str, str] = {}
+    chosen = {}
+    for f, r in rules.items():
+        method = r.get("method", "xpath")
+        if method not in METHODS:
+            problems[f] = f"{f}: method {method!r} is not known"
+        elif method != "text" and not r.get("selector"):
+            problems[f] = f"{f}: no selector"
+        elif method == "regex" and (why := _pattern_error(pages.sparkSession, r["selector"])):
+            problems[f] = f"{f}: {why}"
+        elif method in ("css", "xpath"):
+            chosen[f] = {**r, "method": method}
+    own = errors or "__errors"
+    base = select_fields(pages, [*keep, html], {f"__v{i}": r for i, r in enumerate(chosen.values())}, html, own) if chosen else pages.select(*keep, html, F.create_map().cast("map<string,string>").alias(own))
+    at = {f: f"__v{i}" for i, f in enumerate(chosen)}
     out = []
     for f, r in rules.items():
-        if f in chosen:
-            found = F.col(f)
-        elif r["method"] == "regex":
-            found = by_pattern(F.col(html), r["selector"], 1 if "(" in r["selector"] else 0)
-        elif r["method"] == "json":
+        method = r.get("method", "xpath")
+        if f in problems:
+            out.append(F.lit(None).cast("array<string>" if r.get("multiple") else "string").alias(f))
+            continue
+        if f in at:
+            found = F.col(at[f])
+        elif method == "regex":
+            n = groups_of(r["selector"])
+            groups = [by_pattern(F.col(html), r["selector"], g) for g in range(min(n, 1), n + 1)]
+            found = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: F.concat_ws("\t", x, y)), groups)
+        elif method == "json":
             found = F.array_compact(F.array(by_path(F.col(html), r["selector"])))
         else:
             found = F.array(strip(plain(F.col(html))))
-        one = F.transform(found, strip) if r.get("multiple") else cast_value(F.get(found, F.lit(0)), r.get("type", "string"))
+        kind = r.get("type", "string")
+        many = F.transform(found, strip)
+        joined = strip(F.array_join(F.nullif(many, F.array().cast("array<string>")), " ")) if r.get("type") == "string" else many
+        one = joined if r.get("multiple") else cast_value(F.get(found, F.lit(0)), kind)
         out.append(one.alias(f))
-    return base.select(*keep, *out)
+    if errors is None:
+        return base.select(*keep, *out)
+    back = F.create_map(*[x for f, v in at.items() for x in (F.lit(v), F.lit(f))]) if at else None
+    met = F.col(own) if back is None else F.map_from_entries(F.transform(F.map_entries(own), lambda e: F.struct(back[e["key"]].alias("key"), F.concat(back[e["key"]], F.lit(": "), F.regexp_replace(e["value"], "^__v[0-9]+: ", "")).alias("value"))))
+    stated = F.create_map(*[F.lit(x) for kv in problems.items() for x in kv]) if problems else None
+    return base.select(*keep, *out, (F.map_concat(met, stated) if stated is not None else met).alias(errors))
+
+
+def classify_pages(pages: DataFrame, types: Mapping[str, Mapping], url: str = "url", html: str = "html", output: str = "page_type") -> DataFrame:
+    """``pages`` with the first type whose rules hold, else the type that URL words and content suggest.
+
+    A type's rules are {url_patterns: [...], content_features: {min_links, keywords, min_content_length},
+    structure_features: {required_selectors: [...], min_elements: {selector: n}}}. It holds if any
+    pattern is found in the lower-case URL, or if all its content features do, or all its structure
+    features. A type with a fault (a selector or pattern that cannot be read) holds only by what
+    comes before the fault in that order. Selectors are counted in one pass over a page, the rest is Columns.
+    """
+    wanted: dict[str, None] = {}
+    for say in types.values():
+        features = say.get("structure_features") or {}
+        if not any(_cannot("", {"selector": s}) for s in (*features.get("required_selectors", ()), *features.get("min_elements", ()))):
+            wanted |= dict.fromkeys((*features.get("required_selectors", ()), *features.get("min_elements", ())))
+    names = list(wanted)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([None if h is None else _counts(Tree(h).root, names) for h in batch.to_pylist()], pa.list_(pa.int64()))
+
+    counts = F.arrow_udf(run, ArrayType(LongType())).asNondeterministic()(F.col(html)) if names else F.array().cast("array<bigint>")
+    low, text = F.lower(F.coalesce(F.col(url), F.lit(""))), F.lower(F.col(html))
+    out = page_class(F.col(url), F.col(html))
+    for name, say in reversed(types.items()):
+        holds = F.lit(False)
+        broken = False
+        for p in say.get("url_patterns") or ():
+            broken = broken or _pattern_error(pages.sparkSession, p) is not None
+            holds = holds if broken else holds | low.rlike(p)
+        if (content := say.get("content_features")) and not broken:
+            least = F.lit(True)
+            if content.get("min_links", 0) > 0:
+                least = least & (count_tags(F.col(html), "a", "href") >= content["min_links"])
+            for k in content.get("keywords") or ():
+                least = least & F.contains(text, F.lit(k.lower()))
+            if content.get("min_content_length", 0) > 0:
+                least = least & (F.length(html) >= content["min_content_length"])
+            holds = holds | least
+        structure = {} if broken else say.get("structure_features") or {}
+        needs = [*((s, 1) for s in structure.get("required_selectors") or ()), *(structure.get("min_elements") or {}).items()]
+        if needs and all(s in wanted for s, _ in needs):
+            every = F.lit(True)
+            for s, n in needs:
+                every = every & (F.col("__counts")[names.index(s)] >= n)
+            holds = holds | every
+        out = F.when(holds, name).otherwise(out)
+    kept = [F.col(f"`{c}`") for c in pages.columns if c != output]
+    return pages.withColumn("__counts", counts).select(*kept, out.alias(output))
+
+
+def _counts(root: Node, names: Sequence[str]) -> list[int]:
+    out = []
+    for s in names:
+        try:
+            out.append(len(select(root, s)))
+        except SelectorError:  # a call that gives no nodes: counts as found if it gives something
+            out.append(int(bool(values(root, s)[0])))
+    return out
