@@ -222,15 +222,3 @@ def known_tasks(tasks: DataFrame, *lists: DataFrame) -> DataFrame:
         ids = ids.union(other.select("task_id"))
     return tasks.join(ids, "task_id", "left_semi")
 
-
-def debounced(changes: DataFrame, key: str, ts: str, seconds: float = 1.0) -> DataFrame:
-    """Changes less those within ``seconds`` of the last one accepted of the same key.
-
-    Whether one is accepted depends on the last accepted one, so each key's times are folded in order
-    as whole microseconds; other columns are not gathered.
-    """
-    width = int(seconds * 1_000_000)
-    times = F.array_sort(F.collect_set(F.unix_micros(F.col(ts).cast("timestamp"))))
-    fold = F.aggregate(F.col("__t"), F.array().cast("array<bigint>"), lambda acc, t: F.when((F.size(acc) == 0) | (t - F.element_at(acc, -1) >= width), F.array_append(acc, t)).otherwise(acc))
-    accepted = changes.groupBy(key).agg(times.alias("__t")).select(F.col(key).alias("__k"), F.explode(fold).alias("__at"))
-    return changes.join(accepted, (F.col(key) == F.col("__k")) & (F.unix_micros(F.col(ts).cast("timestamp")) == F.col("__at")), "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 
-from ..operators import dedup, joins, ops
+from ..operators import dedup, folds, joins, ops
 from ..sources import tables
 from ..sources.tables import NOW, one_of, table, task_metrics
 from .queries import TASKS, query
@@ -223,7 +223,16 @@ r as (select user_id, event_id, t, n, t as kept, true as ok from o where n = 1 u
 select user_id, event_id from r where ok""")
 def w10_debounced(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"))
-    return ops.debounced(e, "user_id", "ts", 86400).select("user_id", "event_id")
+    return folds.debounced(e, "user_id", "ts", 86400).select("user_id", "event_id")
+
+
+@query("""with recursive o as (select user_id, event_id, epoch_us(ts) as t, row_number() over (partition by user_id order by ts, event_id) as i from events),
+r as (select user_id, event_id, t, i, 1 as streak, false as closes from o where i = 1 union all
+select o.user_id, o.event_id, o.t, o.i, case when r.closes then 1 when r.streak > 1 and o.t - r.t > 172800000000 then 1 else r.streak + 1 end, not r.closes and not (r.streak > 1 and o.t - r.t > 172800000000) and r.streak + 1 > 3 from r join o on o.user_id = r.user_id and o.i = r.i + 1)
+select user_id, event_id, streak::int as streak, closes from r""")
+def w9_idle_streaks(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    return folds.idle_streaks(e, "user_id", "ts", 172800, 3).select("user_id", "event_id", "streak", "closes")
 
 
 SITES = (("example.org", "org", 1), ("spam-farm.example.org", "spam", 2), ("example.org", "later", 3), ("le.com", "odd", 4), ("example.com", "com", 5))
