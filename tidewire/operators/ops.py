@@ -16,27 +16,35 @@ def _task_aggregates() -> list[Column]:
         F.count_if(F.col("status") == "failed").alias("failed"),
         F.sum("duration").alias("duration"),
         F.sum("items").alias("items"),
+        F.sum("pages").alias("pages"),
     ]
 
 
 def task_performance(tasks: DataFrame, *by: str) -> DataFrame:
-    """Counts and sums of tasks, overall or per group; the success rate in whole millionths."""
-    return tasks.groupBy(*by).agg(*_task_aggregates()).withColumn("success_ppm", F.expr("try_divide(1000000 * completed, total)").cast("long"))
+    """Counts, sums and mean duration of tasks, overall or per group; the success rate in whole millionths."""
+    rate = F.expr("try_divide(1000000 * completed, total)").cast("long")
+    return tasks.groupBy(*by).agg(*_task_aggregates()).withColumns({"success_ppm": rate, "avg_duration": F.try_divide(F.col("duration").cast("double"), "total")})
 
 
 def hourly_stats(tasks: DataFrame, first: str, hours: int) -> DataFrame:
-    """Counts for each of ``hours`` hours from ``first`` on; hours without tasks are zero."""
+    """Counts, sums and ``workers`` (tasks by worker) for each of ``hours`` hours from ``first`` on; hours without tasks are zero."""
     start = F.lit(first).cast("timestamp")
-    by_hour = tasks.where((F.col("start_time") >= start) & (F.col("start_time") < start + F.make_interval(hours=F.lit(hours)))).groupBy(F.date_trunc("hour", "start_time").alias("h")).agg(*_task_aggregates())
+    inside = tasks.where((F.col("start_time") >= start) & (F.col("start_time") < start + F.make_interval(hours=F.lit(hours))))
+    by_worker = inside.groupBy(F.date_trunc("hour", "start_time").alias("h"), "worker_id").agg(*_task_aggregates())
+    sums = [F.sum(c).alias(c) for c in ("total", "completed", "failed", "duration", "items")]
+    workers = F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("worker_id").isNotNull(), F.struct("worker_id", "total"))))).alias("workers")
+    by_hour = by_worker.groupBy("h").agg(*sums, workers)
     frame = tasks.sparkSession.range(hours).select((start + F.make_interval(hours=F.col("id").cast("int"))).alias("hour"))
     zero = F.lit(0)
-    return frame.join(by_hour, F.col("hour") == F.col("h"), "left").select(F.date_format("hour", "yyyy-MM-dd HH:mm").alias("hour"), *[F.coalesce(c, zero).cast("long").alias(c) for c in ("total", "completed", "failed", "items")])
+    found = frame.join(by_hour, F.col("hour") == F.col("h"), "left")
+    duration = F.coalesce("duration", zero.cast(found.schema["duration"].dataType)).alias("duration")
+    return found.select(F.date_format("hour", "yyyy-MM-dd HH:mm").alias("hour"), *[F.coalesce(c, zero).cast("long").alias(c) for c in ("total", "completed", "failed", "items")], duration, F.coalesce("workers", F.create_map().cast(found.schema["workers"].dataType)).alias("workers"))
 
 
 def request_histogram(tasks: DataFrame) -> DataFrame:
-    """Cumulative latency buckets by spider and site; ``duration`` is in hundredths of a second."""
+    """Requests and cumulative latency buckets by spider, site and status; ``duration`` is in hundredths of a second."""
     ms = F.col("duration") * 10
-    return tasks.groupBy("spider", "site").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(ms <= b).alias(f"le_{b}") for b in LATENCY_BOUNDS])
+    return tasks.groupBy("spider", "site", "status").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(ms <= b).alias(f"le_{b}") for b in LATENCY_BOUNDS])
 
 
 def failing_groups(tasks: DataFrame, percent: int = 85) -> DataFrame:
@@ -87,17 +95,37 @@ def task_alerts(tasks: DataFrame, timeout: int = 3600, memory: int = 1024, cpu:
     return tasks.select("task_id", F.explode(kinds).alias("kind")).withColumn("severity", severity(F.col("kind")))
 
 
-def task_states(events: DataFrame, now: Column, most: int = 3) -> DataFrame:
-    """Where each task stands after its attempts: ``fails`` and ``done`` counted, retries back off by 60 s times powers of two.
+#: Order of events of one time.
+EVENT_ORDER = ("started", "failed", "completed")
+
 
-    (task_id, retries, status, due): completed once an attempt succeeded, failed after more than
-    ``most`` failures, else pending (due at the back-off's end) or, never tried, at once.
+def task_states(events: DataFrame, now: Column, most: int = 3) -> DataFrame:
+    """Where each task stands after its events (task_id, event: submitted, started, failed or completed, at).
+
+    (task_id, retries, status, due, eligible): processing after a start; pending after a failure that may
+    be tried again, due 60 s times two to the power of its retries after that failure; failed after
+    more failures than retries are allowed (its own ``max_retries``, if there is such a column, else
+    ``most``); completed for good once an attempt succeeded. A failure counts only where the event
+    before it is a start, so neither one without an attempt nor one after a success does. A task
+    that was never started is pending and due at once. Null tasks, times and unknown events are left out.
     """
-    t = events.groupBy("task_id").agg(F.count_if(F.col("event") == "failed").alias("fails"), F.max(F.col("event") == "completed").alias("done"), F.max("at").alias("last"))
-    status = F.when(F.col("done"), "completed").when(F.col("fails") > most, "failed").otherwise("pending")
-    wait = F.when(F.col("fails") > 0, F.call_function("shiftleft", F.lit(60), F.col("fails").cast("int"))).otherwise(0)
-    due = F.when(status == "pending", F.col("last") + F.make_interval(secs=wait.cast("decimal(18,6)")))
-    return t.select("task_id", F.least("fails", F.lit(most)).alias("retries"), status.alias("status"), due.alias("due"), (due <= now).alias("eligible"))
+    rank = F.array_position(F.array(*map(F.lit, EVENT_ORDER)), F.col("event"))
+    by_time = Window.partitionBy("task_id").orderBy("at", rank)
+    own = F.col("max_retries") if "max_retries" in events.columns else F.lit(None).cast("int")
+    e = events.where(F.col("task_id").isNotNull() & F.col("at").isNotNull() & F.col("event").isin("submitted", *EVENT_ORDER)).select("task_id", "event", "at", own.alias("own"))
+    e = e.withColumns({"before": F.lag("event").over(by_time), "won": F.max(F.col("event") == "completed").over(by_time)})
+    counts = ~F.col("won") & (F.col("event") == "failed") & (F.col("before") == "started")
+    t = e.groupBy("task_id").agg(
+        F.count_if(counts).alias("fails"), F.max("won").alias("done"), F.max(F.when(counts, F.col("at"))).alias("failed_at"), F.max(F.when((F.col("event") == "started") & ~F.col("won"), F.col("at"))).alias("started_at"),
+        F.min("at").alias("first"), F.coalesce(F.max("own"), F.lit(most)).alias("most"),
+    )
+    running = F.col("started_at").isNotNull() & F.coalesce(F.col("started_at") > F.col("failed_at"), F.lit(True))
+    status = F.when(F.col("done"), "completed").when(F.col("fails") > F.col("most"), "failed").when(running, "processing").otherwise("pending")
+    # beyond some retries the wait is longer than any task lives; the power stays within a whole number
+    wait = F.when(F.col("fails") > 0, F.call_function("shiftleft", F.lit(60).cast("long"), F.least(F.col("fails"), F.lit(30)).cast("int"))).otherwise(0)
+    due = F.when(F.col("status") == "pending", F.timestamp_micros(F.unix_micros(F.coalesce("failed_at", "first")) + wait * 1_000_000))
+    t = t.select("task_id", F.least("fails", "most").alias("retries"), status.alias("status"), "fails", "failed_at", "first")
+    return t.select("task_id", "retries", "status", due.alias("due"), F.coalesce(due <= now, F.lit(False)).alias("eligible"))
 
 
 def next_tasks(tasks: DataFrame, k: int, now: Column | None = None) -> DataFrame:

@@ -77,13 +77,23 @@ def timeliness(age_hours: Column) -> Column:
     return F.when(age_hours.isNull(), 80).when(age_hours > 168, 70).when(age_hours > 24, 90).otherwise(100)
 
 
+#: Year, month, day, hour, minute, second, fraction; then a zone.
+ISO = r"^(\d{4})-?(\d{2})-?(\d{2})(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(\.\d{1,6})?\d*)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+
+
 def age_hours(now: Column, *times: Column) -> Column:
-    """Hours since the first time that is stated and not empty; null if that cannot be read."""
-    stated = F.coalesce(*[F.nullif(t, F.lit("")) for t in times])
-    at = F.try_to_timestamp(F.regexp_replace(stated, "Z$", ""))
+    """Hours since the first of several ISO times that can be read, as it is written (its zone is not looked at); null if none can."""
+    at = F.coalesce(*[written_time(t) for t in times])
     return (F.unix_timestamp(now) - F.unix_timestamp(at)) / 3600
 
 
+def written_time(col: Column) -> Column:
+    """The time an ISO text states (with dashes and colons or without), less its zone; null if it is none."""
+    part = lambda i: F.regexp_extract(col, ISO, i)
+    clock = F.concat(F.when(part(4) != "", part(4)).otherwise("00"), F.lit(":"), F.when(part(5) != "", part(5)).otherwise("00"), F.lit(":"), F.when(part(6) != "", part(6)).otherwise("00"), part(7))
+    return F.when(col.rlike(ISO), F.try_to_timestamp(F.concat(part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit(" "), clock)))
+
+
 def issues(url: Column, title: Column, content: Column) -> Column:
     """What is wrong with a record, in words."""
     missing = lambda c: F.coalesce(c, F.lit("")) == ""
@@ -119,14 +129,18 @@ def level(score: Column) -> Column:
 ARTICLE_FIELDS = ("url", "title", "content", "publish_date", "author", "source", "crawl_time")
 
 
+#: Where an article's time is looked for, in this order.
+TIME_FIELDS = ("crawl_time", "extraction_time", "timestamp")
+
+
 def score_articles(articles: DataFrame, now: Column, fields: tuple[str, ...] = ARTICLE_FIELDS) -> DataFrame:
-    """Adds the five dimensions (hundredths), the overall score (ten-thousandths) and its level. Takes url, title, content, publish_date, author, site and crawl_time."""
+    """Adds the five dimensions (hundredths), the overall score (ten-thousandths) and its level. Takes url, title, content, publish_date, author, site and what there is of TIME_FIELDS."""
     c = F.col
     out = articles.withColumns({
         "completeness": completeness(c("title"), c("content"), c("url"), c("publish_date"), c("author"), c("site")),
         "accuracy": accuracy(c("url"), c("publish_date"), c("content"), c("title")),
         "consistency": consistency(F.array(*map(F.lit, fields))),
-        "timeliness": timeliness(age_hours(now, c("crawl_time"))),
+        "timeliness": timeliness(age_hours(now, *[c(t).cast("string") for t in TIME_FIELDS if t in articles.columns])),
         "validity": validity(c("url"), c("content")),
     })
     out = out.withColumn("overall", c("completeness") * 25 + c("accuracy") * 25 + c("consistency") * 20 + c("timeliness") * 15 + c("validity") * 15)

@@ -33,12 +33,19 @@ def g9_task_alerts(spark, sf_dir):
     return ops.task_alerts(_runs(spark, sf_dir))
 
 
-@query(f"""with {RUNS}, g as (select task_id % 4000 as task_id, count(*) filter (event_type = 'error') as fails, bool_or(event_type = 'view') as done, max(ts) as last from runs group by 1),
-s as (select *, case when done then 'completed' when fails > 3 then 'failed' else 'pending' end as status from g), d as (select *, case when status = 'pending' then last + to_seconds(case when fails > 0 then 60 * (1 << fails::int) else 0 end) end as due from s)
-select task_id, least(fails, 3) as retries, status, due, due <= timestamp '2024-01-20 00:00:00' as eligible from d""")
+STEPS = "case task_id // 4000 % 4 when 0 then 'submitted' when 1 then 'started' when 2 then case when event_type = 'view' then 'completed' else 'failed' end else case when event_type = 'error' then 'failed' else 'started' end end"
+
+
+@query(f"""with {RUNS}, e as (select task_id % 4000 as task_id, ts as happened, {STEPS} as event, case when task_id % 2 = 0 then 1 end as own from runs),
+o as (select *, lag(event) over (partition by task_id order by happened, coalesce(list_position(['started', 'failed', 'completed'], event), 0)) as prior, bool_or(event = 'completed') over (partition by task_id order by happened, coalesce(list_position(['started', 'failed', 'completed'], event), 0)) as won from e),
+g as (select task_id, count(*) filter (not won and event = 'failed' and prior = 'started') as fails, bool_or(won) as done, max(happened) filter (not won and event = 'failed' and prior = 'started') as failed_at, max(happened) filter (not won and event = 'started') as started_at, min(happened) as first_at, coalesce(max(own), 3) as most from o group by task_id),
+s as (select *, case when done then 'completed' when fails > most then 'failed' when started_at is not null and coalesce(started_at > failed_at, true) then 'processing' else 'pending' end as status from g),
+d as (select *, case when status = 'pending' then coalesce(failed_at, first_at) + to_seconds(case when fails > 0 then 60 * (1 << fails::int) else 0 end) end as due from s)
+select task_id, least(fails, most) as retries, status, due, coalesce(due <= timestamp '2024-01-20 00:00:00', false) as eligible from d""")
 def g4_task_states(spark, sf_dir):
-    r = _runs(spark, sf_dir)
-    e = r.select((F.col("task_id") % 4000).alias("task_id"), F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "view", "completed").otherwise("started").alias("event"), F.col("ts").alias("at"))
+    step, kind = F.floor(F.col("task_id") / 4000) % 4, F.col("event_type")
+    event = F.when(step == 0, "submitted").when(step == 1, "started").when(step == 2, F.when(kind == "view", "completed").otherwise("failed")).otherwise(F.when(kind == "error", "failed").otherwise("started"))
+    e = _runs(spark, sf_dir).select((F.col("task_id") % 4000).alias("task_id"), event.alias("event"), F.col("ts").alias("at"), F.when(F.col("task_id") % 2 == 0, 1).alias("max_retries"))
     out = ops.task_states(e, F.lit("2024-01-20 00:00:00").cast("timestamp"))
     return out.withColumn("due", F.col("due").cast("timestamp_ntz"))
 

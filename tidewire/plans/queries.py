@@ -18,7 +18,7 @@ ARTICLES = """articles as (select doc_id, 'https://' || source || '.example.org/
   text as content, source as site, lang, strftime(date '2024-01-01' + (doc_id % 30)::int, '%Y-%m-%d') as publish_date, case when doc_id % 3 > 0 then 'author ' || doc_id % 50 end as author,
   case when doc_id % 9 > 0 then strftime(timestamp '2024-02-01 00:00:00' - to_hours(doc_id % 400), '%Y-%m-%dT%H:%M:%S') || case when doc_id % 10 = 0 then 'Z' else '' end end as crawl_time from documents)"""
 TASKS = """tasks as (select event_id as task_id, user_id % 16 as worker_id, ts as start_time, value::decimal(18,4) as duration, case when event_type = 'error' then 'failed' else 'completed' end as status,
-  (props->>'$.k')::bigint as items, user_id % 8 as site, event_type as spider from events)"""
+  (props->>'$.k')::bigint as items, user_id % 8 as site, event_type as spider, event_id % 7 as pages from events)"""
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Latin stand-ins for the default dictionaries, which the stored tables cannot hit.
 WORDS = {"first": ("thon", "haer", "erst"), "second": ("ciónado", "eauou", "keit"), "third": ("licen", "idiot", "token")}
@@ -257,6 +257,20 @@ def _scored(spark, sf_dir):
     return quality.score_articles(articles(spark, sf_dir), F.lit(NOW).cast("timestamp"))
 
 
+@query(f"""with t as (select doc_id, timestamp '{NOW}' - to_hours((doc_id % 400)::int) as at from documents)
+select doc_id, case when doc_id % 11 = 10 then 80 when age > 168 then 70 when age > 24 then 90 else 100 end as timeliness, case when doc_id % 11 <> 10 then age::double end as hours from (select doc_id, (doc_id % 400)::bigint as age from t)""")
+def g1d_timeliness(spark, sf_dir):
+    """Times with zones, compact ones, and such as cannot be read, after which the next field counts."""
+    k = F.col("doc_id")
+    at = F.timestamp_seconds(F.unix_timestamp(F.lit(NOW).cast("timestamp")) - k % 400 * 3600)
+    iso, compact = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.date_format(at, "yyyyMMdd'T'HHmmss")
+    first = F.when(k % 11 == 0, F.concat(iso, F.lit("+08:00"))).when(k % 11 == 1, F.concat(iso, F.lit(".250Z"))).when(k % 11 == 2, compact).when(k % 11 == 3, "yesterday").when(k % 11 == 4, "").when(k % 11 == 5, "2024-13-01").when(k % 11 == 6, F.concat(compact, F.lit("-0330"))).when(k % 11 == 7, iso)
+    second = F.when(k % 11 == 10, "n/a").when((k % 11).isin(3, 4, 5), F.concat(iso, F.lit("Z"))).when(k % 11 == 8, F.date_format(at, "yyyy-MM-dd HH:mm:ss"))
+    third = F.when(k % 11 == 9, iso).when(k % 11 == 10, "2024").otherwise("1999-01-01")
+    hours = quality.age_hours(F.lit(NOW).cast("timestamp"), first, second, third)
+    return table(spark, sf_dir, "documents").select("doc_id", quality.timeliness(hours).alias("timeliness"), hours.alias("hours"))
+
+
 @query(f"with {SCORED} select doc_id, completeness, accuracy, consistency, timeliness, validity, overall, level from leveled")
 def g1_quality_scores(spark, sf_dir):
     return _scored(spark, sf_dir).select("doc_id", "completeness", "accuracy", "consistency", "timeliness", "validity", "overall", "level")
@@ -364,7 +378,7 @@ def a13_duplicate_urls(spark, sf_dir):
     return analysis.duplicate_groups(d, "url")
 
 
-PERF = "count(*) as total, count(*) filter (status = 'completed') as completed, count(*) filter (status = 'failed') as failed, sum(duration) as duration, sum(items)::bigint as items, 1000000 * count(*) filter (status = 'completed') // count(*) as success_ppm"
+PERF = "count(*) as total, count(*) filter (status = 'completed') as completed, count(*) filter (status = 'failed') as failed, sum(duration) as duration, sum(items)::bigint as items, sum(pages)::bigint as pages, 1000000 * count(*) filter (status = 'completed') // count(*) as success_ppm, sum(duration)::double / count(*) as avg_duration"
 
 
 @query(f"with {TASKS} select {PERF} from tasks")
@@ -372,9 +386,10 @@ def a15_task_performance(spark, sf_dir):
     return ops.task_performance(task_metrics(spark, sf_dir))
 
 
-@query(f"with {TASKS}, f as (select timestamp '2024-01-05 00:00:00' + to_hours(unnest(range(48))) as h) select strftime(h, '%Y-%m-%d %H:%M') as hour, count(task_id) as total, count(*) filter (status = 'completed') as completed, count(*) filter (status = 'failed') as failed, coalesce(sum(items), 0)::bigint as items from f left join tasks on date_trunc('hour', start_time) = h group by h")
+@query(f"with {TASKS}, f as (select timestamp '2024-01-05 00:00:00' + to_hours(unnest(range(48))) as h) select strftime(h, '%Y-%m-%d %H:%M') as hour, count(task_id) as total, count(*) filter (status = 'completed') as completed, count(*) filter (status = 'failed') as failed, coalesce(sum(items), 0)::bigint as items, coalesce(sum(duration), 0) as duration, coalesce((select string_agg(w, ',' order by k) from (select worker_id as k, worker_id || ':' || count(*) as w from tasks t where date_trunc('hour', t.start_time) = h group by worker_id)), '') as workers from f left join tasks on date_trunc('hour', start_time) = h group by h")
 def a16_hourly_stats(spark, sf_dir):
-    return ops.hourly_stats(task_metrics(spark, sf_dir), "2024-01-05 00:00:00", 48)
+    found = ops.hourly_stats(task_metrics(spark, sf_dir), "2024-01-05 00:00:00", 48)
+    return found.withColumn("workers", F.array_join(F.transform(F.map_entries("workers"), lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string"))), ","))
 
 
 @query(f"with {TASKS} select worker_id, {PERF} from tasks group by worker_id")
@@ -382,7 +397,7 @@ def a17_worker_performance(spark, sf_dir):
     return ops.task_performance(task_metrics(spark, sf_dir), "worker_id")
 
 
-@query(f"with {TASKS} select spider, site, count(*) as n, {', '.join(f'count(*) filter (duration * 10 <= {b}) as le_{b}' for b in ops.LATENCY_BOUNDS)} from tasks group by all")
+@query(f"with {TASKS} select spider, site, status, count(*) as n, {', '.join(f'count(*) filter (duration * 10 <= {b}) as le_{b}' for b in ops.LATENCY_BOUNDS)} from tasks group by all")
 def a23_request_histogram(spark, sf_dir):
     return ops.request_histogram(task_metrics(spark, sf_dir))
 

@@ -78,6 +78,7 @@ def task_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").cast("long").alias("items"),
         (F.col("user_id") % 8).alias("site"),
         F.col("event_type").alias("spider"),
+        (F.col("event_id") % 7).alias("pages"),
     )
 
 
