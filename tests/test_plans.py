@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewire.functions import extract, fields, rules
 from tidewire.functions import text as fn
 from tidewire.operators import antibot, dedup, joins, ops, quality
-from tidewire.plans import crawl, operations, pages  # noqa: F401  they register their queries
+from tidewire.plans import crawl, operations, pages, sources  # noqa: F401  they register their queries
 from tidewire.plans.queries import ORACLE_SQL, QUERIES
 from tidewire.sources import tables
 from tidewire.sources.tables import json_lines, text_list, write_by_site

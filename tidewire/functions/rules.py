@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -152,3 +154,58 @@ def violations(df: DataFrame, checks: Mapping[str, Column], unique: Sequence[str
         again = present.groupBy(*unique).agg((F.count(F.lit(1)) - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
         out = out.unionByName(again.select(F.lit("unique").alias("constraint"), "n"))
     return out
+
+
+def _readable(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        good = []
+        for p in batch.to_pylist():
+            try:
+                good.append(p is None or bool(re.compile(p)))
+            except re.error:
+                good.append(False)
+        yield pa.array(good, pa.bool_())
+
+
+#: Columns of a table of rules; all but the first two may be missing or null.
+RULE_COLUMNS = {"site": "string", "field": "string", "required": "boolean", "kind": "string", "min_length": "int", "max_length": "int", "pattern": "string", "minimum": "double", "maximum": "double"}
+KINDS = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean"}
+
+
+def errors_by_table(records: DataFrame, rules: DataFrame, site: str, fields: Sequence[str], output: str = "errors") -> DataFrame:
+    """``records`` with an array of ``field:message`` by the rules of their site, which stand in a table.
+
+    ``rules`` has the columns RULE_COLUMNS; rows without a site hold for all. Sites with different rules
+    need one plan: a site's rules (a few rows for each field) become one array, records are joined
+    with it, and higher-order functions test each rule. Errors go by field and within it as
+    required, type, length, pattern, range. Records without a site, or of one without rules, are held
+    to the rules for all. A null value breaks no rule but ``required``, nor does a field that records
+    lack; a pattern that cannot be read and a type that is not known are broken by every value.
+    """
+    have = [F.col(c) if c in rules.columns else F.lit(None) for c in RULE_COLUMNS]
+    said = rules.select(*[h.cast(k).alias(c) for h, (c, k) in zip(have, RULE_COLUMNS.items(), strict=True)]).where(F.col("field").isNotNull())
+    said = said.withColumn("readable", F.arrow_udf(_readable, "boolean")(F.col("pattern")))
+    one = F.struct("field", *[c for c in (*RULE_COLUMNS, "readable") if c not in ("site", "field")])
+    of_all = said.where(F.col("site").isNull()).agg(F.sort_array(F.collect_list(one)).alias("__all"))
+    of_site = said.where(F.col("site").isNotNull()).groupBy(F.col("site").alias("__site")).agg(F.sort_array(F.collect_list(one)).alias("__own"))
+    given = F.map_from_arrays(F.array(*map(F.lit, fields)), F.array(*[F.col(f"`{f}`").cast("string") for f in fields]))
+    joined = records.withColumn("__values", given).join(of_site, F.col(site) == F.col("__site"), "left").join(F.broadcast(of_all))
+
+    def broken(r: Column) -> Column:
+        v = F.col("__values")[r["field"]]
+        kinds = F.lit(False)
+        for name, kind in KINDS.items():
+            kinds = F.when(r["kind"] == name, v.try_cast(kind).isNull()).otherwise(kinds)
+        known = r["kind"].isNull() | r["kind"].isin(*KINDS)
+        number = v.try_cast("double")
+        tests = (
+            ("required", F.coalesce(r["required"], F.lit(False)) & (F.coalesce(strip(v), F.lit("")) == "")),
+            ("type", v.isNotNull() & (~known | kinds)),
+            ("length", v.isNotNull() & ((F.length(v) < r["min_length"]) | (F.length(v) > r["max_length"]))),
+            ("pattern", v.isNotNull() & r["pattern"].isNotNull() & (~r["readable"] | ~F.rlike(v, F.when(r["readable"], F.concat(F.lit("^(?:"), r["pattern"], F.lit(")")))))),
+            ("range", v.isNotNull() & (r["minimum"].isNotNull() | r["maximum"].isNotNull()) & (number.isNull() | (number < r["minimum"]) | (number > r["maximum"]))),
+        )
+        return F.array_compact(F.array(*[F.when(F.coalesce(t, F.lit(False)), F.concat(r["field"], F.lit(f":{m}"))) for m, t in tests]))
+
+    both = F.sort_array(F.concat(F.col("__all"), F.coalesce("__own", F.array().cast(joined.schema["__all"].dataType))))
+    return joined.select(*[f"`{c}`" for c in records.columns if c != output], F.array_distinct(F.flatten(F.transform(both, broken))).alias(output))
