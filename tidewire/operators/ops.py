@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,10 +43,10 @@ def hourly_stats(tasks: DataFrame, first: str, hours: int) -> DataFrame:
     return found.select(F.date_format("hour", "yyyy-MM-dd HH:mm").alias("hour"), *[F.coalesce(c, zero).cast("long").alias(c) for c in ("total", "completed", "failed", "items")], duration, F.coalesce("workers", F.create_map().cast(found.schema["workers"].dataType)).alias("workers"))
 
 
-def request_histogram(tasks: DataFrame) -> DataFrame:
-    """Requests and cumulative latency buckets by spider, site and status; ``duration`` is in hundredths of a second."""
+def request_histogram(tasks: DataFrame, by: Sequence[str] = ("spider", "site", "status")) -> DataFrame:
+    """Requests and cumulative latency buckets by label set; ``duration`` is in hundredths of a second."""
     ms = F.col("duration") * 10
-    return tasks.groupBy("spider", "site", "status").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(ms <= b).alias(f"le_{b}") for b in LATENCY_BOUNDS])
+    return tasks.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(ms <= b).alias(f"le_{b}") for b in LATENCY_BOUNDS])
 
 
 def failing_groups(tasks: DataFrame, percent: int = 85) -> DataFrame:

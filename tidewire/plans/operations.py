@@ -197,7 +197,7 @@ def _quantile_sql() -> str:
 
 @query(f"with {TASKS}, h as (select spider, site, count(*) as n, {', '.join(f'count(*) filter (duration * 10 <= {b}) as le_{b}' for b in ops.LATENCY_BOUNDS)} from tasks group by all) select spider, site, n, {_quantile_sql()} as quantile from h")
 def a25_p95(spark, sf_dir):
-    return ops.bucket_quantile(ops.request_histogram(task_metrics(spark, sf_dir))).select("spider", "site", "n", "quantile")
+    return ops.bucket_quantile(ops.request_histogram(task_metrics(spark, sf_dir), ("spider", "site"))).select("spider", "site", "n", "quantile")
 
 
 @query(f"with {TASKS} select worker_id, count(*) as total, (sum(items) * 1000)::bigint // count(*) as items_milli, 1000000 * count(*) filter (status = 'failed') // count(*) as detected_ppm from tasks group by worker_id")

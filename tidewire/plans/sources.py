@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import jsonpath, rules
+from ..operators import ops, rates
 from ..sources import queues
 from ..sources.tables import articles, table
+from .operations import _quantile_sql
 from .queries import ARTICLES, _strip, query
 
 
@@ -56,3 +58,61 @@ def v14_rules_by_table(spark, sf_dir):
     base = spark.range(1).select(F.lit(None).cast("string").alias("site"), F.lit("title").alias("field"), F.lit(True).alias("required"))
     checked = rules.errors_by_table(articles(spark, sf_dir), own.unionByName(base, allowMissingColumns=True), "site", ["title", "content", "author", "publish_date"])
     return checked.select("doc_id", F.array_join(F.array_sort("errors"), ",").alias("errors"))
+
+
+@query("""with i as (select l_orderkey as k, l_linenumber as n, l_partkey as p, l_quantity::bigint as q from lineitem),
+g as (select k, list(p order by n, p, q) as ps, list(q order by n, p, q) as qs, count(*) as c from i group by k)
+select k as order_key, array_to_string(ps, ',') as parts, qs[1] || '|' || qs[c] as ends, array_to_string(qs[2:3], ',') as second_third, c::bigint as n_deep, k || ',' || c as members, array_to_string(list_filter(ps, lambda x, j: j % 2 = 1), ',') as odd from g""")
+def x4_json_paths(spark, sf_dir):
+    """Orders as nested JSON, and paths with wildcards, places, slices and a descent into them."""
+    item = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.col("l_quantity").cast("long").alias("qty"))
+    orders = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("order_key")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    doc = F.to_json(F.struct("items", F.struct(F.col("order_key").alias("a"), F.size("items").alias("b")).alias("meta")))
+    text = lambda path: F.array_join(jsonpath.json_values(F.col("doc"), path), ",")
+    ends = F.concat_ws("|", jsonpath.json_value(F.col("doc"), "$.items[0].qty"), jsonpath.json_value(F.col("doc"), "items[-1]['qty']"))
+    return orders.select("order_key", doc.alias("doc")).select(
+        "order_key", text("$.items[*].part").alias("parts"), ends.alias("ends"), text("$.items[1:3].qty").alias("second_third"), F.size(jsonpath.json_values(F.col("doc"), "$..part")).cast("long").alias("n_deep"), text("$.meta.*").alias("members"), text("$.items[::2].part").alias("odd"),
+    )
+
+
+@query("""select s_suppkey, s_name as name, s_name || '数据爬取' as description, case when s_suppkey % 3 = 0 then s_suppkey / 4.0 else 2.0 end as delay, case when s_suppkey % 2 = 0 then 'title_selectors' else 'date_selectors,title_selectors' end as selectors,
+case when s_suppkey % 5 = 0 then 'title' else '' end as required, 'http://x/' || s_suppkey || ' list_page' as first_page from supplier""")
+def p15_reshaped(spark, sf_dir):
+    """Suppliers as old flat configurations, reshaped and read by paths."""
+    k = F.col("s_suppkey")
+    path = lambda s, needed: F.struct(F.lit("xpath").alias("method"), F.lit(s).alias("selector"), needed.alias("required"))
+    fields = F.map_filter(F.create_map(F.lit("date"), path("//i", F.lit(False)), F.lit("title"), path("//h1", k % 5 == 0)), lambda name, _: (name == "title") | (k % 2 == 1))
+    old = F.to_json(F.struct(F.col("s_name").alias("name"), F.when(k % 3 == 0, F.struct((k / 4).alias("delay"))).alias("request_settings"), F.array(F.struct(F.concat(F.lit("http://x/"), k.cast("string")).alias("url"))).alias("start_urls"), fields.alias("fields")))
+    new = table(spark, sf_dir, "supplier").select("s_suppkey", jsonpath.reshaped(old).alias("c"))
+    one = lambda p: jsonpath.json_value(F.col("c"), p)
+    return new.select(
+        "s_suppkey", one("$.site_info.name").alias("name"), one("$.site_info.description").alias("description"), one("$.crawling_strategy.delays.between_requests").cast("double").alias("delay"),
+        F.array_join(F.array_sort(F.map_keys(F.from_json(one("$.selectors"), "map<string,array<string>>"))), ",").alias("selectors"), F.array_join(jsonpath.json_values(F.col("c"), "$.data_extraction.required_fields[*]"), ",").alias("required"),
+        F.concat_ws(" ", one("$.target_pages[0].url"), one("$.target_pages[0].type")).alias("first_page"),
+    )
+
+
+_SLIDING = "unnest(list_transform(range(6), lambda i: epoch_us(ts) // 3600000000 * 3600 - i * 3600))"
+
+
+_BY_TIME = "over (partition by spider order by ts, event_id)"
+
+
+@query(f"""with s as (select event_type as spider, ts, event_id, (event_id * 7) % 1000 as v from events),
+i as (select *, case when lag(v) {_BY_TIME} is null then 0 when v < lag(v) {_BY_TIME} then v else v - lag(v) {_BY_TIME} end as grown from s),
+e as (select spider, grown, {_SLIDING} as began from i)
+select spider, make_timestamp(began * 1000000) as start, sum(grown)::bigint as increase, (1000000 * sum(grown) // 21600)::bigint as per_second_ppm from e group by spider, began""")
+def a25_counter_rates(spark, sf_dir):
+    s = table(spark, sf_dir, "events").select(F.col("event_type").alias("spider"), F.col("ts").cast("timestamp").alias("ts"), "event_id", (F.col("event_id") * 7 % 1000).alias("v"))
+    found = rates.counter_rates(s, ["spider"], "ts", "v", 21600, 3600, "event_id")
+    return found.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query(f"""with e as (select user_id % 8 as site, event_type = 'error' as bad, event_id % 12000 as ms, {_SLIDING} as began from events),
+g as (select site, began, count(*) as n, count(*) filter (bad) as bad, {', '.join(f'count(*) filter (ms <= {b}) as le_{b}' for b in ops.LATENCY_BOUNDS)} from e group by all)
+select site, make_timestamp(began * 1000000) as start, n, bad, 1000000 * bad // n as ratio_ppm, {_quantile_sql()} as quantile from g""")
+def a25_sliding_requests(spark, sf_dir):
+    r = table(spark, sf_dir, "events").select((F.col("user_id") % 8).alias("site"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "error").alias("bad"), (F.col("event_id") % 12000).alias("ms"))
+    ratios = rates.failure_ratio(r, ["site"], "ts", F.col("bad"), 21600, 3600)
+    quantiles = rates.sliding_quantile(r, ["site"], "ts", F.col("ms"), 950, 21600, 3600).drop("n")
+    return ratios.join(quantiles, ["site", "start"]).withColumn("start", F.col("start").cast("timestamp_ntz"))
