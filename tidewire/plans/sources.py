@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import jsonpath, rules
-from ..operators import ops, rates
+from ..functions import dates, jsonpath, rules, segment
+from ..operators import ops, rates, relevance
 from ..sources import queues
 from ..sources.tables import articles, table
 from .operations import _quantile_sql
-from .queries import ARTICLES, _strip, query
+from .queries import ARTICLES, QUERIES, _strip, query
 
 
 @query("""with m as (select page_id, url, page_id % 6 as k, 's' || page_id % 4 as s from pages)
@@ -116,3 +116,45 @@ def a25_sliding_requests(spark, sf_dir):
     ratios = rates.failure_ratio(r, ["site"], "ts", F.col("bad"), 21600, 3600)
     quantiles = rates.sliding_quantile(r, ["site"], "ts", F.col("ms"), 950, 21600, 3600).drop("n")
     return ratios.join(quantiles, ["site", "start"]).withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+_FORMS = ("MMM d, yyyy", "d MMMM yyyy", "EEE, dd MMM yyyy HH:mm:ss", "d/M/yyyy", "yyyy/M/d", "dd-MMM-yyyy")
+
+
+@query("""with x as (select doc_id, date '2024-01-01' + (doc_id % 366)::int as d, doc_id % 7 as k from documents)
+select doc_id, case when k = 6 or (k = 3 and day(d) <= 12 and day(d) <> month(d)) then null else strftime(d, '%Y-%m-%d') end as day from x""")
+def f4_free_dates(spark, sf_dir):
+    """Dates in six forms, of which day/month/year is often open; every seventh text holds none."""
+    at = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 366).cast("int")).cast("timestamp")
+    text = F.lit("posted in may by 2024")
+    for i, form in enumerate(_FORMS):
+        text = F.when(F.col("doc_id") % 7 == i, F.concat(F.lit("on "), F.date_format(at, form), F.lit(" by x"))).otherwise(text)
+    return table(spark, sf_dir, "documents").select("doc_id", dates.free_date(text).alias("day"))
+
+
+def _by_length(titles: list[str]) -> list[str]:
+    """A stand-in for a classifier, which cannot answer for every seventh length."""
+    if any(len(t) % 7 == 0 for t in titles):
+        raise ValueError("no answer")
+    return [relevance.RELEVANT if len(t) % 2 == 0 else "不相关" for t in titles]
+
+
+@query(f"""with {ARTICLES}, t as (select doc_id, length({_strip("coalesce(title, '')")}) as n from articles)
+select doc_id, case when n > 0 and n % 7 > 0 then '相关' end as said, n > 0 and n % 7 = 0 as failed from t where n = 0 or n % 7 = 0 or n % 2 = 0""")
+def p8_relevance(spark, sf_dir):
+    kept = relevance.relevant(articles(spark, sf_dir).select("doc_id", "title"), _by_length)
+    return kept.select("doc_id", F.col("relevance.said").alias("said"), F.col("relevance.error").isNotNull().alias("failed"))
+
+
+#: Words of the dictionary by which titles are cut.
+DICTIONARY = 5000
+
+
+def f11_segments(spark, sf_dir):
+    """Titles without their spaces, cut by the commonest words of all texts. No SQL has its like; tests hold it against all ways to cut."""
+    counts = segment.word_counts(table(spark, sf_dir, "documents"), "text", DICTIONARY)
+    words = segment.segmented(spark, F.replace(F.col("title"), F.lit(" "), F.lit("")), counts, ("the",))
+    return articles(spark, sf_dir).select("doc_id", F.array_join(words, " ").alias("words"), F.size(words).alias("n_words"))
+
+
+QUERIES["f11_segments"] = f11_segments
