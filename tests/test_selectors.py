@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 
 from tidewire.functions import extract, selectors
+from tidewire.sources import tables
 
 PAGE = """<html><head><title>T</title></head><body><div class="page a"><h3>H</h3><p>one <b>bold</b></p><p>two</p><span>s</span></div><!-- c -->
 <table><tr><td>1</td><td>2</td></tr><tr><td>3</td><td>4</td><td class="date time">5</td></tr></table><a href="x.pdf" title="x y">pdf</a><a href="y.doc">doc</a><br><img src="i.png"/></body></html>"""
@@ -71,3 +74,14 @@ def test_links_of_list_rows_get_their_site(spark):
     pages = spark.createDataFrame([(1, "https://s.org/", "<li><a href='/a'>A</a></li><li><a href='http://o/b'>B</a></li><li><a href='//c'>C</a>")], "id int, site string, html string")
     say = {"title": {"selector": "a"}, "url": {"selector": "a", "attr": "href"}}
     assert [r["url"] for r in extract.list_rows(pages, ["id"], "li", say, base_url=pages["site"]).orderBy("index").collect()] == ["https://s.org/a", "http://o/b", "//c"]
+
+
+def test_list_answers_of_three_kinds(spark):
+    html = "<div class='page-content'><ul><li><a href='/1' title='T1'>t</a> 2024-01-02</li><li>none</li><li><a href='/3'> t3 </a><b>2024-1-2</b></li></ul></div>"
+    rows = [(1, json.dumps({"list": [{"title": "a", "url": 7, "date": None}, {"title": "b", "url": ""}, "odd", {"url": "c"}]})), (2, json.dumps({"list": "x", "h": {"t": html}})), (3, "{bad"), (4, None), (5, "[]"), (6, json.dumps({"list": {}, "h": 1}))]
+    df = spark.createDataFrame(rows, "k int, body string")
+    got = sorted(tuple(r) for r in tables.list_answers(df, ["k"], {"json_path": "list", "json_html_field": "h.t", "url_template": "u={url}"}).collect())
+    assert got == [(1, "a", "u=7", None, 1), (1, None, "u=c", None, 4), (2, "T1", "/1", "2024-01-02", 1), (2, "t3", "/3", None, 3)]
+    whole = spark.createDataFrame([(1, json.dumps([{"n": "x", "url": "y"}])), (2, html)], "k int, body string")
+    assert [tuple(r) for r in tables.list_answers(whole, ["k"], {"field_mappings": {"title": "n"}}).collect()] == [(1, "x", "y", None, 1)]
+    assert [r["k"] for r in tables.list_answers(whole, ["k"], {"response_type": "HTML"}).collect()] == [2, 2]

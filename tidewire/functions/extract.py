@@ -198,8 +198,8 @@ def select_fields(pages: DataFrame, keep: Sequence[str], fields: Mapping[str, Ma
     return pages.select(*keep, found.alias("__f")).select(*keep, *columns, *([F.col("__f.errors").alias(errors)] if errors else []))
 
 
-def list_rows(pages: DataFrame, keep: Sequence[str], container: str, fields: Mapping[str, Mapping], html: str = "html", most: int = 50, needed: Sequence[str] = (), base_url: Column | str | None = None, links: Sequence[str] = ("url",)) -> DataFrame:
-    """``keep`` columns, ``index`` (from 1) and the fields of each list element, at most ``most`` a page; only those with some field, and all of ``needed``.
+def list_rows(pages: DataFrame, keep: Sequence[str], container: str, fields: Mapping[str, Mapping], html: str = "html", most: int | None = 50, needed: Sequence[str] = (), base_url: Column | str | None = None, links: Sequence[str] = ("url",)) -> DataFrame:
+    """``keep`` columns, ``index`` (from 1) and the fields of each list element, at most ``most`` a page (None: all); only those with some field, and all of ``needed``.
 
     Dates lose the white space around their dashes. With ``base_url``, site-relative ``links`` (from /) get it in front.
     """

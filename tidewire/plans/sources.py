@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, jsonpath, rules, segment
+from ..functions import dates, extract, jsonpath, rules, segment
 from ..operators import ops, rates, relevance
-from ..sources import queues
+from ..sources import queues, tables
 from ..sources.tables import articles, table
 from .operations import _quantile_sql
 from .queries import ARTICLES, QUERIES, _strip, query
@@ -158,3 +158,20 @@ def f11_segments(spark, sf_dir):
 
 
 QUERIES["f11_segments"] = f11_segments
+
+
+@query("""with n as (select page_id, page_id % 3 as k, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li><a href="([^"]*)">', 1) as links,
+  list_transform(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li><a href="[^"]*">([^<]*)</a>', 1), lambda x: replace(x, '&amp;', '&')) as names from pages),
+e as (select page_id, k, unnest(links) as link, unnest(names) as name, unnest(range(1, len(links) + 1)) as i from n)
+select page_id, nullif(case k when 0 then 't' || link else name end, '') as title, case k when 0 then 'https://s/item?id=' || link else link end as url, case k when 0 then '2024-01-0' || (i % 9 + 1) end as date, i::int as index from e where link <> '' and not (k = 0 and i = 2)""")
+def s11_list_answers(spark, sf_dir):
+    """A page's navigation as three kinds of answers: an array in JSON, HTML in JSON, and HTML."""
+    k = F.col("page_id") % 3
+    links = extract.by_pattern(F.regexp_extract("html", "(?s)<nav>(.*?)</nav>", 1), '<li><a href="([^"]*)">')
+    item = lambda link, i: F.struct(F.concat(F.lit("t"), link).alias("name"), F.when(i != 1, link).alias("id"), F.concat(F.lit("2024-01-0"), ((i + 1) % 9 + 1).cast("string")).alias("day"))
+    pages = table(spark, sf_dir, "pages").select("page_id", k.alias("k"), "html", links.alias("links"))
+    array, nested = F.to_json(F.struct(F.struct(F.transform("links", item).alias("list")).alias("data"))), F.to_json(F.struct(F.struct(F.col("html").alias("text")).alias("page")))
+    r = pages.select("page_id", "k", F.when(F.col("k") == 0, array).when(F.col("k") == 1, nested).otherwise(F.col("html")).alias("body"))
+    json_form = {"json_path": "data.list", "field_mappings": {"title": "name", "url": "id", "date": "day"}, "url_template": "https://s/item?id={url}", "json_html_field": "page.text", "html_item_selector": "nav ul li"}
+    found = tables.list_answers(r.where("k < 2"), ["page_id"], json_form)
+    return found.unionByName(tables.list_answers(r.where("k = 2"), ["page_id"], {"response_type": "html", "html_item_selector": "nav ul li"}))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from ..functions.extract import list_rows
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -136,6 +138,44 @@ def list_api(responses: DataFrame, keep: Sequence[str], path: str, fields: Mappi
     return rows.withColumn("url", url)
 
 
+#: Where list elements stand in an HTML answer, unless a site says otherwise (a fixed value).
+LIST_ITEMS = "div.page-content ul li"
+
+
+def list_answers(responses: DataFrame, keep: Sequence[str], config: Mapping, body: str = "body") -> DataFrame:
+    """``keep`` columns and (title, url, date, index) of a list API's answers, as a site's ``config`` describes them.
+
+    {response_type: json (default) or html, json_path, field_mappings: {title, url, date}, url_template,
+    json_html_field, html_item_selector}. A JSON answer is an array at ``json_path``, whose objects have the
+    fields mapped (``{url}`` in the template stands for the URL); where there is no array, the text at ``json_html_field``
+    is HTML. HTML elements give the first link's title attribute, or else its text, its address, and the first
+    ISO date in the element's text. ``index`` counts all elements from 1; those without a URL go, and so do
+    answers that cannot be read.
+    """
+    at = lambda p: "$" + "".join(f"['{x}']" for x in (p or "").split(".") if x)
+    columns = [*keep, "title", "url", "date", "index"]
+
+    def of_html(df: DataFrame, html: Column) -> DataFrame:
+        say = {"title": {"selector": ["a::attr(title)", "a::text"]}, "url": {"selector": "a::attr(href)"}, "__text": {"selector": ""}}
+        rows = list_rows(df.select(*keep, html.alias("__html")), keep, (config.get("html_item_selector") or LIST_ITEMS).strip(), say, "__html", None, ("url",))
+        return rows.withColumn("date", F.nullif(F.regexp_extract("__text", r"\d{4}-\d{2}-\d{2}", 0), F.lit(""))).select(columns)
+
+    if (config.get("response_type") or "json").lower() != "json":
+        return of_html(responses, F.col(body))
+    objects = F.from_json(F.get_json_object(body, at((config.get("json_path") or "").strip())), "array<string>")
+    names = config.get("field_mappings") or {}
+    each = responses.withColumn("__list", objects).where(F.col("__list").isNotNull()).select(*keep, F.posexplode("__list").alias("at", "__o"))
+    fields = {f: F.get_json_object("__o", at(names.get(f, f))) for f in ("title", "url", "date")}
+    url = F.nullif(fields["url"], F.lit(""))
+    if config.get("url_template"):
+        url = F.replace(F.lit(config["url_template"]), F.lit("{url}"), url)
+    out = each.select(*keep, fields["title"].alias("title"), url.alias("url"), fields["date"].alias("date"), (F.col("at") + 1).alias("index")).where(F.col("url").isNotNull())
+    if not (config.get("json_html_field") or "").strip():
+        return out
+    rest = responses.where(objects.isNull())
+    return out.unionByName(of_html(rest, F.get_json_object(body, at(config["json_html_field"].strip()))))
+
+
 def proxies_of(lines: DataFrame, column: str = "value") -> DataFrame:
     """(ip, port, protocol) of lines ``ip:port`` or JSON arrays of objects; each once."""
     v = F.col(column)
