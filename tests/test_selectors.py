@@ -80,7 +80,8 @@ def test_list_answers_of_three_kinds(spark):
     html = "<div class='page-content'><ul><li><a href='/1' title='T1'>t</a> 2024-01-02</li><li>none</li><li><a href='/3'> t3 </a><b>2024-1-2</b></li></ul></div>"
     rows = [(1, json.dumps({"list": [{"title": "a", "url": 7, "date": None}, {"title": "b", "url": ""}, "odd", {"url": "c"}]})), (2, json.dumps({"list": "x", "h": {"t": html}})), (3, "{bad"), (4, None), (5, "[]"), (6, json.dumps({"list": {}, "h": 1}))]
     df = spark.createDataFrame(rows, "k int, body string")
-    got = sorted(tuple(r) for r in tables.list_answers(df, ["k"], {"json_path": "list", "json_html_field": "h.t", "url_template": "u={url}"}).collect())
+    found = tables.list_answers(df, ["k"], {"json_path": "list", "json_html_field": "h.t", "url_template": "u={url}"})
+    got = sorted((tuple(r) for r in found.collect()), key=lambda r: (r[0], r[4]))
     assert got == [(1, "a", "u=7", None, 1), (1, None, "u=c", None, 4), (2, "T1", "/1", "2024-01-02", 1), (2, "t3", "/3", None, 3)]
     whole = spark.createDataFrame([(1, json.dumps([{"n": "x", "url": "y"}])), (2, html)], "k int, body string")
     assert [tuple(r) for r in tables.list_answers(whole, ["k"], {"field_mappings": {"title": "n"}}).collect()] == [(1, "x", "y", None, 1)]
