@@ -20,11 +20,11 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField
 
 from .common import map_column, written
 
-#: Labelled rows fitted at most, taken by a hash of the id, and words of the model.
-SAMPLE_ROWS, MODEL_WORDS = 6_000, 20_000
-#: A word needs this many labelled rows, and this many standard errors of its log-odds, to get a weight.
+#: Labelled rows fitted at most, taken by a hash of the id.
+SAMPLE_ROWS = 6_000
+#: A word needs this many labelled rows, and this many standard errors of its log-odds, to get a weight: the sample's bound and this bound the model.
 LEAST_ROWS, LEAST_Z = 4, 3.0
-STEPS, RATE, RIDGE, FAIRNESS = 200, 0.1, 0.0005, 1.0
+STEPS, RATE, RIDGE, FAIRNESS = 200, 0.1, 0.0005, 16.0
 #: Beginnings of words that are features too: inflected and compound insults share them.
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
@@ -102,11 +102,14 @@ def fit(examples: Examples) -> Model:
     w, m, v, b = np.zeros(size), np.zeros(size + 1), np.zeros(size + 1), bias
     for k in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-(np.bincount(r, w[c], n) + b)))
-        g = np.bincount(c, (p - y)[r], size) / n + RIDGE * w
+        g, gb = np.bincount(c, (p - y)[r], size) / n + RIDGE * w, (p - y).mean()
         if named:
-            change = np.bincount(r1, w[c1], named) - np.bincount(r2, w[c2], named)
-            g += 2 * FAIRNESS / named * (np.bincount(c1, change[r1], size) - np.bincount(c2, change[r2], size))
-        g = np.r_[g, (p - y).mean()]
+            # the squared change of the score itself, by the slope of either version's score
+            p1, p2 = (1 / (1 + np.exp(-(np.bincount(rows, w[at], named) + b))) for rows, at in ((r1, c1), (r2, c2)))
+            a1, a2 = (2 * FAIRNESS / named * (p1 - p2) * q * (1 - q) for q in (p1, p2))
+            g += np.bincount(c1, a1[r1], size) - np.bincount(c2, a2[r2], size)
+            gb += (a1 - a2).sum()
+        g = np.r_[g, gb]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = RATE * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8) * min(1, 4 * (1 - k / (STEPS + 1)))
         w, b = w - step[:-1], b - step[-1]
@@ -134,7 +137,7 @@ def sampled_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label:
 
 
 def model_words(rows: DataFrame) -> list[str]:
-    """The features that tell most, at most MODEL_WORDS, and all identity terms seen often enough, so that the penalty can act on them."""
+    """All features that tell (LEAST_ROWS, LEAST_Z), and all identity terms seen often enough, so that the penalty can act on them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,13 +150,13 @@ def model_words(rows: DataFrame) -> list[str]:
     a, b, c, d = F.col("yes") + 0.5, positives - F.col("yes") + 0.5, F.col("n") - F.col("yes") + 0.5, total - positives - (F.col("n") - F.col("yes")) + 0.5
     z = F.abs(F.log(a * d / (b * c)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
     scored = written(counts.select("word", F.round(z, 9).alias("z")), "features")
-    best = scored.where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "word").limit(MODEL_WORDS)
+    best = scored.where(F.col("z") >= LEAST_Z)
     named = scored.where(F.col("word").isin(list(SWAPS)))
     return sorted(r["word"] for r in best.select("word").union(named.select("word")).distinct().toLocalIterator())
 
 
 def examples(rows: DataFrame, words: list[str]) -> Examples:
-    """What the fit needs of ``rows``: for each of at most SAMPLE_ROWS rows indices of at most MODEL_WORDS words come to the driver."""
+    """What the fit needs of ``rows``: for each of at most SAMPLE_ROWS rows the indices of the model's words come to the driver."""
     sent = rows.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
