@@ -33,8 +33,16 @@ def keeps_state(spark: SparkSession) -> None:
         spark.conf.set(name, ROCKS)
 
 
-def processed(stream: DataFrame, keys: Sequence[str], processor: StatefulProcessor, added: str, time: str = "none", event_time: str = "") -> DataFrame:
+def ticking(like: DataFrame) -> DataFrame:
+    """A row of nulls every second. A query that was started again runs no batch, and so fires no timer, before something comes; rows without a time are ignored."""
+    ticks = like.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
+    return ticks.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema])
+
+
+def processed(stream: DataFrame, keys: Sequence[str], processor: StatefulProcessor, added: str, time: str = "none", event_time: str = "", ticks: bool = False) -> DataFrame:
     keeps_state(stream.sparkSession)
+    if ticks:
+        stream = stream.unionByName(ticking(stream))
     schema = StructType([*(stream.schema[k] for k in keys), *StructType.fromDDL(added)])
     return stream.groupBy(*keys).transformWithStateInPandas(processor, schema, "append", time, eventTimeColumnName=event_time)
 
@@ -135,7 +143,7 @@ def refresh_events(visits: DataFrame, key: str, ts: str, seconds: float = 900, a
     A visit before that moves it; once due a page is not due again before its next visit, or with ``again``
     every ``seconds``. Visits without a time are ignored.
     """
-    out = processed(in_micros(visits, [key], ts), [key], _Refresh([key], int(seconds * 1_000_000), again), "due long", CLOCK)
+    out = processed(in_micros(visits, [key], ts), [key], _Refresh([key], int(seconds * 1_000_000), again), "due long", CLOCK, ticks=True)
     return stamped(out, "due")
 
 
@@ -173,7 +181,7 @@ def liveness_events(beats: DataFrame, key: str, ts: str, limit: float = 300) ->
 
     A silent stream tells too. Beats older than ``limit`` when they arrive make no worker online; beats without a time are ignored.
     """
-    out = processed(in_micros(beats, [key], ts), [key], _Liveness([key], int(limit * 1_000_000)), "at long, state string", CLOCK)
+    out = processed(in_micros(beats, [key], ts), [key], _Liveness([key], int(limit * 1_000_000)), "at long, state string", CLOCK, ticks=True)
     return stamped(out, "at")
 
 
@@ -239,13 +247,13 @@ class _Settled(Keyed):
         self.last = handle.getValueState("last", "t long, row string, n long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        t, row, n = self.last.get() if self.last.exists() else (None, None, 0)
+        t, row, n = before = self.last.get() if self.last.exists() else (None, None, 0)
         for frame in rows:
-            n += len(frame)
             for one in frame.dropna(subset=["t"]).itertuples():
+                n += 1
                 if t is None or (one.t, one.row) >= (t, row):
                     t, row = int(one.t), one.row
-        if t is not None:
+        if n > before[2]:
             self.last.update((t, row, n))
             self.wakes(timerValues.getCurrentProcessingTimeInMs() + self.quiet_ms)
         yield from ()
@@ -258,9 +266,9 @@ class _Settled(Keyed):
 
 
 def settled(changes: DataFrame, key: str, ts: str, quiet: float = 1.0) -> DataFrame:
-    """The latest change of each key (by ``ts``) and ``changes``, how many it stands for, once no more came for ``quiet`` seconds."""
+    """The latest change of each key (by ``ts``) and ``changes``, how many it stands for, once no more came for ``quiet`` seconds. Changes without a time are ignored."""
     row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in changes.columns])).alias("row")
-    out = processed(in_micros(changes, [key], ts, row), [key], _Settled([key], int(quiet * 1000)), "row string, changes long", CLOCK)
+    out = processed(in_micros(changes, [key], ts, row), [key], _Settled([key], int(quiet * 1000)), "row string, changes long", CLOCK, ticks=True)
     return out.select(F.from_json("row", changes.schema).alias("row"), "changes").select("row.*", "changes")
 
 
