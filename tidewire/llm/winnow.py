@@ -123,6 +123,16 @@ def slots(fp: np.ndarray, bits: int) -> np.ndarray:
     return (fp & np.uint64(bits - 1)).astype(np.int64)
 
 
+def set_bits(bits: np.ndarray, fp: np.ndarray) -> None:
+    at = slots(fp, 8 * len(bits))
+    np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+
+
+def has_bits(bits: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    at = slots(fp, 8 * len(bits))
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def filter_bits(fingerprints: int) -> int:
     """A power of two of at least 16 bits for each fingerprint, so that at most 1 in 16 others passes, within fixed bounds."""
     return min(MOST_FILTER_BITS, max(LEAST_FILTER_BITS, 1 << (16 * max(1, fingerprints) - 1).bit_length()))
@@ -137,8 +147,8 @@ def filters(fps: DataFrame, n: int) -> dict[int, np.ndarray]:
         for batch in batches:
             need, fp = np.asarray(batch.column(0)), np.asarray(batch.column(1)).view(np.uint64)
             for n in np.unique(need).tolist():
-                bits.setdefault(n, np.zeros(size, bool))[slots(fp[need == n], size)] = True
-        yield pa.RecordBatch.from_arrays([pa.array(list(bits), pa.int32()), pa.array([np.packbits(b).tobytes() for b in bits.values()], pa.binary())], names=["need", "bits"])
+                set_bits(bits.setdefault(n, np.zeros(size // 8, np.uint8)), fp[need == n])
+        yield pa.RecordBatch.from_arrays([pa.array(list(bits), pa.int32()), pa.array([b.tobytes() for b in bits.values()], pa.binary())], names=["need", "bits"])
 
     # SPAN lengths at most in eight partitions: what comes to the driver has a fixed bound
     found: dict[int, np.ndarray] = {}
@@ -154,7 +164,8 @@ def document_hits(docs: DataFrame, maps: dict[int, np.ndarray], keep: list[str],
 
     def make():
         word_hashes()
-        bits = {n: np.unpackbits(np.frombuffer(b, np.uint8)).view(bool) for n, b in sent.value.items()}
+        # views of the broadcast bytes: a bit stays a bit
+        bits = {n: np.frombuffer(b, np.uint8) for n, b in sent.value.items()}
 
         def work(texts: pa.Array) -> list[pa.Array]:
             counts, hits = [], []
@@ -163,7 +174,7 @@ def document_hits(docs: DataFrame, maps: dict[int, np.ndarray], keep: list[str],
                 counts.append(len(words))
                 for need, seen in bits.items():
                     at, fps = fingerprints(words, need)
-                    passed = seen[slots(fps, len(seen))]
+                    passed = has_bits(seen, fps)
                     for pos, fp in zip(at[passed].tolist(), fps[passed].tolist(), strict=True):
                         first, near = around(words, pos, need)
                         own.append({"need": need, "fp": fp - (fp >> 63 << 64), "pos": pos, "first": first, "around": near})
