@@ -54,15 +54,17 @@ def filter_captures(captures: DataFrame, entries: DataFrame, url: str = "url", f
     Null URLs, URLs without a host and captures without a time are not blocked. Equal captures share
     one look-up; rows are kept as they are. Columns of the input named like a result are replaced.
     """
-    captures = captures.drop("blocked", "matched", "categories")
-    u, f = F.col(f"`{url}`"), F.col(f"`{fetched}`")
-    asked = captures.select(u.alias("__url"), f.alias("__at")).where(F.col("__url").isNotNull() & F.col("__at").isNotNull()).distinct()
+    # rows are packed, so that no column of theirs can clash with one of ours
+    names = [c for c in captures.columns if c not in ("blocked", "matched", "categories")]
+    rows = captures.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    u, f = F.col("row")[url], F.col("row")[fetched]
+    asked = rows.select(u.alias("__url"), f.alias("__at")).where(F.col("__url").isNotNull() & F.col("__at").isNotNull()).distinct()
     valid = intervals(entries)
     entry_parts = F.split("entry", "/")
     labels, parts = valid.agg(F.coalesce(F.max(F.size(F.split(F.get(entry_parts, F.lit(0)), r"\."))), F.lit(1)), F.coalesce(F.max(F.size(entry_parts)), F.lit(1))).first()
     each = asked.select("__url", "__at", F.explode(keys(F.col("__url"), labels, max(1, parts - 1))).alias("__key"))
     asof = each.join(valid, (F.col("__key") == F.col("entry")) & (F.col("__at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("__at") < F.col("valid_to"))))
     found = asof.groupBy("__url", "__at").agg(F.array_sort(F.collect_set("entry")).alias("matched"), F.array_sort(F.collect_set("category")).alias("categories"))
-    out = captures.join(found, (u == F.col("__url")) & (f == F.col("__at")), "left").drop("__url", "__at")
+    out = rows.join(found, (u == F.col("__url")) & (f == F.col("__at")), "left")
     none = F.array().cast("array<string>")
-    return out.withColumns({"blocked": F.col("matched").isNotNull(), "matched": F.coalesce("matched", none), "categories": F.coalesce("categories", none)})
+    return out.select(*[F.col("row")[c].alias(c) for c in names], F.coalesce("matched", none).alias("matched"), F.coalesce("categories", none).alias("categories"), F.col("matched").isNotNull().alias("blocked"))
