@@ -142,7 +142,10 @@ def scan_documents(docs: DataFrame, text: str = "text", ledger: str | None = Non
     n = spans.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0)), F.count(F.lit(1))).first()
     if n[0] + n[1] <= BROADCAST_FINDINGS:
         spans = F.broadcast(spans)
-    return docs.withColumn("blob", blob_id(text)).drop("spans").join(spans, F.col("blob") == F.col("__blob"), "left").drop("__blob")
+    # rows are packed, so that no column of theirs can clash with one of ours
+    names = [c for c in docs.columns if c not in ("blob", "spans")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), blob_id(text).alias("blob"))
+    return rows.join(spans, F.col("blob") == F.col("__blob"), "left").select(*[F.col("row")[c].alias(c) for c in names], "blob", "spans")
 
 
 def rendered(spans: Column) -> Column:
