@@ -7,6 +7,7 @@ import hashlib
 import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -232,3 +233,25 @@ def trie(conversations):
         parent = min(members[node[:-1]]) if node else None
         out.append((min(convs), len(node), parent, len(convs), len(children.get(node, [])), leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest()))
     return out
+
+
+def license_labels(texts, templates, common):
+    """labels and score of each text: every template against every file, word by word."""
+    words = {i: WORD.findall((t or "").translate(LOWER)) for i, t in texts.items()}
+    vocabulary = {w for _, t, _ in templates for w in t.split()} - common
+    df = Counter(w for ws in words.values() for w in set(ws) & vocabulary)
+    out = {}
+    for i, ws in words.items():
+        line = f" {' '.join(ws)} "
+        labels = {label for phrase, label in PHRASES.items() if f" {phrase} " in line}
+        score = 0.5 if labels else 0.0
+        for label, template, key in templates:
+            own = template.split()
+            rare = sorted(set(own) & set(ws) - common, key=lambda w: (df[w], w))[:8]
+            agree = Counter(o for w in rare for o in {p - at for p, x in enumerate(ws) if x == w for at, y in enumerate(own) if y == w})
+            best = max(agree.values(), default=0)
+            if best >= 2 and f" {key} " in line:
+                labels.add(label)
+                score = max(score, best / min(8, len(set(own) - common)))
+        out[i] = (",".join(sorted(labels)), round(score, 9))
+    return out

@@ -6,6 +6,7 @@ import base64
 import gzip
 import random
 import zlib
+from datetime import datetime
 
 import numpy as np
 import pyarrow as pa
@@ -277,6 +278,46 @@ def test_licenses(spark):
     assert licenses.scan_licenses(docs.limit(0), ["doc_id"]).count() == 0
 
 
+def test_licenses_against_all_templates(spark):
+    rng = random.Random(8)
+    notices = [words for _, words, _ in licenses.TEMPLATES]
+    texts = [None, "", "gnu general public license", "all rights reserved " * 40, notices[5] + " " + " ".join(reversed(notices[5].split()))]
+    for _ in range(150):
+        pieces = []
+        for _ in range(rng.randrange(1, 5)):
+            words = rng.choice(notices).split()
+            a = rng.randrange(len(words))
+            pieces += rng.choices(licenses.VOCABULARY, k=rng.randrange(12)) + words[a : a + rng.randrange(30)] + rng.choice(licenses.TEMPLATES)[2].split() * rng.randrange(2)
+        texts.append(" ".join(pieces))
+    # the key phrase is frequent, but of the rarest words none agree with it
+    texts += ["mozilla public license for " + " ".join(rng.sample(notices[9].split(), 20)) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: (r["labels"], round(r["score"], 9)) for r in licenses.scan_licenses(docs, ["doc_id"]).collect()}
+    assert got == brute.license_labels(dict(enumerate(texts)), licenses.TEMPLATES, licenses.COMMON)
+    assert any(a == "" for i, (a, _) in got.items() if i >= 155) and len({a for a, _ in got.values()}) > 20
+
+
+def test_filter_bits_are_those_set():
+    rng = np.random.default_rng(3)
+    for size in (1 << 4, 1 << 12):
+        fp = rng.integers(0, 1 << 63, 300, np.uint64)
+        bits = np.zeros(size // 8, np.uint8)
+        winnow.set_bits(bits, fp)
+        other = np.concatenate([fp, rng.integers(0, 1 << 63, 2000, np.uint64)])
+        slots = set((fp % size).tolist())
+        assert winnow.has_bits(bits, other).tolist() == [x in slots for x in (other % size).tolist()]
+
+
+def test_columns_named_like_inner_ones(spark):
+    names = ["__url", "__at", "__key", "__blob", "row", "blob", "matched"]
+    entries = spark.createDataFrame([("bad.example", "spam", "add", datetime(2024, 1, 1))], urls.LIST_SCHEMA)
+    rows = spark.createDataFrame([("http://bad.example/", datetime(2024, 1, 2), "password=abcdefgh1", *"abcdefg"), (None, None, None, *[None] * 7)], "url string, fetched timestamp, text string, " + ", ".join(f"`{c}` string" for c in names))
+    got = urls.filter_captures(rows, entries).orderBy(F.col("url").desc()).collect()
+    assert [(r["blocked"], r["matched"], r["__url"], r["__at"], r["row"]) for r in got] == [(True, ["bad.example"], "a", "b", "e"), (False, [], None, None, None)]
+    got = secrets.scan_documents(rows).orderBy(F.col("url").desc()).collect()
+    assert [(r["__blob"], r["row"], r["matched"], len(r["spans"] or [])) for r in got] == [("d", "e", "g", 1), (None, None, None, 0)]
+
+
 def test_toxicity(spark):
     rng = random.Random(2)
     words = [f"w{i}" for i in range(200)]

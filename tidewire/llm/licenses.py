@@ -1,9 +1,10 @@
 """License scans with a positional rare-token index.
 
-Templates are indexed by word: (word, template, position). For each file and each template whose
-mandatory key phrase stands in it, the template's words in the file with the highest IDF are looked
-up; postings that agree on the relative position (place in the file less place in the template) vote
-together. No Python workers take part.
+Templates are indexed by word: (word, template, position). A file's licence words look the templates
+up; only postings that agree on the relative position (place in the file less place in the template)
+make a template a candidate. Of its words in the file those with the highest IDF then vote by
+relative position, and the mandatory key phrase of what was voted for is verified last. No Python
+workers take part.
 """
 
 from __future__ import annotations
@@ -45,6 +46,18 @@ LOOKED_UP, MIN_AGREEING = 8, 2
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 VOCABULARY = sorted({w for _, words, _ in TEMPLATES for w in words.split()} - COMMON)
+#: How postings are packed into a long: template, relative position (shifted to be positive), word.
+WORD_BITS, PLACE_BITS, SHIFT = 9, 32, 1 << 12
+
+
+def postings() -> dict[str, list[int]]:
+    """For each licence word its places in the templates, packed; a file's position, shifted by ``WORD_BITS``, is added to them."""
+    found: dict[str, list[int]] = {w: [] for w in VOCABULARY}
+    for t, (_, words, _) in enumerate(TEMPLATES):
+        for at, w in enumerate(words.split()):
+            if w in found:
+                found[w].append((t << PLACE_BITS + WORD_BITS) + (SHIFT - at << WORD_BITS) + VOCABULARY.index(w))
+    return found
 
 
 def lookups(words: str) -> int:
@@ -59,8 +72,17 @@ def spaced_words(text: Column) -> Column:
     return F.btrim(F.regexp_replace(lower, WORD_GAP, " "))
 
 
+def aligned_templates(looked_up: Column) -> Column:
+    """Templates of which two different words stand at one relative position, from a file's sorted packed postings."""
+    place = lambda c: F.shiftright(c, WORD_BITS)
+    # equal postings stand together, so two words of one place are neighbours somewhere
+    pairs = F.arrays_zip(F.slice(looked_up, 1, F.greatest(F.size(looked_up) - 1, F.lit(0))).alias("a"), F.slice(looked_up, 2, F.greatest(F.size(looked_up) - 1, F.lit(0))).alias("b"))
+    agree = F.filter(pairs, lambda p: (place(p["a"]) == place(p["b"])) & (p["a"] != p["b"]))
+    return F.array_distinct(F.transform(agree, lambda p: F.shiftright(p["a"], PLACE_BITS + WORD_BITS).cast("int")))
+
+
 def word_scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns and, from each whole text, its word count, phrase places, licence words and key phrases found."""
+    """``keep`` columns and, from each whole text, its word count, phrase places and licence words; where the index gives candidate templates, these, the hits and the words too."""
     kept = [F.col(f"`{c}`") for c in keep]
     norm, words = F.col("__norm"), F.col("__words")
     a = docs.select(*kept, spaced_words(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("__norm"))
@@ -68,19 +90,16 @@ def word_scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame
     vocabulary = F.array(*map(F.lit, VOCABULARY))
     padded = F.concat(F.lit(" "), norm, F.lit(" "))
     hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("pos"))), lambda s: s["word"].isin(VOCABULARY))
-    a = a.select(
-        *kept,
-        F.size(words).cast("long").alias("n_words"),
-        padded.alias("__padded"),
-        F.array_intersect(words, vocabulary).alias("__seen"),
-        F.when(F.arrays_overlap(words, vocabulary), hits).alias("__hits"),
-    )
+    a = a.select(*kept, F.size(words).cast("long").alias("n_words"), padded.alias("__padded"), F.array_intersect(words, vocabulary).alias("__seen"), "__words")
+    a = a.select(*kept, "n_words", "__padded", "__seen", F.when(F.size("__seen") >= MIN_AGREEING, hits).alias("__hits"))
+    index = F.create_map(*[x for w, found in postings().items() for x in (F.lit(w), F.array(*map(F.lit, found)).cast("array<bigint>"))])
+    looked_up = F.sort_array(F.flatten(F.transform("__hits", lambda h: F.transform(index[h["word"]], lambda p: p + F.shiftleft(h["pos"].cast("long"), WORD_BITS)))))
+    a = a.select("*", looked_up.alias("__looked_up"))
     padded, phrases = F.col("__padded"), []
     for k, (phrase, _) in enumerate(PHRASES):
         pieces = F.when(F.contains(padded, F.lit(f" {phrase} ")), F.split(padded, f"(?<= ){phrase}(?= )", -1))
         phrases.append(pieces.alias(f"__p{k}"))
-    keys = F.array_compact(F.array(*[F.when(F.contains(padded, F.lit(f" {key} ")), F.lit(t)) for t, (_, _, key) in enumerate(TEMPLATES)]))
-    a = a.select(*kept, "n_words", "__seen", "__hits", F.when(F.size("__seen") > 0, keys).alias("__keys"), *phrases)
+    a = a.select(*kept, "n_words", "__padded", "__seen", "__hits", aligned_templates(F.col("__looked_up")).alias("__templates"), *phrases)
     spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
     found, first, last = [], [], []
     for k, (phrase, _) in enumerate(PHRASES):
@@ -93,18 +112,19 @@ def word_scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame
     total = found[0]
     for n in found[1:]:
         total = total + n
-    return a.select(*kept, "n_words", total.cast("long").alias("n_base"), F.least(*first).alias("first_word"), F.greatest(*last).alias("last_word"), labels.alias("__base"), "__seen", F.when(F.size("__keys") > 0, F.col("__hits")).alias("__hits"), "__keys")
+    candidate = lambda c: F.when(F.size("__templates") > 0, F.col(c)).alias(c)
+    return a.select(*kept, "n_words", total.cast("long").alias("n_base"), F.least(*first).alias("first_word"), F.greatest(*last).alias("last_word"), labels.alias("__base"), "__seen", *map(candidate, ("__templates", "__hits", "__padded")))
 
 
 def template_votes(scanned: DataFrame, row: str) -> DataFrame:
-    """(row, template, agreeing): for each file and template whose key phrase it holds the most looked-up words at one relative position."""
+    """(row, template, agreeing): for each file and candidate template the most of its rarest words in the file at one relative position."""
     spark = scanned.sparkSession
-    postings = [(w, t, i) for t, (_, words, _) in enumerate(TEMPLATES) for i, w in enumerate(words.split()) if w not in COMMON]
-    index = spark.createDataFrame(postings, "word string, template int, at int")
+    places = [(w, t, i) for t, (_, words, _) in enumerate(TEMPLATES) for i, w in enumerate(words.split()) if w not in COMMON]
+    index = spark.createDataFrame(places, "word string, template int, at int")
     # document frequencies: one row for each vocabulary word at most; as N is the same for all words, the order by IDF is that by frequency
     df = scanned.where(F.size("__seen") > 0).select(F.explode("__seen").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     ranked = index.select("template", "word").distinct().join(F.broadcast(df), "word").groupBy("template").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("__ranked"))
-    each = scanned.where(F.size("__keys") > 0).select(row, F.explode("__keys").alias("template"), "__seen", "__hits").join(F.broadcast(ranked), "template")
+    each = scanned.where(F.size("__templates") > 0).select(row, F.explode("__templates").alias("template"), "__seen", "__hits").join(F.broadcast(ranked), "template")
     chosen = F.slice(F.filter(F.transform("__ranked", lambda r: r["word"]), lambda w: F.array_contains("__seen", w)), 1, LOOKED_UP)
     rare = each.select(row, "template", "__hits", chosen.alias("__chosen")).select(row, "template", F.explode(F.filter("__hits", lambda h: F.array_contains("__chosen", h["word"]))).alias("h")).select(row, "template", "h.word", "h.pos")
     aligned = rare.join(F.broadcast(index), ["template", "word"]).groupBy(row, "template", (F.col("pos") - F.col("at")).alias("offset")).agg(F.count_distinct("word").alias("agreeing"))
@@ -125,9 +145,12 @@ def scan_licenses(docs: DataFrame, keep: list[str], text: str = "text") -> DataF
     size = F.create_map(*[F.lit(x) for t, (_, words, _) in enumerate(TEMPLATES) for x in (t, lookups(words))])
     label = F.create_map(*[F.lit(x) for t, (name, _, _) in enumerate(TEMPLATES) for x in (t, name)])
     votes = template_votes(scanned, "__file").where(F.col("agreeing") >= MIN_AGREEING)
-    t = F.col("template")
-    found = votes.groupBy(F.col("__file").alias("__f")).agg(F.collect_set(label[t]).alias("__labels"), F.max(F.col("agreeing") / size[t]).alias("__score"))
+    # a file has as many voted templates as there are templates at most
+    found = votes.groupBy(F.col("__file").alias("__f")).agg(F.collect_list(F.struct("template", "agreeing")).alias("__votes"))
+    phrase = F.array(*[F.lit(f" {key} ") for _, _, key in TEMPLATES])
     out = scanned.join(found, F.col("__file") == F.col("__f"), "left")
+    out = out.withColumn("__votes", F.filter("__votes", lambda v: F.contains(F.col("__padded"), phrase[v["template"]]))).drop("__padded", "__hits")
+    out = out.withColumns({"__labels": F.transform("__votes", lambda v: label[v["template"]]), "__score": F.array_max(F.transform("__votes", lambda v: v["agreeing"] / size[v["template"]]))})
     base = F.col("__base")
     return out.select(
         *[F.col(f"`{c}`") for c in keep], "n_words", "n_base", "first_word", "last_word",
