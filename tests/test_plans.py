@@ -8,10 +8,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.functions import extract, fields, rules
+from tidewire.functions import extract, fields, rules, settings
 from tidewire.functions import text as fn
 from tidewire.operators import antibot, dedup, joins, ops, quality
-from tidewire.plans import crawl, operations, pages, sources  # noqa: F401  they register their queries
+from tidewire.plans import checks, crawl, operations, pages, sources  # noqa: F401  they register their queries
 from tidewire.plans.queries import ORACLE_SQL, QUERIES
 from tidewire.sources import tables
 from tidewire.sources.tables import json_lines, text_list, write_by_site
@@ -148,3 +148,36 @@ def test_files_and_sinks(spark, tmp_path):
     query = tables.stream_by_site(spark.readStream.schema("site string, n int").parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"))
     query.awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("2024-01-02 08:30:05", "2024-01-02T08:30:05"), ("2024-01-02", "2024-01-02T00:00:00"), ("Jan 2, 2024 8:30", "2024-01-02T08:30:00"), ("2024-01-02T08:30:00+0800", "2024-01-02T08:30:00+08:00"),
+        ("2024-01-02T08:30:00Z", "2024-01-02T08:30:00+00:00"), ("no date", "no date"), ("", ""), (None, None),
+    ],
+)
+def test_date_kind(spark, text, want):
+    assert one(spark, lambda c: extract.cast_value(c, "date"), text) == want
+
+
+def test_settings(spark):
+    rows = [("a", "SECRET_KEY", "your-" + "x" * 40), ("a", "SECRET_KEY", None), ("a", "RETRY_TIMES", "1e1"), ("a", "DOWNLOAD_DELAY", "1d"), ("a", "REDIS_PORT", ""), ("a", "SMTP_HOST", "h"), (None, "NOT_KNOWN", "x"), ("b", None, None)]
+    df = spark.createDataFrame([(*r, "extra") for r in rows], "scope string, name string, value string, level string")
+    got = {}
+    for r in settings.setting_problems(df).collect():
+        got.setdefault(r["scope"], set()).add((r["level"], r["name"], r["problem"]))
+    assert {("error", "SECRET_KEY", "default_value"), ("error", "DOWNLOAD_DELAY", "not_a_number"), ("error", "REDIS_PORT", "incomplete"), ("warning", "SMTP_PORT", "incomplete"), ("error", "ENVIRONMENT", "missing")} <= got["a"]
+    assert not {n for _, n, _ in got["a"]} & {"RETRY_TIMES", "SMTP_HOST", "REDIS_HOST", "SLACK_WEBHOOK_URL"}
+    assert got["b"] == got[None] and ("error", "SECRET_KEY", "empty") in got["b"] and ("warning", "REDIS_PASSWORD", "empty") in got["b"]
+    assert settings.setting_problems(df.limit(0)).count() == 0
+    faults = lambda p: one(spark, settings.password_faults, p)
+    assert faults("Ab1!efgh") == [] and faults("abc") == ["short", "no_upper", "no_digit", "no_special"] and faults(None) is None
+    assert faults("") == ["short", "no_upper", "no_lower", "no_digit", "no_special"]
+
+
+def test_config_formats(spark):
+    texts = [None, "", "[1]", "{bad", '{"fields": [1]}', '{"fields": {}}', '{"site_info": null, "target_pages": 1}', '{"name": 1, "base_url": 2, "fields": {}}']
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "i int, json string, valid int")
+    got = [(r["format"], r["missing"], r["valid"]) for r in settings.checked_configs(df).orderBy("i").collect()]
+    assert got == [("unknown", None, False)] * 5 + [("old", ["name", "base_url"], False), ("new", ["browser_config", "selectors", "crawling_strategy"], False), ("old", [], True)]

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
 
+from .dates import any_date
 from .selectors import Node, SelectorError, Tree, compiled, select, values
 from .text import strip, tight_dashes
 
@@ -30,7 +31,16 @@ def by_path(col: Column, path: str) -> Column:
 
 
 def cast_value(col: Column, kind: str) -> Column:
-    """A text as string (stripped), integer (its first digits, or 0), float (its first number, or 0) or list (of itself)."""
+    """A text as string (stripped), integer (its first digits, or 0), float (its first number, or 0), date or list (of itself).
+
+    A date is one in any of the known forms, as yyyy-MM-ddTHH:mm:ss and the offset it states (midnight
+    without a time); a text without one stays as it is.
+    """
+    if kind == "date":
+        part = lambda g: F.regexp_extract(col, r"(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\.\d+)?\s*(Z|[+-]\d{2}:?\d{2}(?!\d))?", g)
+        time = F.concat_ws(":", *[F.lpad(part(g), 2, "0") for g in (1, 2, 3)])
+        offset = F.regexp_replace(F.when(part(4) == "Z", "+00:00").otherwise(part(4)), r"^([+-]\d{2})(\d{2})$", "$1:$2")
+        return F.coalesce(F.concat(any_date(col).cast("string"), F.lit("T"), time, offset), col)
     if kind == "integer":
         return F.coalesce(F.nullif(F.regexp_extract(col, r"\d+", 0), F.lit("")).try_cast("bigint"), F.when(col.isNotNull(), F.lit(0).cast("bigint")))
     if kind == "float":

@@ -26,6 +26,44 @@ def keyword_hits(docs: DataFrame, text: Column, words: Mapping[str, Sequence[str
     return low.withColumn("__h", F.explode(F.filter(pairs, lambda p: F.contains(F.col("__low"), F.lower(p["keyword"]))))).select(*docs.columns, "__h.*")
 
 
+def together(texts: Sequence[Column]) -> Column:
+    """Texts one after another, with nothing between; null ones are left out."""
+    return F.concat(*[F.coalesce(t, F.lit("")) for t in texts])
+
+
+def _categories(low: Column, words: Mapping[str, Sequence[str]]) -> Column:
+    """The category of each keyword that a text in lower case holds, and first a null, which stands for the document itself."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("category"), F.lower(F.lit(w)).alias("keyword")) for c, ws in words.items() for w in ws])
+    hits = F.filter(pairs, lambda p: F.contains(low, p["keyword"]))
+    return F.concat(F.array(F.lit(None).cast("string")), F.transform(hits, lambda p: p["category"]))
+
+
+def trends(docs: DataFrame, dates: Sequence[Column], titles: Sequence[Column], words: Mapping[str, Sequence[str]] = DISEASES) -> DataFrame:
+    """(day, category, n): for each day its documents (category null) and the keywords of each category that titles hold.
+
+    The day is the first date stated, without brackets; one that has no ten characters and a dash is none.
+    """
+    day = F.regexp_replace(F.coalesce(*[F.nullif(d, F.lit("")) for d in dates]), r"[【】\[\]]", "")
+    d = docs.select(day.alias("day"), F.lower(together(titles)).alias("low")).where((F.length("day") == 10) & F.contains("day", F.lit("-")))
+    return d.select("day", F.explode(_categories(F.col("low"), words)).alias("category")).groupBy("day", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+def distribution(docs: DataFrame, texts: Sequence[Column], words: Mapping[str, Sequence[str]] = DISEASES) -> DataFrame:
+    """(kind, name, n): keywords found of each category, and documents that hold each keyword, in all texts together."""
+    hits = keyword_hits(docs.select(together(texts).alias("whole")), F.col("whole"), words)
+    pairs = hits.groupBy("category", "keyword").agg(F.count(F.lit(1)).alias("n"))
+    # at most a row for each listed keyword goes on
+    both = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("name")) for k in ("category", "keyword")]))
+    return pairs.select("n", both.alias("b")).groupBy("b.kind", "b.name").agg(F.sum("n").alias("n"))
+
+
+def place_distribution(docs: DataFrame, texts: Sequence[Column], places: Sequence[str] = DISTRICTS, words: Mapping[str, Sequence[str]] = DISEASES) -> DataFrame:
+    """(place, category, n): for each place the documents that name it (category null), and the keywords of each category in them."""
+    d = docs.select(together(texts).alias("whole")).withColumn("low", F.lower("whole"))
+    d = place_hits(d.select("whole", _categories(F.col("low"), words).alias("categories")), F.col("whole"), places)
+    return d.select("place", F.explode("categories").alias("category")).groupBy("place", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
 def day_of(*dates: Column) -> Column:
     """The first ten characters of the first date that is stated."""
     return F.coalesce(*[F.substring(F.nullif(d, F.lit("")), 1, 10) for d in dates])
