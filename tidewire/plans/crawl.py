@@ -15,7 +15,7 @@ RAW = (
     ARTICLES
     + """, raw as (select doc_id, site, lang, (['article', 'epidemic', 'policy', 'statistics', 'other'])[1 + (doc_id % 5)::int] as item_type, case when doc_id % 5 > 0 then case when doc_id % 17 = 0 then 'ftp://x/' || doc_id else url end end as url,
   case when doc_id % 5 = 0 or doc_id % 10 = 1 then url end as source_url, case when doc_id % 7 > 0 then case when doc_id % 11 = 0 then '' else title end end as title, case when doc_id % 7 = 0 then title end as page_title,
-  case when doc_id % 3 > 0 then content end as content, case when doc_id % 3 = 0 then [substr(content, 1, 40), chr(9) || ' ', substr(content, 41, 40)] end as article_content,
+  case when doc_id % 3 > 0 then content end as content, case when doc_id % 3 = 0 then [substr(content, 1, 40), chr(9) || ' ', substr(content, 41)] end as article_content,
   case when doc_id % 4 > 0 then publish_date end as publish_date, case when doc_id % 4 = 0 then publish_date end as publish_time, crawl_time from articles)"""
 )
 LETTER = r"[\p{L}\p{N}_]"
@@ -88,9 +88,9 @@ def p12_queries(spark, sf_dir):
     return fields.queries_of(table(spark, sf_dir, "nation").select(F.col("n_name").alias("place")), TOPICS)
 
 
-@query(f"""with {RAW} select doc_id, case when regexp_matches(url, '^https?://[^\\s<>"{{}}|\\\\^`\\[\\]]+') then url end as url, publish_date, {_html("title")} as title_, md5({_html("substr(content, 1, 2000)")}) as content_md5, '<p>' || lang || '</p>' as content_html from raw""".replace("as title_", "as title"))
+@query(f"""with {RAW} select doc_id, case when regexp_matches(url, '^https?://[^\\s<>"{{}}|\\\\^`\\[\\]]+') then url end as url, publish_date, {_html("title")} as title_, md5({_html("content")}) as content_md5, '<p>' || lang || '</p>' as content_html from raw""".replace("as title_", "as title"))
 def f10_dispatch(spark, sf_dir):
-    c = crawled(spark, sf_dir).select("doc_id", "url", "publish_date", F.coalesce("title", F.lit("")).alias("title"), F.substring("content", 1, 2000).alias("content"), F.concat(F.lit("<p>"), "lang", F.lit("</p>")).alias("content_html"))
+    c = crawled(spark, sf_dir).select("doc_id", "url", "publish_date", F.coalesce("title", F.lit("")).alias("title"), "content", F.concat(F.lit("<p>"), "lang", F.lit("</p>")).alias("content_html"))
     out = fields.cleaned(c)
     return out.select("doc_id", "url", "publish_date", F.coalesce("title", F.lit("")).alias("title"), F.md5(F.coalesce("content", F.lit(""))).alias("content_md5"), "content_html")
 

@@ -35,15 +35,17 @@ def query(sql: str | None = None):
     return add
 
 
-def planted(spark: SparkSession, sf_dir: str, values: tuple[str, ...], lead: int = 0, tail: int = 0) -> DataFrame:
-    """A text ``s`` for each document: one of ``values`` in turn, between the first and the next characters of its own text."""
+def planted(spark: SparkSession, sf_dir: str, values: tuple[str, ...], lead: int | None = 0) -> DataFrame:
+    """A text ``s`` for each document: one of ``values`` in turn, after the first ``lead`` characters of its own whole text (none: at its end)."""
     t = F.coalesce("text", F.lit(""))
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat(F.substring(t, 1, lead), one_of("doc_id", values), F.substring(t, lead + 1, tail)).alias("s"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(*([t, one_of("doc_id", values)] if lead is None else [F.substring(t, 1, lead), one_of("doc_id", values), F.expr(f"substring(coalesce(text, ''), {lead + 1})")])).alias("s"))
 
 
-def _planted(values: tuple[str, ...], lead: int = 0, tail: int = 0) -> str:
+def _planted(values: tuple[str, ...], lead: int | None = 0) -> str:
     listed = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
-    return f"v as (select doc_id, substr(coalesce(text, ''), 1, {lead}) || ([{listed}])[1 + (doc_id % {len(values)})::int] || substr(coalesce(text, ''), {lead + 1}, {tail}) as s from documents)"
+    one = f"([{listed}])[1 + (doc_id % {len(values)})::int]"
+    whole = f"coalesce(text, '') || {one}" if lead is None else f"substr(coalesce(text, ''), 1, {lead}) || {one} || substr(coalesce(text, ''), {lead + 1})"
+    return f"v as (select doc_id, {whole} as s from documents)"
 
 
 def _strip(x: str) -> str:
@@ -82,23 +84,23 @@ def f2_clean_text(spark, sf_dir):
 NUMBERS = ("1,234.50元", "1,200", "约-3.5度", "无", "12,345,678", "7", "第2名")
 
 
-@query(f"""with {_planted(NUMBERS, 0, 12)}, n as (select *, try_cast(nullif(regexp_extract(replace(replace(s, ',', ''), '，', ''), '(-?\\d+\\.?\\d*)', 1), '') as double) as number from v)
+@query(f"""with {_planted(NUMBERS)}, n as (select *, try_cast(nullif(regexp_extract(replace(replace(s, ',', ''), '，', ''), '(-?\\d+\\.?\\d*)', 1), '') as double) as number from v)
 select doc_id, number, trunc(number)::bigint as whole, case when number between 0 and 1000 then number end as bounded, coalesce(try_cast(nullif(regexp_replace(s, '[^0-9]', '', 'g'), '') as bigint), 0) as digits from n""")
 def f3_clean_number(spark, sf_dir):
     s = F.col("s")
-    return planted(spark, sf_dir, NUMBERS, 0, 12).select("doc_id", fn.clean_number(s).alias("number"), fn.clean_integer(s).alias("whole"), fn.clean_number(s, 0, 1000).alias("bounded"), fn.digits_number(s).alias("digits"))
+    return planted(spark, sf_dir, NUMBERS).select("doc_id", fn.clean_number(s).alias("number"), fn.clean_integer(s).alias("whole"), fn.clean_number(s, 0, 1000).alias("bounded"), fn.digits_number(s).alias("digits"))
 
 
 DATES = ("2024年1月2日", "2024-01-02T03:04:05Z", "2024.3.9 发布", "20240102", "01-02", "2024", "昨天", "2024-13-40")
 
 
 @query(
-    f"""with {_planted(DATES, 0, 15)}, t as (select doc_id, regexp_replace(regexp_replace(regexp_replace(s, '[年月]', '-', 'g'), '日', '', 'g'), '[^\\d\\-\\s:.+TZtz]', '', 'g') as t from v)
+    f"""with {_planted(DATES)}, t as (select doc_id, regexp_replace(regexp_replace(regexp_replace(s, '[年月]', '-', 'g'), '日', '', 'g'), '[^\\d\\-\\s:.+TZtz]', '', 'g') as t from v)
 select doc_id, strftime(coalesce(try_strptime(nullif(replace(regexp_extract(t, '(\\d{{4}})[-.](\\d{{1,2}})[-.](\\d{{1,2}})'), '.', '-'), ''), '%Y-%m-%d'),
   try_strptime(nullif(regexp_extract(t, '(?:^|[^0-9])(\\d{{8}})(?:[^0-9]|$)', 1), ''), '%Y%m%d')), '%Y-%m-%d') as day from t"""
 )
 def f4_clean_date(spark, sf_dir):
-    return planted(spark, sf_dir, DATES, 0, 15).select("doc_id", fn.clean_date(F.col("s")).alias("day"))
+    return planted(spark, sf_dir, DATES).select("doc_id", fn.clean_date(F.col("s")).alias("day"))
 
 
 API_DATES = ("2024-01-02T03:04:05Z", "20240102", "20240102T0304", "2024/1/2 x", "2024.01.02 03", "yesterday", "2 Jan 2024")
@@ -130,9 +132,12 @@ def _region_sql(x: str) -> str:
     return out
 
 
-@query(f"with {_planted(REGIONS, 5)} select doc_id, {_region_sql('s')} as region, {_region_sql(f'substr(s, 6)')} as alone from v")
+LISTED_REGIONS = ", ".join(f"'{r}'" for r in REGIONS)
+
+
+@query(f"with {_planted(REGIONS, None)} select doc_id, {_region_sql('s')} as region, {_region_sql(f'([{LISTED_REGIONS}])[1 + (doc_id % {len(REGIONS)})::int]')} as alone from v")
 def f5_clean_region(spark, sf_dir):
-    return planted(spark, sf_dir, REGIONS, 5).select("doc_id", fn.clean_region(F.col("s")).alias("region"), fn.clean_region(F.substring("s", 6, 100)).alias("alone"))
+    return planted(spark, sf_dir, REGIONS, None).select("doc_id", fn.clean_region(F.col("s")).alias("region"), fn.clean_region(one_of("doc_id", REGIONS)).alias("alone"))
 
 
 CONTACTS = ("http://a.cn/x?q=1", " https://b.org ", "\thttp://a.cn\n", "ftp://c.d", "A.B@Example.COM ", "a@b", "138-0013-8000", "12345", "010 8888 9999")
@@ -182,14 +187,14 @@ def _any_sql(col: str, words) -> str:
 
 
 @query(
-    f"""with {_planted(TITLES, 4, 20)} select doc_id, case {" ".join(f"when {_any_sql('lower(s)', w)} then '{n}'" for n, w in fn.CATEGORIES)} else '其他' end as category,
+    f"""with {_planted(TITLES, 4)} select doc_id, case {" ".join(f"when {_any_sql('lower(s)', w)} then '{n}'" for n, w in fn.CATEGORIES)} else '其他' end as category,
 array_to_string(list_filter([{", ".join(f"case when {_any_sql('lower(s)', w)} then '{n}' end" for n, w in fn.TAGS)}], lambda x: x is not null), ',') as tags,
 case {" ".join(f"when contains(s, '{p}') then '{p}'" for p in fn.PROVINCES)} else '全国' end as region,
 {", ".join("coalesce(" + ", ".join(f"try_cast(nullif(regexp_extract(s, '{p}', 1), '') as bigint)" for p in ps) + f", 0) as {k}" for k, ps in fn.CASE_PATTERNS.items())} from v"""
 )
 def f22_f25_annotations(spark, sf_dir):
     s = F.col("s")
-    return planted(spark, sf_dir, TITLES, 4, 20).select("doc_id", fn.category_of(s).alias("category"), F.array_join(fn.tags_of(s), ",").alias("tags"), fn.region_of(s).alias("region"), *[fn.case_count(s, k).alias(k) for k in fn.CASE_PATTERNS])
+    return planted(spark, sf_dir, TITLES, 4).select("doc_id", fn.category_of(s).alias("category"), F.array_join(fn.tags_of(s), ",").alias("tags"), fn.region_of(s).alias("region"), *[fn.case_count(s, k).alias(k) for k in fn.CASE_PATTERNS])
 
 
 @query(f"with {ARTICLES} select doc_id, substr(sha1(url), 1, 16) as article_id, sha256(regexp_replace(coalesce(content, ''), '{WS}+', '', 'g')) as content_fp, md5(concat_ws('|', url, title, content)) as item_fp from articles")
@@ -207,7 +212,7 @@ def f18_key_info(spark, sf_dir):
 LIST_URLS = ("http://x/list.shtml", "http://x/list_9.shtml", "http://x/list_9/a.html", "http://x/list_9/list_12.shtml", "http://x/12.htm", "http://x/12.html?a", "http://x/7.shtml", "http://x/ARTICLE/1")
 
 
-@query(rf"""with u as (select page_id, case when page_id % 2 = 0 then url else ([{', '.join(f"'{x}'" for x in LIST_URLS)}])[1 + (page_id // 2 % {len(LIST_URLS)})::int] end as url, page_id % 5 as n_items, substr(regexp_replace(html, '<[^>]+>', '', 'g'), 1, (page_id % 4 * 30)::int) as content from pages),
+@query(rf"""with u as (select page_id, case when page_id % 2 = 0 then url else ([{', '.join(f"'{x}'" for x in LIST_URLS)}])[1 + (page_id // 2 % {len(LIST_URLS)})::int] end as url, page_id % 5 as n_items, case when page_id % 4 > 0 then regexp_replace(html, '<[^>]+>', '', 'g') else '' end as content from pages),
 n as (select *, regexp_extract(url, 'list_(\d+)\.shtml', 1) as n from u)
 select page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) as host, lower(regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '\.([A-Za-z0-9]+)$', 1)) as ext,
 case when regexp_matches(lower(url), 'list|index|category|列表') then 'list_page' when regexp_matches(lower(url), '/\d+\.s?html$|detail|article') then 'detail_page' when n_items >= 3 then 'list_page' when length({_strip("content")}) > 50 then 'detail_page' else 'unknown_page' end as page_type,
@@ -215,7 +220,7 @@ case when ends_with(url, 'list.shtml') then replace(url, 'list.shtml', 'list_2.s
 def f21_f27_page_urls(spark, sf_dir):
     k = F.col("page_id")
     other = F.get(F.array(*map(F.lit, LIST_URLS)), (F.floor(k / 2) % len(LIST_URLS)).cast("int"))
-    content = F.substring(F.regexp_replace("html", "<[^>]+>", ""), F.lit(1), (k % 4 * 30).cast("int"))
+    content = F.when(k % 4 > 0, F.regexp_replace("html", "<[^>]+>", "")).otherwise("")
     p = table(spark, sf_dir, "pages").select("page_id", F.when(k % 2 == 0, F.col("url")).otherwise(other).alias("url"), (k % 5).alias("n_items"), content.alias("content"))
     u = F.col("url")
     return p.select("page_id", fn.url_host(u).alias("host"), fn.url_extension(u).alias("ext"), fn.page_type(u, F.col("n_items"), F.col("content")).alias("page_type"), fn.next_page(u).alias("next_url"))

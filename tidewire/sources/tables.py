@@ -55,7 +55,7 @@ def crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 > 0, F.when(k % 11 == 0, "").otherwise(c("title"))).alias("title"),
         F.when(k % 7 == 0, c("title")).alias("page_title"),
         F.when(k % 3 > 0, c("content")).alias("content"),
-        F.when(k % 3 == 0, F.array(F.substring(c("content"), 1, 40), F.lit("\t "), F.substring(c("content"), 41, 40))).alias("article_content"),
+        F.when(k % 3 == 0, F.array(F.substring(c("content"), 1, 40), F.lit("\t "), F.expr("substring(content, 41)"))).alias("article_content"),
         F.when(k % 4 > 0, c("publish_date")).alias("publish_date"),
         F.when(k % 4 == 0, c("publish_date")).alias("publish_time"),
         "crawl_time",
