@@ -27,6 +27,8 @@ from .common import held, map_column
 
 #: Stretches, pairs of tokens and moves of the matcher that a worker remembers before it starts afresh (bounds its memory).
 CACHE_ENTRIES, CACHE_PAIRS, CACHE_MOVES = 150_000, 400_000, 400_000
+#: Characters of a stretch that is remembered at most; longer ones hardly come again.
+CACHE_LENGTH = 256
 #: Patterns whose matches never reach over a lone space except from it onwards.
 SPLIT_AT_SPACES = frozenset([r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"])
 #: White space other than the space and the line feed, and characters that some libraries take for it.
@@ -302,13 +304,14 @@ class Packer:
 
     def spaced(self, chunks: list[str]) -> list[bytes]:
         """Packed ids of different stretches that follow a lone space."""
-        missing = [c for c in chunks if c not in self.chunks]
+        missing, now = [c for c in chunks if c not in self.chunks], {}
         if missing:
             if len(self.chunks) + len(missing) > CACHE_ENTRIES:
                 self.chunks = {c: self.chunks[c] for c in chunks if c in self.chunks}
             split = self.vocabulary.pattern.findall
-            self.chunks.update(zip(missing, self.joined([[f" {c}"] if c.isalpha() else split(f" {c}") for c in missing]), strict=True))
-        return list(map(self.chunks.__getitem__, chunks))
+            now = dict(zip(missing, self.joined([[f" {c}"] if c.isalpha() else split(f" {c}") for c in missing]), strict=True))
+            self.chunks.update((c, ids) for c, ids in now.items() if len(c) <= CACHE_LENGTH)
+        return [now[c] if c in now else self.chunks[c] for c in chunks]
 
     def pack(self, texts: pa.Array) -> pa.Array:
         """Packed ids of each text (null: none)."""
