@@ -183,6 +183,26 @@ def test_warc_ranges_are_merged_in_global_order(spark, monkeypatch, tmp_path):
     assert headers["WARC-Record-ID"] == f"<urn:page:{r['page_id']}>" and block.endswith(f"<p>{r['page_id'] % 50}</p>".encode())
 
 
+def test_archives_are_bounded_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "FILE_BYTES", 50_000)
+    rng = random.Random(4)
+    # long pages lie together, so a mean says little of them
+    html = ["short"] * 300 + [rng.randbytes(10_000).hex() for _ in range(40)] + [rng.randbytes(60_000).hex()]
+    pages = spark.createDataFrame([(i, f"http://h/{i}", h) for i, h in enumerate(html)], "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "archives")
+    got = warc.capture_index(pages, path=path)
+    assert rows_of(got, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == sorted(brute.warc(list(enumerate(html))), key=repr)
+    sizes = [r["length"] for r in spark.read.format("binaryFile").load(path).collect()]
+    assert len(sizes) > 5 and sorted(sizes)[-2] <= 50_000 + 1 and max(sizes) < 70_000
+
+
+def test_long_stretches_are_not_remembered(vocabulary):
+    packer = bpe.Packer(vocabulary)
+    texts = ["a " + "long" * 500 + " b", "a " + "long" * 500 + " b"]
+    first = packer.pack(pa.array(texts)).to_pylist()
+    assert first == packer.pack(pa.array(texts)).to_pylist() and max(map(len, packer.chunks)) <= bpe.CACHE_LENGTH
+
+
 def test_warc_members():
     big = random.Random(1).randbytes(17 << 20)
     data = warc.member(b"a") + warc.member(big) + warc.member(b"c" * 100)

@@ -130,21 +130,26 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     # equal payloads meet by their SHA-256, as SHA-1 collisions can be made; a common one is split by the skew join, and texts move once
     stored = rows.groupBy(F.col("same").alias("__same")).agg(F.max("page_id").alias("refers_to"))
     dealt = rows.join(stored, F.col("same") == F.col("__same")).drop("__same")
-    mean = rows.agg(F.avg(F.octet_length("payload"))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n, size = 0, 0, 0
         for batch in batches:
-            out = []
+            out, parts = [], []
             for page_id, target, when, payload, sha, refers_to in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "captured", "payload", "sha", "refers_to")), strict=True):
                 revisit = len(payload) >= LEAST_PAYLOAD and page_id != refers_to
                 one = record(page_id, target, when.astimezone(UTC), payload, base64.b32encode(bytes.fromhex(sha)).decode(), refers_to, revisit)
-                out.append(member(one)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
+                packed = member(one)[:-1]
+                # a file ends by its bytes as by its records, wherever long pages lie together
+                if n and (n >= FILE_RECORDS or size + len(packed) > FILE_BYTES):
+                    part, n, size = part + 1, 0, 0
+                n, size = n + 1, size + len(packed) + 1
+                out.append(packed)
+                parts.append(part)
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(out, pa.binary())], names=["part", "record"])
 
     # Spark's text writer puts bytes as they are and, as line end, the zero that each member ends with; its commits survive lost executors
-    written_records = dealt.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
-    in_file = max(1, min(FILE_RECORDS, int(FILE_BYTES // (mean + 1024))))
-    written_records.write.option("lineSep", "\0").option("maxRecordsPerFile", in_file).text(path)
+    written_records = dealt.mapInArrow(run, "part int, record binary").select("part", F.col("record").cast("string"))
+    written_records.write.partitionBy("part").option("lineSep", "\0").text(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
