@@ -181,3 +181,22 @@ def test_config_formats(spark):
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "i int, json string, valid int")
     got = [(r["format"], r["missing"], r["valid"]) for r in settings.checked_configs(df).orderBy("i").collect()]
     assert got == [("unknown", None, False)] * 5 + [("old", ["name", "base_url"], False), ("new", ["browser_config", "selectors", "crawling_strategy"], False), ("old", [], True)]
+
+
+REFERENCES = [
+    (1, '<html lang="en"><title>a&amp;b&amp</title><body><nav><ul><li><a href="/xy">x&quot;y</a></li><li><a href="/z">z</a></li></ul></nav><article><h1>say &quot;a&amp;b&amp</h1></article><div class="ad">&middot; c&amp;</div>'),
+    (2, '<html lang="de"><title>&#39;&amp;lt;&lt</title><body><nav><ul><li><a href="/b">b</a></li></ul></nav><article><h1>&am</h1></article><div class="ad">d</div>'),
+]
+
+
+@pytest.mark.parametrize("name", ["x1_selectors", "x1_x7_rules"])
+def test_references_of_titles_are_read_as_in_sql(spark, tmp_path, name):
+    """Titles cut within a reference, and references other than that of the ampersand."""
+    spark.createDataFrame(REFERENCES, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    df, result = QUERIES[name](spark, str(tmp_path)), con.execute(ORACLE_SQL[name])
+    columns = [c[0] for c in result.description]
+    assert plain(tuple(r[c] for c in columns) for r in df.collect()) == plain(result.fetchall())
+    got = extract.rule_values(spark.createDataFrame(REFERENCES, "page_id long, html string"), ["page_id"], {"h": {"method": "css", "selector": "h1"}})
+    assert [r["h"] for r in got.orderBy("page_id").collect()] == ['say "a&b&', "&am"]

@@ -166,7 +166,12 @@ def _cannot(f: str, field: Mapping) -> str | None:
     return None
 
 
-def select_fields(pages: DataFrame, keep: Sequence[str], fields: Mapping[str, Mapping], html: str = "html", errors: str | None = None) -> DataFrame:
+def only_references(html: Column, names: Sequence[str]) -> Column:
+    """``html`` in which all but the named character references (with their semicolon) stand for themselves."""
+    return F.regexp_replace(html, f"&(?!(?:{'|'.join(names)});)", "&amp;")
+
+
+def select_fields(pages: DataFrame, keep: Sequence[str], fields: Mapping[str, Mapping], html: str = "html", errors: str | None = None, references: Sequence[str] | None = None) -> DataFrame:
     """``keep`` columns and, for each field, an array of the values that its selector finds.
 
     A field is {selector, attr (text, if not stated), method (css or xpath, if it is not to be told
@@ -174,6 +179,7 @@ def select_fields(pages: DataFrame, keep: Sequence[str], fields: Mapping[str, Ma
     finds something. Null pages have null fields. A page is parsed once for all fields. Without
     ``errors`` a selector that cannot be read is an error of the call; with it, such a field is
     null, as is one that fails on a page, and the column of that name maps the field to the reason.
+    ``references`` names the character references that are read (None: all of HTML's, with or without semicolon).
     """
     problems = {f: why for f, say in fields.items() if (why := _cannot(f, say))}
     if problems and errors is None:
@@ -202,7 +208,8 @@ def select_fields(pages: DataFrame, keep: Sequence[str], fields: Mapping[str, Ma
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [*(f"f{i}" for i in range(len(good))), "errors"])
 
     schema = StructType([*(StructField(f"f{i}", ArrayType(StringType())) for i in range(len(good))), StructField("errors", MapType(StringType(), StringType()))])
-    found = F.arrow_udf(run, schema).asNondeterministic()(F.col(html))
+    read = F.col(html) if references is None else only_references(F.col(html), references)
+    found = F.arrow_udf(run, schema).asNondeterministic()(read)
     at, none = {f: f"__f.f{i}" for i, f in enumerate(good)}, F.lit(None).cast("array<string>")
     columns = [(F.col(at[f]) if f in at else none).alias(f) for f in fields]
     return pages.select(*keep, found.alias("__f")).select(*keep, *columns, *([F.col("__f.errors").alias(errors)] if errors else []))
@@ -269,14 +276,15 @@ def groups_of(pattern: str) -> int:
 METHODS = ("css", "xpath", "regex", "json", "text")
 
 
-def rule_values(pages: DataFrame, keep: Sequence[str], rules: Mapping[str, Mapping], html: str = "html", errors: str | None = None) -> DataFrame:
+def rule_values(pages: DataFrame, keep: Sequence[str], rules: Mapping[str, Mapping], html: str = "html", errors: str | None = None, references: Sequence[str] | None = None) -> DataFrame:
     """``keep`` columns and a value for each field by its rule: {method: css, xpath, regex, json, text; selector; attr; type; multiple}.
 
     A value that is not found is null, whatever the other fields give. A field whose rule cannot be
     read (an unknown method, a selector or pattern with a fault) or fails on a page is null too and
     costs the others nothing; ``errors`` names a column that maps each such field to the reason.
     ``multiple`` gives all values as an array, or with the type string as one text, joined by spaces.
-    A pattern with several groups gives its groups joined by tabs.
+    A pattern with several groups gives its groups joined by tabs. ``references`` names the character
+    references that css and xpath read (None: all of HTML's).
     """
     problems: dict[str, str] = {}
     chosen = {}
@@ -291,7 +299,7 @@ def rule_values(pages: DataFrame, keep: Sequence[str], rules: Mapping[str, Mappi
         elif method in ("css", "xpath"):
             chosen[f] = {**r, "method": method}
     own = errors or "__errors"
-    base = select_fields(pages, [*keep, html], {f"__v{i}": r for i, r in enumerate(chosen.values())}, html, own) if chosen else pages.select(*keep, html, F.create_map().cast("map<string,string>").alias(own))
+    base = select_fields(pages, [*keep, html], {f"__v{i}": r for i, r in enumerate(chosen.values())}, html, own, references) if chosen else pages.select(*keep, html, F.create_map().cast("map<string,string>").alias(own))
     at = {f: f"__v{i}" for i, f in enumerate(chosen)}
     out = []
     for f, r in rules.items():
