@@ -200,3 +200,42 @@ def test_references_of_titles_are_read_as_in_sql(spark, tmp_path, name):
     assert plain(tuple(r[c] for c in columns) for r in df.collect()) == plain(result.fetchall())
     got = extract.rule_values(spark.createDataFrame(REFERENCES, "page_id long, html string"), ["page_id"], {"h": {"method": "css", "selector": "h1"}})
     assert [r["h"] for r in got.orderBy("page_id").collect()] == ['say "a&b&', "&am"]
+
+
+def test_words_are_counted_only_in_texts_with_tags(spark):
+    """A text without a tag is scored without an array of its words."""
+    import time
+
+    c = F.col("content")
+    texts = spark.range(1).select(F.repeat(F.lit("ab "), 3_000_000).alias("content")).cache()
+    texts.count()
+    took = []
+    for text in (c, c, F.concat(F.lit("<b>"), c)):
+        at = time.perf_counter()
+        assert texts.select(quality.validity(F.lit("http://x"), text)).first()[0] == 100
+        took.append(time.perf_counter() - at)
+    assert took[1] < took[2] / 2
+    rows = [(None,), ("",), ("<b>",), ("<b>" * 3 + "a",), ("a b c d <i>",), ("a < b",)]
+    got = spark.createDataFrame(rows, "content string").select(quality.validity(F.lit("http://x"), c))
+    assert [r[0] for r in got.collect()] == [100, 100, 80, 80, 100, 100]
+
+
+@pytest.mark.parametrize("blank", [None, "", " \t\r\n", "　 \x85\xa0"])
+def test_blank_texts_have_no_text(spark, blank):
+    df = spark.createDataFrame([(blank, "x" if blank is None else f"{blank}x{blank}")], "s string, t string")
+    got = df.select(*[quality.present(F.coalesce(c, F.lit(""))) for c in ("s", "t")], rules.required().holds(F.col("s")), rules.required().holds(F.col("t"))).first()
+    assert tuple(got) == (False, True, False, True)
+
+
+def test_blanks_are_told_without_rewriting_the_text(spark):
+    """Neither presence nor a required field makes a stripped copy of a text."""
+    df = spark.range(1).select(F.col("id").cast("string").alias("s")).select(quality.present(F.col("s")), rules.required().holds(F.col("s")))
+    assert "regexp_replace" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_titles_are_cut_without_splitting_the_text(spark, tmp_path):
+    rows = [(1, "one\ntwo\n"), (2, "one"), (3, ""), (4, None), (5, "\nx"), (6, "y" * 300)]
+    spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = tables.articles(spark, str(tmp_path)).orderBy("doc_id").select("title")
+    assert [r[0] for r in got.collect()] == ["one", "one", "", None, "", "y" * 200]
+    assert "split" not in got._jdf.queryExecution().optimizedPlan().toString().lower()

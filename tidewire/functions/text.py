@@ -41,6 +41,11 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, f"^{WS}+|{WS}+$", "")
 
 
+def has_text(col: Column) -> Column:
+    """Whether some character is no white space; looks no further than the first one."""
+    return col.rlike(f"[^{WS[1:-1]}]")
+
+
 def first_match(col: Column, pattern: str, group: int = 1) -> Column:
     """Null instead of an empty string if nothing matches."""
     return F.nullif(F.regexp_extract(col, pattern, group), F.lit(""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, contains_any, strip
+from ..functions.text import WS, contains_any, has_text
 
 # Thresholds, weights, levels and tokens.
 ERROR_PAGE = ("404", "not found", "页面不存在", "访问错误")
@@ -15,7 +15,7 @@ LOWEST_LEVEL = "很差"
 
 
 def present(col: Column) -> Column:
-    return col.isNotNull() & (strip(col) != "")
+    return col.isNotNull() & has_text(col)
 
 
 def validation_errors(url: Column, title: Column, content: Column) -> Column:
@@ -55,7 +55,8 @@ def validity(url: Column, content: Column) -> Column:
     tags = F.regexp_count(content, F.lit("<[^>]+>"))
     lost = F.when(~present(F.coalesce(url, F.lit(""))), 30).when(~url.rlike("^https?://"), 20).otherwise(0)
     lost += F.when(contains_any(F.lower(content), ERROR_TOKENS), 40).otherwise(0)
-    lost += F.when(tags * 10 > words * 3, 20).otherwise(0)
+    # counting makes an array of all words, so it is left out for texts without a tag
+    lost += F.when(F.contains(content, F.lit("<")) & (tags * 10 > words * 3), 20).otherwise(0)
     return F.greatest(F.lit(0), 100 - lost)
 
 
