@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import contains_any, strip
+from .text import contains_any, has_text, strip
 
 #: Tokens of error pages (fixed values).
 ERROR_PAGE = ("404", "not found", "页面不存在", "访问错误")
@@ -29,7 +29,7 @@ def nullable(test: Callable[[Column], Column]) -> Callable[[Column], Column]:
 
 def required() -> Rule:
     """Neither null nor blank."""
-    return Rule("required", lambda c: c.isNotNull() & (strip(c.cast("string")) != ""))
+    return Rule("required", lambda c: c.isNotNull() & has_text(c.cast("string")))
 
 
 def of_type(kind: str) -> Rule:
