@@ -47,3 +47,18 @@ def test_old_configurations_are_reshaped(spark):
     assert new["crawling_strategy"] == {"delays": {"between_requests": 1.5, "random_delay": True}, "limits": {"max_pages": 10, "max_items_per_page": 30}, "retry": {"max_attempts": 3, "retry_delay": 5.0}}
     assert new["site_info"]["description"] == "N数据爬取" and new["follow_rules"] == {"allow": ["/a"], "deny": []}
     assert got[2]["site_info"] == {"name": "", "base_url": "", "description": "数据爬取"} and got[2]["target_pages"] == [] and got[2]["selectors"] == {}
+
+
+def test_paths_share_one_parsed_text(spark):
+    """The query parses each text once for all its paths, and steps to names and places are one look-up."""
+    from tidewire.plans import sources  # noqa: F401  it registers the query
+    from tidewire.plans.queries import QUERIES
+
+    plan = QUERIES["x4_json_paths"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+    text = '{"a": [{"b": {"c": null}}, {"b": {"c": [1, {"d": 2}]}}, {"b": 3}], "e": {"a": {}}}'
+    df = spark.createDataFrame([(text,), ("[]",), ("{",), (None,)], "s string").withColumn("v", F.try_parse_json("s"))
+    for path in ("$.a[1].b.c[0]", "$.a[*].b.c", "$.a[0].b.c", "$.a[-1].b", "$.a.b", "$['a'][2]['b']", "$.a[1:].b.c[1].d", "$..c[1].d", "$..a", "$.*.a"):
+        got = df.select(jsonpath.json_values(F.col("s"), path), jsonpath.json_values(F.col("s"), path, F.col("v"))).collect()
+        want = [[jsonpath.shown(x) for x in jsonpath.walked([json.loads(t)], jsonpath.steps(path))] for t in (text, "[]")]
+        assert [r[0] for r in got] == [r[1] for r in got] == [*want, None, None], path

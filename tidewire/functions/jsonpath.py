@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -74,8 +75,9 @@ def walked(values: list, path: tuple[Step, ...]) -> list:
         if deep:
             every, todo = [], values[::-1]
             while todo:
-                every.append(v := todo.pop())
-                todo += members(v)[::-1]
+                if below := members(v := todo.pop()):  # no step leads on from the others
+                    every.append(v)
+                    todo += below[::-1]
             values = every
         found = []
         for v in values:
@@ -124,29 +126,51 @@ def _one(v: Column, option: str | int | slice) -> Column:
     return part if option.step == 1 else F.filter(part, lambda _, i: i % option.step == 0)
 
 
-def json_values(col: Column, path: str) -> Column:
-    """All values at a path of a JSON text, as texts (objects and arrays as JSON, JSON's null as null); null for what is no JSON."""
+def _plain(step: Step) -> str | None:
+    """A step to one name or to one place from the front, as a part of a Variant path; None for others."""
+    option = step.options[0] if len(step.options) == 1 else None
+    return f"['{option}']" if isinstance(option, str) else f"[{option}]" if isinstance(option, int) and option >= 0 else None
+
+
+def json_values(col: Column, path: str, parsed: Column | None = None) -> Column:
+    """All values at a path of a JSON text, as texts (objects and arrays as JSON, JSON's null as null); null for what is no JSON.
+
+    ``parsed`` is the text's Variant where several paths share one.
+    """
     read = steps(path)
     if any(s.deep or any(isinstance(o, str) and "'" in o for o in s.options) for s in read):
         return F.arrow_udf(_arrow(read), "array<string>")(col)
-    doc = F.try_parse_json(col)
+    doc = F.try_parse_json(col) if parsed is None else parsed
     now = F.array(doc)
-    for _, options in read:
+    for plain, run in groupby(read, lambda s: _plain(s) is not None):
+        if plain:  # one look-up for all steps of the run
+            now = _looked_up(now, "$" + "".join(map(_plain, run)))
+        else:
+            now = _led_on(now, run)
+    return F.when(doc.isNotNull(), F.transform(now, lambda v: v.cast("string")))
+
+
+def _looked_up(now: Column, at: str) -> Column:
+    return F.filter(F.transform(now, lambda v: F.try_variant_get(v, at, "variant")), lambda v: v.isNotNull())
+
+
+def _led_on(now: Column, run: Iterator[Step]) -> Column:
+    for _, options in run:
         if options:
             now = F.flatten(F.transform(now, _all_of(options)))
         else:
             now = F.flatten(F.transform(now, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.map_values(F.try_variant_get(v, "$", "map<string,variant>")), F.array().cast("array<variant>"))))
         now = F.filter(now, lambda v: v.isNotNull())
-    return F.when(doc.isNotNull(), F.transform(now, lambda v: v.cast("string")))
+    return now
 
 
 def _all_of(options: tuple):
     return lambda v: F.concat(*[F.coalesce(_one(v, o), F.array().cast("array<variant>")) for o in options])
 
 
-def json_value(col: Column, path: str) -> Column:
+def json_value(col: Column, path: str, parsed: Column | None = None) -> Column:
     """The first value at a path; null if there is none."""
-    return F.get(json_values(col, path), F.lit(0))
+    return F.get(json_values(col, path, parsed), F.lit(0))
 
 
 def reshaped(config: Column) -> Column:

@@ -68,9 +68,9 @@ def x4_json_paths(spark, sf_dir):
     item = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.col("l_quantity").cast("long").alias("qty"))
     orders = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("order_key")).agg(F.sort_array(F.collect_list(item)).alias("items"))
     doc = F.to_json(F.struct("items", F.struct(F.col("order_key").alias("a"), F.size("items").alias("b")).alias("meta")))
-    text = lambda path: F.array_join(jsonpath.json_values(F.col("doc"), path), ",")
-    ends = F.concat_ws("|", jsonpath.json_value(F.col("doc"), "$.items[0].qty"), jsonpath.json_value(F.col("doc"), "items[-1]['qty']"))
-    return orders.select("order_key", doc.alias("doc")).select(
+    text = lambda path: F.array_join(jsonpath.json_values(F.col("doc"), path, F.col("tree")), ",")
+    ends = F.concat_ws("|", *[jsonpath.json_value(F.col("doc"), path, F.col("tree")) for path in ("$.items[0].qty", "items[-1]['qty']")])
+    return orders.select("order_key", doc.alias("doc")).select("*", F.try_parse_json("doc").alias("tree")).select(
         "order_key", text("$.items[*].part").alias("parts"), ends.alias("ends"), text("$.items[1:3].qty").alias("second_third"), F.size(jsonpath.json_values(F.col("doc"), "$..part")).cast("long").alias("n_deep"), text("$.meta.*").alias("members"), text("$.items[::2].part").alias("odd"),
     )
 
