@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import held, small_batches, written
-from .winnow import filters, slots
+from .winnow import filters, has_bits
 
 ORDER = 3
 #: Stands before a text ORDER - 1 times.
@@ -188,7 +188,7 @@ def score(docs: DataFrame, terms: DataFrame, floor: float, keep: list[str], text
     schema = StructType([StructField(n, LongType()) for n in ("__row", "__asked", "__n", "__back", "words")] + [docs.schema[c] for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = None if sent.value is None else np.unpackbits(np.frombuffer(sent.value, np.uint8)).view(bool)
+        seen = None if sent.value is None else np.frombuffer(sent.value, np.uint8)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             parts, sizes, first = [], [], row
@@ -197,7 +197,7 @@ def score(docs: DataFrame, terms: DataFrame, floor: float, keep: list[str], text
                 sizes.append(len(words))
                 if seen is not None and len(words):
                     found, n, back = asked(words)
-                    passed = seen[slots(found, len(seen))]
+                    passed = has_bits(seen, found)
                     parts.append((np.full(passed.sum(), row), found[passed].view(np.int64), n[passed], back[passed]))
                 row += 1
             own = np.arange(first, row)
