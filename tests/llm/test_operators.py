@@ -240,6 +240,44 @@ def test_kneser_ney_as_a_plain_model(spark):
     assert double.where("doc_id = 5").count() == 2 and double.columns == ["doc_id", "lang", "perplexity", "cutoff", "kept"]
 
 
+def test_kneser_ney_over_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 300)
+    monkeypatch.setattr(kneser_ney, "FREQUENT", 5)
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(("the", "of", f"w{rng.randrange(30)}", f"x{i}")) for _ in range(rng.randrange(40))) for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 40, 2)], "doc_id long, quality int")
+    got = {r["doc_id"]: r["perplexity"] for r in kneser_ney.quality(docs, labels).collect()}
+    model = brute.KneserNey([texts[i] for i in range(0, 40, 2) if zlib.crc32(str(i).encode()) % kneser_ney.HOLDOUT])
+    assert len(got) == 40
+    for i, t in enumerate(texts):
+        want = model.perplexity(t)
+        assert got[i] == want or abs(got[i] - want) < 1e-6 * want + 2e-6
+
+
+def test_kneser_ney_packs_are_small():
+    rng = np.random.default_rng(1)
+    words = [kneser_ney.hashed(" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 200) % 5000)) for _ in range(300)]
+    unique, before, mid, after, text = kneser_ney.trigrams(words)
+    frequent = np.r_[kneser_ney.PAD, kneser_ney.END, unique[:: 2]]
+    trained = np.ones(300, np.uint8)
+    data = kneser_ney.packed(unique, kneser_ney.fixed_numbers(unique, frequent), len(frequent), before, mid, after, text, trained)
+    rare, b, m, a, steps, flags = kneser_ney.unpack(data, kneser_ney.TRIGRAMS)
+    known = np.r_[frequent, np.cumsum(rare, dtype=np.uint64)]
+    rows = sorted(zip(known[b].tolist(), known[m].tolist(), known[a].tolist(), np.cumsum(steps, dtype=np.uint16).tolist(), strict=True))
+    assert rows == sorted(zip(unique[before].tolist(), unique[mid].tolist(), unique[after].tolist(), text.tolist(), strict=True)) and flags.all()
+    # a row of an n-gram in a shuffle took 12 bytes or more, and a text had up to five for each word
+    assert len(data) < 8 * len(mid)
+
+
+@given(st.lists(st.sampled_from([0, 1, 2, 1 << 63, (1 << 63) + 1, (1 << 64) - 1, 1 << 40])))
+def test_numbered_as_unique(values):
+    values = np.array(values, np.uint64)
+    found, at = kneser_ney.numbered(values)
+    want, places = np.unique(values, return_inverse=True)
+    assert found.tolist() == want.tolist() and at.tolist() == places.tolist()
+
+
 def test_kneser_ney_splits_long_texts(monkeypatch):
     monkeypatch.setattr(kneser_ney, "SLICE", 10)
     text = "some words, " * 50 + "w" * 100 + " x\x0by\u3000z "
