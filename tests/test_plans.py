@@ -239,3 +239,28 @@ def test_titles_are_cut_without_splitting_the_text(spark, tmp_path):
     got = tables.articles(spark, str(tmp_path)).orderBy("doc_id").select("title")
     assert [r[0] for r in got.collect()] == ["one", "one", "", None, "", "y" * 200]
     assert "split" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_capable_workers_are_dealt_out_and_packed(spark, tmp_path):
+    """Every pair once for each task row, in partitions of bounded rows and in an order that packs well."""
+    workers = spark.range(1200).select(F.col("id").alias("worker_id"), F.array(F.col("id") % 3, F.col("id") % 2, F.col("id") % 3).alias("sites"))
+    tasks = spark.range(0, 2000, 1, 1).select((F.col("id") * 7).alias("task_id"), (F.col("id") % 4).alias("site"))
+    got = ops.capable_workers(workers, tasks, rows=100_000)
+    got.write.parquet(str(tmp_path / "pairs"))
+    each = workers.select("worker_id", F.explode("sites").alias("s")).distinct()
+    want = tasks.join(each, F.col("site") == F.col("s")).select("task_id", "worker_id")
+    n = want.count()
+    back = spark.read.parquet(str(tmp_path / "pairs"))
+    assert back.count() == n == 1_000_000 and back.exceptAll(want).isEmpty()
+    assert max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()) < 400_000
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 0.2 * n
+
+
+@pytest.mark.parametrize("rows", [1, 1 << 24])
+def test_capable_workers_with_nulls_and_repeats(spark, rows):
+    tasks = [(1, 0), (1, 0), (None, 0), (None, 0), (2, 1), (3, None), (4, 9), (1, 1)]
+    workers = [(10, [0, 1, 0]), (10, [0]), (11, [1, None]), (None, [0]), (12, []), (13, None), (14, [5])]
+    t, w = spark.createDataFrame(tasks, "task_id long, site long"), spark.createDataFrame(workers, "worker_id long, sites array<long>")
+    want = [(a, k) for a, site in tasks if site is not None for k in {k for k, sites in workers if site in (sites or [])}]
+    assert sorted(map(str, map(tuple, ops.capable_workers(w, t, rows=rows).collect()))) == sorted(map(str, want))
+    assert ops.capable_workers(w.limit(0), t, rows=rows).collect() == ops.capable_workers(w, t.limit(0), rows=rows).collect() == []
