@@ -97,3 +97,49 @@ def test_common_shingles_give_no_row_for_each_text(spark, monkeypatch):
     few = {s for s, k in zip(n[0].tolist(), n[1].tolist(), strict=True) if k <= near.RARE}
     assert got == sorted((i, s) for i, x in sets.items() for s in x if s in few)
     assert rows["shingles"].count() < 2 * len(got) < sum(map(len, sets.values())) / 2
+
+
+def test_pairs_that_the_index_misses_link(spark):
+    """Pairs at exactly 0.8 with too few equal min-wise hashes (first two) or no node in common (the others)."""
+    rows = []
+    for k, seed in enumerate((24430, 48867, 24893, 27394, 58179)):
+        r = random.Random(seed)
+        words = [f"w{r.randrange(10**6)}" for _ in range(13)]
+        pair = " ".join(words), " ".join([*words[:-1], "z"])
+        (_, _, nodes, sketch), (_, _, others, other) = (near.signature(near.shingles(t)) for t in pair)
+        parts = near.np.array([sketch], near.np.uint64) ^ near.np.array([other], near.np.uint64)
+        assert not set(nodes[: len(near.VIEWS)]) & set(others[: len(near.VIEWS)]) if k > 1 else not near.alike(parts)[0]
+        rows += [(3 * k, pair[0]), (3 * k + 1, pair[1]), (3 * k + 2, " ".join([*words[:-2], "y", "z"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_kept(rows)
+    assert len(want) == 10  # the third text shares seven of eleven shingles, so it stays
+    assert sorted(x["doc_id"] for x in near.one_of_each(docs).select("doc_id").collect()) == want
+
+
+def test_open_pairs_need_no_index(spark, monkeypatch):
+    """All similar pairs of different groups come from the shingles alone, through lists in many blocks and blocks in many batches, and few others."""
+    monkeypatch.setattr(near, "CROWDED", 8)
+    r = random.Random(8)
+    base, line = prose(r, 120), prose(r, 12)
+    texts = [None, "", "one", "ONE two", "one two three four five six", "one two three four five six seven"]
+    texts += [" ".join(changed(r, base, k % 12)) for k in range(150)] + [" ".join(line + prose(r, k % 4)) for k in range(60)] + [" ".join(line + prose(r, 90)) for _ in range(40)]
+    texts = list({near.shingles(t).tobytes(): t for t in texts}.values())
+    sets = [frozenset(near.shingles(t).tolist()) for t in texts]
+    shared = {(i, j): len(sets[i] & sets[j]) for j in range(len(sets)) for i in range(j)}
+    similar = {(i, j) for (i, j), n in shared.items() if n >= 0.8 * (len(sets[i]) + len(sets[j]) - n)}
+    assert len(similar) > 200
+    rows = [(i, (t,), i, len(sets[i]), near.parity(near.shingles(t)).view(near.np.int64).tolist()) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "fp long, __doc struct<text: string>, __row long, size long, parity array<long>")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, 7)
+        for group in (1, 3):  # a group each; three groups
+            roots = df.selectExpr("fp as v", "fp as root" if group == 1 else "fp % 3 as root")
+            got = [tuple(x) for x in near.open_pairs(df, df, "text", roots).collect()]
+            want = {(i, j) for i, j in similar if group == 1 or i % 3 != j % 3}
+            assert len(got) == len(set(got)) and want <= set(got) and all(i < j for i, j in got)
+            assert len(got) < 2 * len(want) + 200
+            assert group == 1 or all(i % 3 != j % 3 for i, j in got)
+    finally:
+        spark.conf.set(name, before)
